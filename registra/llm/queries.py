@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import lines, mixing, simhash
+from registra.llm import langid, lines, mixing, simhash
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -39,6 +39,13 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "epoch", "tokens", "leaf_budget")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    marked = docs.withColumn("held_out", langid.held_out(F.col("doc_id")))
+    return langid.classify(marked, model, ["doc_id", "held_out"])
+
+
 def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(tables(spark, sf_dir, "documents"))
 
@@ -49,7 +56,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op7_simhash_anchors, op8_line_dedup)
+    f.__name__: f for f in (op3_mix_sources, op4_language_id, op7_simhash_anchors, op8_line_dedup)
 }
 
 _OP8 = f"""
