@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import langid, lines, mixing, simhash
+from registra.llm import bpe, langid, lines, mixing, simhash
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -55,8 +56,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs, F.col("source"), dropped_col="n_dropped").select("doc_id", "source", "text", "n_dropped")
 
 
+def bpe_path() -> str:
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(tables(spark, sf_dir, "documents"), bpe_path(), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op4_language_id, op7_simhash_anchors, op8_line_dedup)
+    f.__name__: f for f in (op3_mix_sources, op4_language_id, op7_simhash_anchors, op8_line_dedup, op10_byte_bpe)
 }
 
 _OP8 = f"""
