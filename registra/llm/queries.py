@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, langid, lines, mixing, simhash
+from registra.llm import bpe, langid, lines, mixing, simhash, tokenids
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -56,6 +56,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs, F.col("source"), dropped_col="n_dropped").select("doc_id", "source", "text", "n_dropped")
 
 
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return tokenids.round_trip(tables(spark, sf_dir, "documents"), path, end_id=2)
+
+
 def bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -65,7 +70,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op4_language_id, op7_simhash_anchors, op8_line_dedup, op10_byte_bpe)
+    f.__name__: f for f in (op3_mix_sources, op4_language_id, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
 }
 
 _OP8 = f"""
