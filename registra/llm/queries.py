@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, langid, lines, mixing, simhash, tokenids
+from registra.llm import bpe, langid, lines, mixing, simhash, tokenids, warc
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -47,6 +47,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(marked, model, ["doc_id", "held_out"])
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(tables(spark, sf_dir, "pages"))
+
+
 def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(tables(spark, sf_dir, "documents"))
 
@@ -70,7 +74,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op4_language_id, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
+    f.__name__: f for f in (op3_mix_sources, op4_language_id, op5_warc, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
 }
 
 _OP8 = f"""
@@ -135,5 +139,14 @@ SELECT doc_id, domain, lang0 AS lang, source0 AS source, epoch::INT AS epoch, to
 FROM ordered
 WHERE epoch < whole OR (leaf_budget - whole * leaf_tokens > 0 AND upto <= leaf_budget - whole * leaf_tokens)"""
 
+_OP5 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM m"""
+
 #: DuckDB has no XXH64, so op7 has no SQL; its test is a brute-force version.
-ORACLE_SQL: dict[str, str] = {"op3_mix_sources": _OP3, "op8_line_dedup": _OP8}
+ORACLE_SQL: dict[str, str] = {"op3_mix_sources": _OP3, "op5_warc": _OP5, "op8_line_dedup": _OP8}
