@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, langid, lines, mixing, simhash, tokenids, warc
+from registra.llm import bpe, forest, langid, lines, mixing, simhash, tokenids, voronoi, warc
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -34,6 +34,10 @@ def mix_levels() -> list[tuple[str, Column, Column]]:
     ]
 
 
+def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, mix_levels(), budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
@@ -51,6 +55,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(tables(spark, sf_dir, "pages"))
 
 
+def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.exact_top_k(tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(tables(spark, sf_dir, "documents"))
 
@@ -74,7 +82,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op4_language_id, op5_warc, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
+    f.__name__: f for f in (op1_prefix_forest, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
 }
 
 _OP8 = f"""
@@ -148,5 +156,15 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM m"""
 
+_OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.x, d.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q, v d WHERE q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
 #: DuckDB has no XXH64, so op7 has no SQL; its test is a brute-force version.
-ORACLE_SQL: dict[str, str] = {"op3_mix_sources": _OP3, "op5_warc": _OP5, "op8_line_dedup": _OP8}
+ORACLE_SQL: dict[str, str] = {"op3_mix_sources": _OP3, "op5_warc": _OP5, "op6_voronoi_top_k": _OP6, "op8_line_dedup": _OP8}
