@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, forest, langid, lines, mixing, simhash, tokenids, voronoi, warc
+from registra.llm import bpe, forest, langid, lines, lm, mixing, simhash, tokenids, voronoi, warc
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -38,6 +38,10 @@ def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.pseudo_likelihood(tables(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, mix_levels(), budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
@@ -82,7 +86,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_forest, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
+    f.__name__: f for f in (op1_prefix_forest, op2_pseudo_likelihood, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
 }
 
 _OP8 = f"""
