@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 #: Cells of one round of the histogram, as a power of two, and the largest number of shards.
 CELL_BITS, MAX_SHARDS = 12, 100_000
+SIGN = 1 << 63
 MANIFEST = "MANIFEST.json"
 
 
@@ -33,16 +34,17 @@ def cut_points(df: DataFrame, key: str, weight: str, target: int) -> np.ndarray:
     if low is None or not total:
         return np.zeros(0, np.int64)
     target = max(1, target, -(-total // MAX_SHARDS))
-    # The difference of two longs may not fit one, so keys are compared by their distance in unsigned bits.
-    shift = max(0, (int(high) - int(low)).bit_length() - CELL_BITS)
-    cell = lambda s: F.expr(f"shiftrightunsigned(key - {low}L, {s})")
+    # With the sign bit flipped, keys are in order as unsigned numbers, and a cell is a common prefix of them.
+    shift = max(0, ((int(low) + SIGN) ^ (int(high) + SIGN)).bit_length() - CELL_BITS)
+    cell = lambda s: F.shiftrightunsigned(F.col("key").bitwiseXOR(F.lit(-SIGN)), s)
+    first_key = lambda c, s: ((c % (1 << 64)) << s) - SIGN
     rows = rows.where("key is not null")
     light: list[tuple[int, int]] = []
     part = rows
     while True:
         found = part.groupBy(cell(shift).alias("c")).agg(F.sum("weight").alias("w")).collect()
         heavy = [r["c"] for r in found if r["w"] > target and shift > 0]
-        light += [(int(low) + (int(r["c"]) << shift), int(r["w"])) for r in found if r["w"] <= target or shift == 0]
+        light += [(first_key(r["c"], shift), int(r["w"])) for r in found if r["w"] <= target or shift == 0]
         if not heavy:
             break
         part = rows.where(cell(shift).isin(heavy))
