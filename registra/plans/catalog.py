@@ -1,10 +1,10 @@
-"""Registered queries of the engine."""
+"""All registered queries of the engine."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from registra.plans import listings
+from registra.plans.common import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+_PARTS = (listings.CATALOG,)
+QUERIES: dict[str, Query] = {name: q for part in _PARTS for name, q in part.queries.items()}
+ORACLE_SQL: dict[str, str] = {name: s for part in _PARTS for name, s in part.sql.items()}
