@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from registra.plans import listings
+from registra.plans import joins, listings, texts
 from registra.plans.common import Query
 
-_PARTS = (listings.CATALOG,)
+_PARTS = (listings.CATALOG, texts.CATALOG, joins.CATALOG)
 QUERIES: dict[str, Query] = {name: q for part in _PARTS for name, q in part.queries.items()}
 ORACLE_SQL: dict[str, str] = {name: s for part in _PARTS for name, s in part.sql.items()}
