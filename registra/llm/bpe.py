@@ -119,27 +119,28 @@ def encode(docs: DataFrame, path: str, keep: list[str], text_col: str = "text",
     """
     results = ("n_tokens", "ids_sha256", "decoded_sha256")
     keep = [c for c in keep if c not in results]
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
-    for name, kind in zip(results, ("long", "string", "string"), strict=True):
-        schema = schema.add(name, kind)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias("_text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), text.alias("_text"))
+    carried = rows.select("_row").schema
+    for name, kind in zip(results, ("long", "string", "string"), strict=True):
+        carried = carried.add(name, kind)
     short = F.length("_text") <= chunk
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = library(path)
         for b in batches:
             out = [_digests(iter([enc.encode_ordinary(t.as_py())]), path) for t in b.column(b.num_columns - 1)]
-            yield _table(b.columns[:-1], out, schema.names)
+            yield _table(b.columns[:-1], out, carried.names)
 
-    done = rows.where(short).mapInArrow(whole, schema)
-    return done.unionByName(_encode_long(rows.where(~short), keep, path, schema, chunk, overlap))
+    done = rows.where(short).mapInArrow(whole, carried)
+    done = done.unionByName(_encode_long(rows.where(~short), path, chunk, overlap))
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in keep], *results)
 
 
-def _encode_long(rows: DataFrame, keep: list[str], path: str, schema, chunk: int, overlap: int) -> DataFrame:
+def _encode_long(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
+    """Of rows (_row, _text): _row and the results."""
     step = chunk - overlap
-    key = "_key long, _k int, _last boolean, _chunk string"
-    cut_schema = schema.fieldNames()[: len(keep)]
+    names = ["_key", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,9 +149,9 @@ def _encode_long(rows: DataFrame, keep: list[str], path: str, schema, chunk: int
                 starts = range(0, max(1, len(text) - overlap), step)
                 for k, at in enumerate(starts):
                     arrays = [pa.array([k], pa.int32()), pa.array([k == len(starts) - 1]), pa.array([text[at : at + chunk]])]
-                    yield pa.RecordBatch.from_arrays([*one.columns[:-1], *arrays], names=[*cut_schema, "_key", "_k", "_last", "_chunk"])
+                    yield pa.RecordBatch.from_arrays([*one.columns[:-1], *arrays], names=["_row", "_key", "_k", "_last", "_chunk"])
 
-    head = rows.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("_key"), "_text")
+    head = rows.select("_row", F.monotonically_increasing_id().alias("_key"), "_text")
     kinds = head.drop("_text").schema.add("_k", "integer").add("_last", "boolean").add("_chunk", "string")
     # Written, so that the keys stay as they are; the long texts alone go through these files.
     chunks = written(head.mapInArrow(cut, kinds).repartition("_key", "_k"), "chunks")
@@ -208,9 +209,9 @@ def _encode_long(rows: DataFrame, keep: list[str], path: str, schema, chunk: int
                     key, digest = own.as_py(), Digest(path)
                 digest.add(np.frombuffer(ids.as_py(), np.uint32).tolist())
             if keys:
-                yield _table([pa.array(keys, pa.int64())], rows_, ["_key", *schema.names[len(keep) :]])
+                yield _table([pa.array(keys, pa.int64())], rows_, names)
         if digest is not None:
-            yield _table([pa.array([key], pa.int64())], [digest.row()], ["_key", *schema.names[len(keep) :]])
+            yield _table([pa.array([key], pa.int64())], [digest.row()], names)
 
     results = "_key long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     ordered = encoded.repartition("_key").sortWithinPartitions("_key", "_k")
@@ -220,7 +221,7 @@ def _encode_long(rows: DataFrame, keep: list[str], path: str, schema, chunk: int
         enc = library(path)
         for b in batches:
             out = [_digests(iter([enc.encode_ordinary(t.as_py())]), path) for t in b.column(1)]
-            yield _table([b.column(0)], out, ["_key", *schema.names[len(keep) :]])
+            yield _table([b.column(0)], out, names)
 
     failed = cuts.where("failed").select("_key", "_k")
     parts = chunks.select("_key", "_k", "_last", "_chunk").join(failed, ["_key", "_k"])
@@ -228,5 +229,5 @@ def _encode_long(rows: DataFrame, keep: list[str], path: str, schema, chunk: int
     texts = parts.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_k", own.alias("t")))).alias("p"))
     texts = texts.select("_key", F.array_join(F.transform("p", lambda p: p["t"]), "").alias("text"))
     digests = digests.unionByName(texts.mapInArrow(unstitched, results))
-    named = chunks.where("_k = 0").select("_key", *[F.col(f"`{c}`") for c in keep])
+    named = chunks.where("_k = 0").select("_key", "_row")
     return named.join(digests, "_key").drop("_key")

@@ -57,3 +57,11 @@ def small_or_shuffled(side: DataFrame, rows: int | None = None) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores as it takes to differ from all ``columns``, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from registra.llm.common import free_name
+
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
 SPAN = max(WIDTHS)
 #: Bytes of a window; a window also sees the SPAN - 1 bytes after it, so every position of a text is covered.
@@ -179,11 +181,10 @@ def classify(
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (lang_out, score_out)]
     text = F.col(f"`{text_col}`").cast("string")
-    seen = F.when(text.rlike("\\p{L}"), text.cast("binary"))
     own = text_col if text_col in keep else None
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], seen.alias("_seen")) if own is None else docs.select(
-        *[F.col(f"`{c}`") for c in keep], F.when(text.rlike("\\p{L}"), True).alias("_seen")
-    )
+    letter = text.rlike("\\p{L}")
+    seen = F.when(letter, text.cast("binary") if own is None else F.lit(True)).alias(free_name(keep, "_seen"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], seen)
     at = keep.index(own) if own else len(keep)
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add(lang_out, "string").add(score_out, "double")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import small_or_shuffled, written
+from registra.llm.common import free_name, small_or_shuffled, written
 
 #: A line on more than RATIO of its host's pages, and on MIN_PAGES of them at least, is boilerplate.
 RATIO, MIN_PAGES = 0.01, 5
@@ -38,14 +38,17 @@ def drop_boilerplate(
     The lines to drop are gathered in one set for each host, of at most (lines per page) / ratio entries,
     and joined to the pages by host, so texts are not shuffled while the sets are small enough to broadcast.
     """
+    host_name, set_name, kept_name = (free_name(pages.columns, n) for n in ("_host", "_lines", "_kept"))
     found = boilerplate(pages, host, F.col(f"`{text_col}`"), ratio, min_pages)
-    sets = written(found.groupBy("host").agg(F.collect_set("line").alias("_lines")).withColumnRenamed("host", "_host"), "boilerplate")
-    entries = sets.agg(F.coalesce(F.sum(F.size("_lines")), F.lit(0))).first()[0]
-    joined = pages.join(small_or_shuffled(sets, entries), F.coalesce(host.cast("string"), F.lit("")) == F.col("_host"), "left")
+    sets = found.groupBy("host").agg(F.collect_set("line").alias(set_name)).withColumnRenamed("host", host_name)
+    sets = written(sets, "boilerplate")
+    bad, kept_col = F.col(set_name), F.col(kept_name)
+    entries = sets.agg(F.coalesce(F.sum(F.size(bad)), F.lit(0))).first()[0]
+    joined = pages.join(small_or_shuffled(sets, entries), F.coalesce(host.cast("string"), F.lit("")) == F.col(host_name), "left")
     lines = F.split(F.col(f"`{text_col}`").cast("string"), "\n")
-    kept = F.filter(lines, lambda l: ~F.array_contains(F.col("_lines"), F.unhex(F.md5(F.trim(l)))) | (F.trim(l) == ""))
-    kept = F.when(F.col("_lines").isNull(), lines).otherwise(kept)
-    cols = [F.array_join(F.col("_kept"), "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns]
+    kept = F.filter(lines, lambda l: ~F.array_contains(bad, F.unhex(F.md5(F.trim(l)))) | (F.trim(l) == ""))
+    kept = F.when(bad.isNull(), lines).otherwise(kept)
+    cols = [F.array_join(kept_col, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns]
     if dropped_col:
-        cols.append(F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("long").alias(dropped_col))
-    return joined.withColumn("_kept", kept).select(*cols)
+        cols.append(F.coalesce(F.size(lines) - F.size(kept_col), F.lit(0)).cast("long").alias(dropped_col))
+    return joined.withColumn(kept_name, kept).select(*cols)

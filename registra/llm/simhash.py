@@ -182,8 +182,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = near_duplicates(docs, id_col, text_col, max_bits)
     keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    own = F.col(f"`{id_col}`")
-    kept = docs.join(keep, own.cast("long") == F.col("_keep"), "left_semi")
-    first = kept.groupBy(own.alias("_id")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
-    out = first.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
-    return out.unionByName(docs.where(own.isNull()))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), whole.alias("_row"))
+    first = rows.join(keep, F.col("_id") == F.col("_keep"), "left_semi").groupBy("_id").agg(F.min("_row").alias("_row"))
+    out = first.select("_row").unionByName(rows.where("_id is null").select("_row"))
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
