@@ -172,7 +172,7 @@ def entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, docs.select(F.col(f"`{id_col}`").alias("doc_id")).schema.add("ids", "binary"))
 
 
-def train(ids: DataFrame, rates: tuple[float, ...] = RATES, masked: float = MASKED, seed: int = SEED) -> Weights:
+def train(ids: DataFrame, rates: tuple[float, ...] = RATES, masked: float = MASKED, seed: int = SEED, batch: int = BATCH) -> Weights:
     """Weights fitted to the column ``ids`` of all rows, one pass for each rate.
 
     Each pass sums (weights x places) over the tasks in a shuffle; only the sums come to the driver.  Passes
@@ -191,10 +191,10 @@ def train(ids: DataFrame, rates: tuple[float, ...] = RATES, masked: float = MASK
                     doc = np.frombuffer(raw.as_buffer(), "<u2").astype(np.int64)
                     pick = np.random.default_rng((seed, n_pass, zlib.crc32(doc[:64].tobytes()), len(doc)))
                     at = np.flatnonzero(pick.random(len(doc)) < masked)
-                    for s in range(0, len(at), BATCH):
-                        held.append((contexts(doc, at[s : s + BATCH]), doc[at[s : s + BATCH]]))
+                    for s in range(0, len(at), batch):
+                        held.append((contexts(doc, at[s : s + batch]), doc[at[s : s + batch]]))
                         size += len(held[-1][1])
-                        if size >= BATCH:
+                        if size >= batch:
                             learn(*(np.concatenate(z) for z in zip(*held, strict=True)))
                             held, seen, size = [], seen + size, 0
             if size:
@@ -237,14 +237,14 @@ def score_ids(w: Weights, docs: list[np.ndarray]) -> list[float]:
     return sums.tolist()
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rates: tuple[float, ...] = RATES, batch: int = BATCH) -> DataFrame:
     """(doc_id, n_tokens, pll, mean_pll) of every row under a network trained on all rows.
 
     ``pll`` sums natural logarithms over all tokens, 0 for null and empty texts, whose mean is null.
     Repeated rows get equal scores.  An empty table gives an empty one; other columns are not read.
     """
     ids = written(entries(docs, id_col, text_col), "entries")
-    w = train(ids)
+    w = train(ids, rates, batch=batch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
