@@ -13,10 +13,12 @@ are in ascending doc_id order, nulls first.  The table of ranks lies beside the
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,27 +33,41 @@ MAGIC = b"TOKIDS01"
 #: Tokens of a shard, and bytes of data at which a file is closed and the next begun.
 SHARD_TOKENS, FILE_BYTES = 16_000_000, 64 << 20
 #: Words whose ids a worker remembers.
-WORDS_HELD = 300_000
+WORDS_HELD = 350_000
+#: Ids between the steps; in the files they are coded by rank.
+PACKED, CODE = "<u2", "H"
 #: Lengths of the four codes of each control byte.
 LENGTHS = np.stack([(np.arange(256) >> 2 * j & 3) + 1 for j in range(4)], axis=1).astype(np.int64)
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit integers."""
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Control bytes of each document, and which of their codes stand for a value."""
+    quads = -(-sizes // 4)
+    real = np.ones(int(quads.sum()) * 4, bool)
+    ends = 4 * np.cumsum(quads)
+    for j in (1, 2, 3):
+        real[ends[4 * quads - sizes >= j] - j] = False
+    return quads, real
+
+
+def pack(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes, data bytes, and how many of each belong to each document; ``values`` are all documents' in a row."""
     values = values.astype("<u4")
-    size = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    n = -(-len(values) // 4) * 4
-    codes = np.zeros(n, np.uint8)
-    codes[: len(values)] = size - 1
-    quads = codes.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
-
-
-def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The first ``n`` integers of a code."""
-    size = LENGTHS[control].reshape(-1)[:n]
+    length = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    quads, real = _places(sizes)
+    codes = np.zeros(len(real), np.uint8)
+    codes[real] = length - 1
+    q = codes.reshape(-1, 4)
+    control = (q[:, 0] | q[:, 1] << 2 | q[:, 2] << 4 | q[:, 3] << 6).astype(np.uint8)
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < length[:, None]]
+    upto = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+    ends = np.cumsum(sizes)
+    return control, data, quads, upto[ends] - upto[ends - sizes]
+
+
+def unpack(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of all documents in a row."""
+    size = LENGTHS[control].reshape(-1)[_places(sizes)[1]]
     at = np.cumsum(size) - size
     out = data[at].astype(np.uint32)
     for j in range(1, 4):
@@ -62,54 +78,110 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _pieces(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """An array of binaries that lie in a row."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _in_a_row(col: pa.Array, kind: str) -> np.ndarray:
+    """The bytes of an array of binaries without nulls, as numbers."""
+    offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
+    return np.frombuffer(col.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind) if len(col) and offsets[-1] > offsets[0] else np.zeros(0, kind)
+
+
 class Words:
-    """Ids of texts by a tokenizer that never merges across blanks; ids of words are remembered."""
+    """Packed ids of texts by a tokenizer that lower-cases and never merges across white space; words are remembered.
+
+    Texts come as UTF-8.  Lower-casing A-Z first leaves the ids as they are and makes words meet more often; a text
+    that may hold a special token's string keeps its case.  Only blanks and line ends are split at; other white space
+    stays inside a word and goes to the library.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library, self.known = Tokenizer.from_file(path), {}
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            # Only characters that the normaliser takes for white space; others stay inside a word and go to the library.
-            words = text.replace("\n", " ").split(" ")
-            missing = [w for w in dict.fromkeys(words) if w not in self.known]
-            if missing:
-                if len(self.known) > WORDS_HELD:
-                    self.known, missing = {}, list(dict.fromkeys(words))
-                found = self.library.encode_batch(missing, add_special_tokens=False)
-                self.known.update(zip(missing, (tuple(e.ids) for e in found), strict=True))
-            yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.uint32)
+        self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.marks = {m: array(CODE, self.library.encode(m.decode(), add_special_tokens=False).ids).tobytes() for m in (b".", b",")}
+        # The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
+
+    def __call__(self, text: bytes) -> bytes:
+        words = (text if b"<|" in text else text.lower()).replace(b"\n", b" ").split(b" ")
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            self.learn(words)
+            return b"".join(map(self.known.__getitem__, words))
+
+    def learn(self, words: list[bytes]) -> None:
+        if len(self.known) > WORDS_HELD:  # what was met since the last time stays at hand
+            self.known, self.before = {}, self.known
+        known, before, rest = self.known, self.before, []
+        for w in set(words).difference(known):
+            found = before.get(w)
+            if found is None and w.isalpha() and w.islower():
+                found = self.one_pre_token(w)
+            elif found is None:
+                # A stop or comma after a letter is a pre-token of its own.
+                body, mark = (w[:-1], self.marks[w[-1:]]) if w[-1:] in self.marks and _ends_in_letter(w[:-1]) else (w, b"")
+                found = known.get(body) or before.get(body) or self.one_pre_token(body)
+                if found is None:
+                    rest.append(w)
+                    continue
+                found += mark
+            known[w] = found
+        if rest:
+            found = self.library.encode_batch([w.decode("utf-8", "surrogatepass") for w in rest], add_special_tokens=False)
+            known.update(zip(rest, (array(CODE, e.ids).tobytes() for e in found), strict=True))
+
+    def one_pre_token(self, word: bytes) -> bytes | None:
+        """Ids of a word of lower-case Latin letters; None for all others."""
+        if not (word.isalpha() and word.islower()):
+            s = word.decode("utf-8", "surrogatepass")
+            if not (s.isalpha() and max(s) < "\u0250" and s == s.lower() and unicodedata.is_normalized("NFC", s)):
+                return None
+        return array(CODE, [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.letters))]).tobytes()
+
+
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    """One memory of words for all tasks of a worker."""
+    return Words(path)
+
+
+def _ends_in_letter(word: bytes) -> bool:
+    return word[-1:].isalpha() or (word[-1:] >= b"\x80" and word.decode("utf-8", "surrogatepass")[-1].isalpha())
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, ids) of every row, ids as little-endian 32-bit integers with the end id."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    """(doc_id, n, ids) of every row, ids packed with the end id."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    end = np.array([end_id], PACKED).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Words(path)
-        for b in batches:
-            ids, sizes = [], []
-            for x in ids_of(b.column(1).to_pylist()):
-                ids.append(np.append(x, np.uint32(end_id)).astype("<u4").tobytes())
-                sizes.append(len(x) + 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+        ids_of = words_of(path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                ids = [ids_of(t.as_py()) + end for t in b.column(1)]
+                sizes = np.array([len(x) for x in ids], np.int64) // np.dtype(PACKED).itemsize
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, n long, ids binary")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
+    total = np.zeros(np.iinfo(PACKED).max + 1, np.int64)
     for b in batches:
-        for ids in b.column(0):
-            one = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(one) > len(total):
-                one[: len(total)] += total
-                total = one
-            else:
-                total[: len(one)] += one
+        total += np.bincount(_in_a_row(b.column(0), PACKED), minlength=len(total))
     seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen].astype(np.int64))], names=["id", "count"])
+    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["id", "count"])
 
 
 def _store(base: str, name: str, docs: list[tuple], control: list[bytes], data: list[bytes]) -> tuple[str, str, int, int]:
@@ -134,7 +206,7 @@ def write_token_ids(
 ) -> None:
     """Write the ids of all texts, each followed by ``end_id``, as files under ``base`` in ascending id order.
 
-    Null texts are empty.  Rows that repeat an id each have an entry, in the order of their ids' bytes; null
+    The vocabulary may have 65,536 entries at most.  Null texts are empty.  Rows that repeat an id each have an entry, in the order of their ids' bytes; null
     ids come first.  An empty table gives a manifest without files.
     """
     spark = docs.sparkSession
@@ -146,11 +218,10 @@ def write_token_ids(
     cuts = shards.cut_points(ids, "doc_id", "n", shard_tokens)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            packed = [pack(rank[np.frombuffer(x.as_buffer(), "<u4")]) for x in b.column(2)]
-            arrays = [pa.array(shards.shard_of(cuts, b.column(0))), b.column(0), b.column(1), *(pa.array(c, pa.binary()) for c in zip(*packed, strict=True))]
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays(arrays, names=["shard", "doc_id", "n", "control", "data"])
+        for b in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
+            control, data, quads, sizes = pack(rank[_in_a_row(b.column(2), PACKED)], b.column(1).to_numpy())
+            arrays = [pa.array(shards.shard_of(cuts, b.column(0))), b.column(0), b.column(1), _pieces(control, quads), _pieces(data, sizes)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "doc_id", "n", "control", "data"])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("temp", pa.string()), ("name", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
@@ -197,15 +268,15 @@ def read_token_ids(spark, base: str) -> DataFrame:
         store, folder = shards.file_system(base)
         with store.open_input_stream(f"{folder}/RANKS") as f:
             ranked = np.frombuffer(f.read(), "<u4")
-        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
         for b in batches:
             for name, begin in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                yield from shards.batches_of(_documents(store, f"{folder}/{name}", ranked, begin), schema, 1024)
+                yield from _documents(store, f"{folder}/{name}", ranked, begin)
 
     return shards.file_rows(spark, files, "name string, start long").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def _documents(store, path: str, ranked: np.ndarray, start: int) -> Iterator[tuple]:
+def _documents(store, path: str, ranked: np.ndarray, start: int, step: int = 512) -> Iterator[pa.RecordBatch]:
+    """The documents of one file, some hundreds at a time."""
     with store.open_input_stream(path) as f:
         raw = f.read()
     if raw[: len(MAGIC)] != MAGIC:
@@ -213,14 +284,18 @@ def _documents(store, path: str, ranked: np.ndarray, start: int) -> Iterator[tup
     n, index, controls, _ = np.frombuffer(raw, "<i8", 4, len(MAGIC)).tolist()
     at = len(MAGIC) + 32
     ids, sizes = np.frombuffer(raw, "<i8", n, at), np.frombuffer(raw, "<i8", n, at + 8 * n)
-    nulls = np.frombuffer(raw, np.uint8, n, at + 16 * n)
+    nulls = np.frombuffer(raw, np.uint8, n, at + 16 * n).astype(bool)
     control, data = np.frombuffer(raw, np.uint8, controls, at + index), np.frombuffer(raw, np.uint8, -1, at + index + controls)
     c = d = 0
-    for doc, size, null in zip(ids.tolist(), sizes.tolist(), nulls.tolist(), strict=True):
-        quads = control[c : c + -(-size // 4)]
-        length = int(LENGTHS[quads].reshape(-1)[:size].sum())
-        yield None if null else doc, start, size, ranked[unpack(quads, data[d : d + length], size)].astype("<u4").tobytes()
-        c, d, start = c + len(quads), d + length, start + size
+    for i in range(0, n, step):
+        part = sizes[i : i + step]
+        quads = control[c : c + int((-(-part // 4)).sum())]
+        length = int(LENGTHS[quads].sum()) - int((-part % 4).sum())  # a code that stands for nothing counts one
+        values = ranked[unpack(quads, data[d : d + length], part)].astype("<u4")
+        starts = start + np.cumsum(part) - part
+        arrays = [pa.array(ids[i : i + step], mask=nulls[i : i + step]), pa.array(starts), pa.array(part), _pieces(values.view(np.uint8), 4 * part)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "n_tokens", "ids"])
+        c, d, start = c + len(quads), d + length, start + int(part.sum())
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
