@@ -24,6 +24,7 @@ SPAN = max(WIDTHS)
 WINDOW = 256
 #: Bounds of the training sample: rows of all languages, windows of a row (spread over the text).
 SAMPLE_ROWS, SAMPLE_WINDOWS = 1_600, 6
+OVERSAMPLE = 4
 EPOCHS, BATCH, RATE, SEED = 4, 128, 4e-3, 5
 UNDETERMINED = "und"
 #: Windows that are scored at once.
@@ -136,15 +137,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     Without any labelled row the model knows no language.
     """
     text = F.col(f"`{text_col}`").cast("string")
-    usable = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text")).where(
-        "id is not null and lang is not null and text is not null"
-    )
-    usable = usable.where(~held_out(F.col("id")))
-    names = [r[0] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()]
-    if not names:
+    usable = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"))
+    usable = usable.where("id is not null and lang is not null").where(~held_out(F.col("id")))
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()
+    if not counts:
         return Model((), *(np.zeros(0, np.float32) for _ in range(5)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.select("id", "lang").withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= max(1, rows // len(names)))
+    each = max(1, rows // len(counts))
+    # Ids are first thinned out by their hash to about OVERSAMPLE times the sample, before any shuffle.
+    highest = {r["lang"]: int((1 << 63) * (2 * min(1.0, OVERSAMPLE * each / r["count"]) - 1)) - 1 for r in counts}
+    limits = F.create_map(*[F.lit(x) for pair in highest.items() for x in pair])
+    near = usable.select("id", "lang", F.xxhash64("id").alias("h")).where(F.col("h") <= F.try_element_at(limits, F.col("lang")))
+    order = Window.partitionBy("lang").orderBy("h", "id")
+    chosen = near.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= each)
     chosen = F.broadcast(chosen.select("id", "lang").distinct().limit(rows))  # the bound of the sample
     sample = usable.where(F.col("text").rlike("\\p{L}")).join(chosen, ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
     # Windows spread evenly over each text; only these bytes come to the driver.
