@@ -24,9 +24,11 @@ def ingest_stream(spark: SparkSession, source: DataFrame, store_path: str, check
 
 def request_counts(events: DataFrame, ts: str, kind: str, late: str = "1 hour", width: str = "1 day") -> DataFrame:
     """Requests of each kind in tumbling windows, with a watermark."""
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     return events.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), kind).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), kind, "n")
 
 
 def latest_once(events: DataFrame, ts: str, key: str, late: str = "1 hour") -> DataFrame:
     """Each key once within the watermark."""
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])

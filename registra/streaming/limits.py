@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUT = "key long, event_id long, allowed boolean, remaining int"
 
@@ -69,33 +69,28 @@ def limited(events: DataFrame, key: str, event: str, ts: str, rule: Callable[[],
     return rows.repartition("key").sortWithinPartitions("key", "at", "event_id").mapInPandas(run, OUT)
 
 
-class _Limiter(StatefulProcessor):
-    """Keyed state of a rule as a row of longs; entries idle for an hour go."""
+def limited_stream(events: DataFrame, key: str, event: str, ts: str, kind: type, limit: int, window_us: int, late: str = "1 hour") -> DataFrame:
+    """The same over a stream, with state that outlives micro-batches.
 
-    TTL_MS = 3_600_000
-
-    def __init__(self, kind: type, limit: int, window_us: int):
-        self.kind, self.limit, self.window_us = kind, limit, window_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "values array<long>", self.TTL_MS)
+    Requests later than ``late`` are dropped.  A key idle for a window's length, by event time, would begin anew
+    anyway, so its state goes then.
+    """
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = [int(v) for v in self.state.get()[0]] if self.state.exists() else []
-        if self.kind is Fixed:
-            rule = Fixed(self.limit, self.window_us, *held)
+    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = list(state.get[0]) if state.exists else []
+        if kind is Fixed:
+            rule = Fixed(limit, window_us, *[int(v) for v in held])
         else:
-            rule = Sliding(self.limit, self.window_us, tuple(held))
-        pdf = pd.concat(list(rows)).sort_values(["at", "event_id"])  # one key's rows of one micro-batch
-        results = [rule(int(at)) for at in pdf["at"]]
-        self.state.update(([rule.start, rule.count] if self.kind is Fixed else list(rule.log),))
-        yield pd.DataFrame({"key": pdf["key"].tolist(), "event_id": pdf["event_id"].tolist(), "allowed": [r[0] for r in results], "remaining": [r[1] for r in results]})
-
-    def close(self) -> None:
-        pass
-
-
-def limited_stream(events: DataFrame, key: str, event: str, ts: str, kind: type, limit: int, window_us: int) -> DataFrame:
-    """The same over a stream, with state that outlives micro-batches."""
-    rows = events.select(F.col(key).cast("long").alias("key"), F.col(event).cast("long").alias("event_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at"))
-    return rows.where("key is not null").groupBy("key").transformWithStateInPandas(_Limiter(kind, limit, window_us), OUT, outputMode="append", timeMode="processingTime")
+            rule = Sliding(limit, window_us, tuple(int(v) for v in held))
+        rows = pd.concat(list(batches)).sort_values(["at", "event_id"])  # one key's rows of one micro-batch
+        results = [rule(int(at)) for at in rows["at"]]
+        state.update(([rule.start, rule.count] if kind is Fixed else list(rule.log),))
+        state.setTimeoutTimestamp((int(rows["at"].max()) + window_us) // 1000 + 1)
+        yield pd.DataFrame({"key": rows["key"].tolist(), "event_id": rows["event_id"].tolist(), "allowed": [r[0] for r in results], "remaining": [r[1] for r in results]})
+
+    rows = events.where(F.col(key).isNotNull()).withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
+    rows = rows.select(F.col(key).cast("long").alias("key"), F.col(event).cast("long").alias("event_id"), F.unix_micros("_ts").alias("at"), "_ts")
+    return rows.groupBy("key").applyInPandasWithState(step, OUT, "held array<long>", "append", GroupStateTimeout.EventTimeTimeout)
