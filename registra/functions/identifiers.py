@@ -33,9 +33,8 @@ def parse_identifier(column: Column) -> Column:
 
 def section_identifier(column: Column) -> Column:
     """The section that an identifier lies in, or null."""
-    p = parse_identifier(column)
-    section = F.concat(F.lit("/us/"), p["code"], F.lit("/t"), p["title"], F.lit("/s"), p["section"])
-    return F.when(p["code"] != "fr", section)
+    section = _part(column, r"^/\w+/((?:usc|cfr)/t\w+/s[^/]+)(?:/.+)?$", 1)
+    return F.concat(F.lit("/us/"), section)
 
 
 def resolve_identifier(column: Column, prefix: str) -> Column:
@@ -45,13 +44,14 @@ def resolve_identifier(column: Column, prefix: str) -> Column:
 
 
 def fallback_url(column: Column) -> Column:
-    p = parse_identifier(column)
-    out = F.lit(None).cast("string")
+    """The publisher's page of an identifier; null for identifiers of other grammars."""
+    out = F.when(column.rlike(_FR), F.regexp_replace(column, _FR, FALLBACKS["fr"][0] + "$3"))
     for code in ("usc", "cfr"):
         base, join = FALLBACKS[code]
-        titled = F.concat(F.lit(base), p["title"], F.coalesce(F.concat(F.lit(join), p["section"]), F.lit("")))
-        out = F.when(p["code"] == code, titled).otherwise(out)
-    return F.when(p["code"] == "fr", F.concat(F.lit(FALLBACKS["fr"][0]), p["section"])).otherwise(out)
+        section, title = rf"^/\w+/{code}/t(\w+)/s([^/]+)(?:/.+)?$", rf"^/\w+/{code}/t(\w+)$"
+        out = out.when(column.rlike(section), F.regexp_replace(column, section, f"{base}$1{join}$2"))
+        out = out.when(column.rlike(title), F.regexp_replace(column, title, f"{base}$1"))
+    return out
 
 
 def leading_int(column: Column) -> Column:

@@ -52,9 +52,9 @@ def ranked(df: DataFrame, doc: str, attributes: Sequence[str], queries: DataFram
     index = tokens(df, doc, attributes)
     words = query_words(queries, query, text)
     found = matches(index.select("token").distinct(), words)
-    hits = index.join(found, "token").join(words, "word")
-    # The best occurrence of each word in each document: fewest typos, then first attribute and place.
-    best = hits.groupBy(query, doc, "word", "nth").agg(F.min(F.struct("typos", "attribute", "pos")).alias("b"))
+    # The best occurrence of each word in each document: fewest typos, then first attribute and place.  It does
+    # not depend on the query, so it is found before words fan out to all queries that have them.
+    best = index.join(found, "token").groupBy(doc, "word").agg(F.min(F.struct("typos", "attribute", "pos")).alias("b")).join(words, "word")
     follow = Window.partitionBy(query, doc).orderBy("nth", "word")
     gap = F.least(F.abs(F.col("b.pos") - F.lag("b.pos").over(follow)), F.lit(FARTHEST))
     scored = best.withColumn("gap", F.coalesce(gap, F.lit(0))).groupBy(query, doc).agg(
