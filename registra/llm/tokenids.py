@@ -19,6 +19,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from registra.llm.common import drop_written, fresh_path, written
 
 MAGIC = b"TOKIDS01"
 #: Tokens of a shard, and bytes of data at which a file is closed and the next begun.
-SHARD_TOKENS, FILE_BYTES = 16_000_000, 64 << 20
+SHARD_TOKENS, FILE_BYTES = 6_000_000, 64 << 20
 #: Words whose ids a worker remembers.
 WORDS_HELD = 350_000
 #: Ids between the steps; in the files they are coded by rank.
@@ -190,13 +191,12 @@ def _store(base: str, name: str, docs: list[tuple], control: list[bytes], data:
     sizes = np.array([d[1] for d in docs], "<i8")
     nulls = np.array([d[0] is None for d in docs], np.uint8)
     index = ids.tobytes() + sizes.tobytes() + nulls.tobytes()
-    controls, datas = b"".join(control), b"".join(data)
     store, path = shards.file_system(base)
     temp = f"_temporary/{name}.{uuid.uuid4().hex}"
     store.create_dir(f"{path}/_temporary", recursive=True)
     with store.open_output_stream(f"{path}/{temp}") as out:
-        out.write(MAGIC + np.array([len(docs), len(index), len(controls), len(datas)], "<i8").tobytes())
-        for part in (index, controls, datas):
+        out.write(MAGIC + np.array([len(docs), len(index), sum(map(len, control)), sum(map(len, data))], "<i8").tobytes())
+        for part in chain((index,), control, data):
             out.write(part)
     return temp, name, len(docs), int(sizes.sum())
 
