@@ -3,8 +3,8 @@
 The network predicts each token from the WINDOW tokens on both of its sides: embeddings by place, a hidden
 layer, and a softmax in two steps, first over classes of words of like frequency, then within the class.
 It is trained in numpy on the whole corpus.  Every task passes over its own documents, a seeded share of
-whose places is masked, and the tasks' weights are averaged by the number of places; this is repeated.  A
-document's score is the sum of the log-probabilities of all its tokens, each given both sides.
+whose places are the targets, and the tasks' weights are averaged by the number of places; this is repeated
+until each place of the corpus was a target once.  A document's score is the sum of the log-probabilities of all its tokens, each given both sides.
 
 Words are lower-cased text between ASCII white space.  The vocabulary is counted over the whole corpus;
 words outside it share hashed entries.
@@ -28,7 +28,7 @@ VOCABULARY = CLASSES * CLASS_WORDS
 PAD = VOCABULARY
 WINDOW, EMBED, HIDDEN = 2, 16, 32
 PLACES = [o for o in range(-WINDOW, WINDOW + 1) if o]
-MASKED, RATES, BATCH, SEED = 0.15, (5e-3, 2e-3), 4_096, 3
+RATES, BATCH, SEED = (5e-3, 2e-3), 4_096, 3
 #: Tokens scored at once, and words whose entries a worker remembers.
 BLOCK, WORDS_HELD = 32_768, 500_000
 SHAPES = {
@@ -76,7 +76,7 @@ def log_probabilities(w: Weights, folded: np.ndarray, context: np.ndarray, targe
     hidden = np.maximum(hidden + w["bias"], 0)
     group, word = target // CLASS_WORDS, target % CLASS_WORDS
     out = _log_softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(target)), group]
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group.astype(np.int16), kind="stable")
     ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
         rows = order[ends[c] : ends[c + 1]]
@@ -93,15 +93,18 @@ def fold(w: Weights) -> np.ndarray:
 def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
     """Of the mean negative log-probability."""
     n = len(target)
-    e = w["embed"][context]  # (n, places, EMBED)
-    hidden = np.maximum(np.einsum("npe,peh->nh", e, w["mix"], optimize=True) + w["bias"], 0)
+    folded = fold(w)
+    hidden = folded[0][context[:, 0]]
+    for j in range(1, len(PLACES)):
+        hidden += folded[j][context[:, j]]
+    hidden = np.maximum(hidden + w["bias"], 0)
     group, word = target // CLASS_WORDS, target % CLASS_WORDS
     d_class = np.exp(_log_softmax(hidden @ w["to_class"] + w["class_bias"]))
     d_class[np.arange(n), group] -= 1
     d_class /= n
     g = {"to_class": hidden.T @ d_class, "class_bias": d_class.sum(0), "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
     d_hidden = d_class @ w["to_class"].T
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group.astype(np.int16), kind="stable")
     ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
         rows = order[ends[c] : ends[c + 1]]
@@ -114,15 +117,23 @@ def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
             d_hidden[rows] += d @ w["to_word"][c].T
     d_hidden *= hidden > 0
     g["bias"] = d_hidden.sum(0)
-    g["mix"] = np.stack([e[:, p].T @ d_hidden for p in range(len(PLACES))])
-    g["embed"] = np.zeros_like(w["embed"])
-    for p in range(len(PLACES)):
-        d_e = d_hidden @ w["mix"][p].T
-        for j in range(EMBED):  # bincount sums repeated words faster than add.at
-            g["embed"][:, j] += np.bincount(context[:, p], d_e[:, j], VOCABULARY + 1)
+    g["mix"], g["embed"] = np.zeros_like(w["mix"]), np.zeros_like(w["embed"])
+    for p in range(len(PLACES)):  # what repeated words add is summed before it is multiplied
+        order = np.argsort(context[:, p].astype(np.int16), kind="stable")
+        words = context[order, p]
+        first = np.flatnonzero(np.diff(words, prepend=-1))
+        d_word = np.add.reduceat(d_hidden[order], first)
+        g["mix"][p] = w["embed"][words[first]].T @ d_word
+        g["embed"][words[first]] += d_word @ w["mix"][p].T
     return g
 
 
+def targets(doc: np.ndarray, n_pass: int, passes: int, seed: int = SEED) -> np.ndarray:
+    """The places of a document that a pass takes as targets; the passes share out all places."""
+    deal = np.random.default_rng((seed, zlib.crc32(doc[:64].tobytes()), len(doc)))
+    return np.flatnonzero(deal.integers(0, passes, len(doc)) == n_pass)
+
+
 class Adam:
     def __init__(self, w: Weights, rate: float):
         self.w, self.rate, self.step = w, rate, 0
@@ -172,8 +183,8 @@ def entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, docs.select(F.col(f"`{id_col}`").alias("doc_id")).schema.add("ids", "binary"))
 
 
-def train(ids: DataFrame, rates: tuple[float, ...] = RATES, masked: float = MASKED, seed: int = SEED, batch: int = BATCH) -> Weights:
-    """Weights fitted to the column ``ids`` of all rows, one pass for each rate.
+def train(ids: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED, batch: int = BATCH) -> Weights:
+    """Weights fitted to the column ``ids`` of all rows, one pass for each rate; each place is a target in one of them.
 
     Each pass sums (weights x places) over the tasks in a shuffle; only the sums come to the driver.  Passes
     start from equal weights in all tasks, so they depend on how rows are dealt to tasks, but not on timing.
@@ -189,8 +200,7 @@ def train(ids: DataFrame, rates: tuple[float, ...] = RATES, masked: float = MASK
             for b in batches:
                 for raw in b.column(0):
                     doc = np.frombuffer(raw.as_buffer(), "<u2").astype(np.int64)
-                    pick = np.random.default_rng((seed, n_pass, zlib.crc32(doc[:64].tobytes()), len(doc)))
-                    at = np.flatnonzero(pick.random(len(doc)) < masked)
+                    at = targets(doc, n_pass, len(rates), seed)
                     for s in range(0, len(at), batch):
                         held.append((contexts(doc, at[s : s + batch]), doc[at[s : s + batch]]))
                         size += len(held[-1][1])
