@@ -6,8 +6,10 @@ It is trained in numpy on the whole corpus.  Every task passes over its own docu
 whose places are the targets, and the tasks' weights are averaged by the number of places; this is repeated
 until each place of the corpus was a target once.  A document's score is the sum of the log-probabilities of all its tokens, each given both sides.
 
-Words are lower-cased text between ASCII white space.  The vocabulary is counted over the whole corpus;
-words outside it share hashed entries.
+Words are lower-cased text between ASCII white space, and all words of the corpus are its vocabulary.  The
+most frequent have entries of their own in the network; the others share hashed entries, and a word's part
+of its entry is its part of the entry's tokens: log p(word) = log p(entry | both sides) + log(n(word) /
+n(entry)).  These counts are a table that grows with the corpus and is joined, never collected.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from registra.llm.common import written
 
@@ -31,6 +35,7 @@ PLACES = [o for o in range(-WINDOW, WINDOW + 1) if o]
 RATES, BATCH, SEED = (5e-3, 2e-3), 4_096, 3
 #: Tokens scored at once, and words whose entries a worker remembers.
 BLOCK, WORDS_HELD = 32_768, 500_000
+SHARE_UNITS = 1 << 32
 SHAPES = {
     "embed": (VOCABULARY + 1, EMBED),
     "mix": (len(PLACES), EMBED, HIDDEN),
@@ -147,40 +152,56 @@ class Adam:
             self.w[k] = (self.w[k] - self.rate * (self.m[k] / (1 - 0.9**self.step)) / (np.sqrt(self.v[k] / (1 - 0.999**self.step)) + 1e-8)).astype(np.float32)
 
 
-def vocabulary(words: DataFrame) -> list[str]:
-    """The most frequent words of the column ``word``, ties by name; VOCABULARY - HASHED at most."""
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+def vocabulary(counts: DataFrame) -> list[str]:
+    """The most frequent words of (word, n), ties by name; VOCABULARY - HASHED at most."""
     return [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - HASHED).collect()]
 
 
-def entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ids) of every row, ids as little-endian 16-bit entries of the corpus's own vocabulary."""
+def entries(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, ids, rare) of every row, and (h, share) of every word in a hashed entry: the log of its part.
+
+    ids are little-endian 16-bit entries; rare holds XXH64 of the words in hashed entries, as often as they
+    occur; row numbers the rows.  Shares are whole numbers of 1 / SHARE_UNITS, so that their sums do not depend on order.
+    """
     text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
     words = rows.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
+    counts = written(words.groupBy("word").agg(F.count("*").alias("n")), "words")
     # Hashed entries lie among the rare words, in the last classes.
-    numbers = {w.encode(): i for i, w in enumerate(vocabulary(words))}
+    own = vocabulary(counts)
+    numbers = {w.encode(): i for i, w in enumerate(own)}
 
     def number(word: bytes) -> int:
         return VOCABULARY - HASHED + zlib.crc32(word) % HASHED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(numbers)
+        known = {w: (i, None) for w, i in numbers.items()}
         for b in batches:
-            out = []
-            for t in b.column(1):
-                found = []
+            out, rare = [], []
+            for t in b.column(2):
+                found, tail = [], []
                 for w in t.as_buffer().to_pybytes().split():
-                    i = known.get(w)
-                    if i is None:
+                    e = known.get(w)
+                    if e is None:
                         if len(known) > WORDS_HELD:
-                            known = dict(numbers)
-                        i = known[w] = number(w)
-                    found.append(i)
+                            known = {w: (i, None) for w, i in numbers.items()}
+                        e = known[w] = number(w), xxhash.xxh64_intdigest(w, 42)  # as Spark's xxhash64
+                    found.append(e[0])
+                    if e[1] is not None:
+                        tail.append(e[1])
                 out.append(np.array(found, "<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+                rare.append(np.array(tail, np.uint64).view(np.int64))
+            ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rare])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary()), lists], names=["doc_id", "row", "ids", "rare"])
 
-    return rows.mapInArrow(run, docs.select(F.col(f"`{id_col}`").alias("doc_id")).schema.add("ids", "binary"))
+    ids = rows.mapInArrow(run, rows.select("doc_id", "row").schema.add("ids", "binary").add("rare", ArrayType(LongType())))
+    # VOCABULARY - HASHED words and HASHED entries at most are broadcast.
+    firsts = docs.sparkSession.createDataFrame([(w,) for w in own], "word string")
+    rare_words = counts.join(F.broadcast(firsts), "word", "left_anti").withColumn("entry", F.expr(f"crc32(CAST(word AS BINARY)) % {HASHED}"))
+    totals = rare_words.groupBy("entry").agg(F.sum("n").alias("total"))
+    share = F.round((F.log("n") - F.log("total")) * SHARE_UNITS).cast("long")
+    return ids, rare_words.join(F.broadcast(totals), "entry").select(F.xxhash64("word").alias("h"), share.alias("share"))
 
 
 def train(ids: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED, batch: int = BATCH) -> Weights:
@@ -253,18 +274,20 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``pll`` sums natural logarithms over all tokens, 0 for null and empty texts, whose mean is null.
     Repeated rows get equal scores.  An empty table gives an empty one; other columns are not read.
     """
-    ids = written(entries(docs, id_col, text_col), "entries")
+    ids, shares = entries(docs, id_col, text_col)
+    ids = written(ids, "entries")
     w = train(ids, rates, batch=batch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in b.column(1)]
+            found = [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in b.column(2)]
             sizes = np.array([len(x) for x in found], np.int64)
             scores = np.array(score_ids(w, found), np.float64)
-            mean = pa.array(scores / np.maximum(sizes, 1), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(scores), mean], names=["doc_id", "n_tokens", "pll", "mean_pll"])
-
-    schema = ids.select("doc_id").schema
-    for name, kind in (("n_tokens", "long"), ("pll", "double"), ("mean_pll", "double")):
-        schema = schema.add(name, kind)
-    return ids.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), pa.array(scores)], names=["doc_id", "row", "n_tokens", "network"])
+
+    schema = ids.select("doc_id", "row").schema.add("n_tokens", "long").add("network", "double")
+    scored = ids.select("doc_id", "row", "ids").mapInArrow(run, schema)
+    rare = ids.select("row", F.explode("rare").alias("h")).join(shares, "h").groupBy("row").agg(F.sum("share").alias("share"))
+    pll = F.col("network") + F.coalesce(F.col("share"), F.lit(0)) / SHARE_UNITS
+    out = scored.join(rare, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"))
+    return out.withColumn("mean_pll", F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")))

@@ -16,3 +16,20 @@ def test_every_place_is_a_target_once(passes):
         doc = np.arange(size) % 900
         seen = np.concatenate([lm.targets(doc, n, passes) for n in range(passes)])
         assert sorted(seen) == list(range(size))
+
+
+def test_rare_words_have_probabilities_of_their_own(spark):
+    own = lm.VOCABULARY - lm.HASHED
+    entry = lambda w: zlib.crc32(w.encode()) % lm.HASHED
+    rare, garbage = "rare", next(w for i in range(10_000) if entry(w := f"junk{i}") == entry("rare"))
+    common = " ".join(f"w{i}" for i in range(own)) + " "
+    texts = [common * 20, "one two rare three", f"one two {garbage} three", "rare " * 9, "one two rare three", "Straße é " + common]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm.pseudo_likelihood(docs, rates=(5e-3,), batch=64).collect()}
+    assert len(got) == len(texts) and got[1].n_tokens == got[2].n_tokens == 4
+    assert abs(got[1].pll - got[2].pll - np.log(11 / 1)) < 1e-4  # "rare" occurs 11 times, the other word once
+    assert got[1].pll == got[4].pll and abs(got[1].mean_pll - got[1].pll / 4) < 1e-12
+    ids, shares = lm.entries(docs, "doc_id", "text")
+    assert {len(r.rare) for r in ids.where("doc_id in (1, 2)").collect()} == {4}
+    parts = [2.0 ** (np.log2(np.e) * r.share / lm.SHARE_UNITS) for r in shares.collect()]
+    assert len(parts) == 7 and abs(sum(parts) - len({entry(w) for w in ("one", "two", "rare", garbage, "three", "straße", "é")})) < 1e-6
