@@ -8,8 +8,11 @@ finer levels than the first symbol only where a cell is that crowded).  If even
 symbols hold too few, it ascends in all trees at once, by one sibling symbol in a step, in the order in
 which its rotated vector points to them.  All that it meets is scored exactly.
 
-``wanted`` is CANDIDATES * n ** POWER strings for n distinct vectors.  Vectors are lifted by one dimension
-so that the nearest in angle are those of the largest inner product.
+Vectors are lifted by one dimension so that the nearest in angle are those of the largest inner product.
+They are dealt to bands by their length, within a factor of BAND of each other, and each band has a forest of its
+own that is lifted to its longest vector and searched by every query; ``wanted`` is CANDIDATES * n ** POWER
+strings for the n distinct vectors of a band.  In one forest for all, the lifted dimension of the short vectors
+would outweigh the others, and a query would meet them instead of the long ones.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from registra.llm import vectors
 from registra.llm.common import written
 
 TREES, CANDIDATES, POWER, SEED = 12, 4.0, 0.8, 11
+BAND = 1.25
 #: Bits of a string after its first symbol, and bits between two counted levels.
 SIGN_BITS, LEVEL_BITS = 48, 4
 
@@ -48,17 +52,24 @@ class Strings:
         return bits @ (1 << np.arange(SIGN_BITS - 1, -1, -1, dtype=np.int64))
 
 
-def lifted(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
+def band_of(x: np.ndarray, longest: float) -> np.ndarray:
+    """Which band of lengths each vector is in; 0 has the longest."""
+    with np.errstate(all="ignore"):
+        steps = np.log(longest / np.sqrt((x * x).sum(1))) / np.log(BAND)
+    return np.clip(np.nan_to_num(steps, nan=0.0), 0, 1 << 20).astype(np.int64)
+
+
+def lifted(x: np.ndarray, longest: float | np.ndarray, query: bool) -> np.ndarray:
     """Vectors of length ``longest`` that keep inner products with queries."""
     extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, longest**2 - (x * x).sum(1)))
     return np.concatenate([x, extra[:, None]], axis=1)
 
 
-def _crowded(hashed: DataFrame, counts: dict[tuple[int, int], int], limit: float) -> dict[int, dict[tuple[int, int], int]]:
+def _crowded(hashed: DataFrame, counts: dict[tuple[int, int], int], limits: np.ndarray) -> dict[int, dict[tuple[int, int], int]]:
     """Counts of prefixes below crowded cells: level to (tree, prefix) to count; every level below a crowded prefix only."""
     levels: dict[int, dict[tuple[int, int], int]] = {0: counts}
     level = 0
-    while level < SIGN_BITS and (heavy := [p for p, n in levels[level].items() if n > limit]):
+    while level < SIGN_BITS and (heavy := [p for p, n in levels[level].items() if n > limits[p[0]]]):
         prefix = F.expr(f"shiftright(a, {SIGN_BITS - level})")
         key = F.concat_ws(":", "tree", prefix.cast("string"))
         part = hashed.where(key.isin([f"{t}:{p}" for t, p in heavy]))
@@ -87,23 +98,41 @@ def nearest(
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array((vectors.from_binary(b.column(0), dim) ** 2).sum(1))], names=["norm"])
 
-    n, norm = all_.select("v").mapInArrow(norms, "norm double").agg(F.count("*"), F.max("norm")).first()
+    norm = all_.select("v").mapInArrow(norms, "norm double").agg(F.max("norm")).first()[0]
     longest = float(np.sqrt(norm)) if norm else 1.0
-    wanted = candidates * max(n, 1) ** power
+
+    def band_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x = vectors.from_binary(b.column(0), dim)
+                yield pa.RecordBatch.from_arrays([pa.array(band_of(x, longest)), pa.array((x * x).sum(1))], names=["band", "norm"])
+
+    # One row for each band, a factor of BAND in length.
+    found_bands = sorted(all_.select("v").mapInArrow(band_lengths, "band long, norm double").groupBy("band").agg(F.count("*"), F.max("norm")).collect())
+    bands = np.array([r[0] for r in found_bands], np.int64)
+    band_longest = np.sqrt(np.array([r[2] for r in found_bands], np.float64))
+    wanted = candidates * np.array([r[1] for r in found_bands], np.float64) ** power
+    forests = len(bands) * trees  # tree t of band b is number b * trees + t
+
+    def banded(v: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The first tree of each vector's band, and the vectors as they are lifted there."""
+        own = vectors.from_binary(v, dim)
+        band = np.searchsorted(bands, band_of(own, longest))
+        return band * trees, lifted(own, band_longest[band], False)
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = lifted(vectors.from_binary(b.column(1), dim), longest, False)
+            first, x = banded(b.column(1))
             for t in range(trees):
                 a = (strings.turned(x, t).argmax(1).astype(np.int64) << SIGN_BITS) | strings.signs(x, t)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(a), b.column(0)], names=["tree", "a", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array((first + t).astype(np.int32)), pa.array(a), b.column(0)], names=["tree", "a", "rep"])
 
     hashed = written(all_.select("rep", "v").mapInArrow(hash_all, "tree int, a long, rep long"), "strings")
-    rows = hashed.groupBy("tree", F.expr(f"shiftright(a, {SIGN_BITS})").alias("p")).count().collect()  # trees x symbols at most
-    levels = _crowded(hashed, {(r["tree"], r["p"]): r["count"] for r in rows}, 2 * wanted / trees)
-    count = np.zeros((trees, strings.symbols), np.int64)
+    rows = hashed.groupBy("tree", F.expr(f"shiftright(a, {SIGN_BITS})").alias("p")).count().collect()  # bands x trees x symbols at most
+    levels = _crowded(hashed, {(r["tree"], r["p"]): r["count"] for r in rows}, 2 * np.repeat(wanted, trees) / trees)
+    count = np.zeros((forests, strings.symbols), np.int64)
     for (t, p), c in levels[0].items():
         count[t, p] = c
     parts = np.maximum(1, -(-count // vectors.PART_ROWS))
@@ -114,12 +143,11 @@ def nearest(
             if not b.num_rows:
                 continue
             rep = b.column(0).to_numpy()
-            own = vectors.from_binary(b.column(1), dim)
-            x = lifted(own, longest, False)
+            first, x = banded(b.column(1))
             for t in range(trees):
                 symbol = strings.turned(x, t).argmax(1)
                 a = (symbol.astype(np.int64) << SIGN_BITS) | strings.signs(x, t)
-                part = first_part[t, symbol] + vectors.parts_of(rep, parts[t, symbol])
+                part = first_part[first + t, symbol] + vectors.parts_of(rep, parts[first + t, symbol])
                 yield _block(part, 0, rep, b.column(1), a, a)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,27 +157,28 @@ def nearest(
             rep = b.column(0).to_numpy()
             x = lifted(vectors.from_binary(b.column(1), dim), longest, True)
             order = [np.argsort(-strings.turned(x, t), axis=1, kind="stable") for t in range(trees)]
-            met = sum(np.cumsum(count[t][order[t]], axis=1) for t in range(trees))
-            steps = np.minimum((met < wanted).sum(1) + 1, strings.symbols)
             signs = [strings.signs(x, t) for t in range(trees)]
             part, row, low, high = [], [], [], []
-            for i in range(len(x)):
-                level = 0
-                if steps[i] == 1:
-                    deeper = [lv for lv in levels if lv and sum(levels[lv].get((t, (int(order[t][i, 0]) << lv) | int(signs[t][i]) >> (SIGN_BITS - lv)), 0) for t in range(trees)) >= wanted]
-                    level = max(deeper, default=0)
-                for t in range(trees):
-                    for symbol in order[t][i, : steps[i]].tolist():
-                        a, z = vectors.LOWEST, vectors.HIGHEST
-                        if level:
-                            rest = SIGN_BITS - level
-                            a = ((symbol << level) | int(signs[t][i]) >> rest) << rest
-                            z = a + (1 << rest) - 1
-                        for p in range(parts[t, symbol] if count[t, symbol] else 0):
-                            part.append(first_part[t, symbol] + p)
-                            row.append(i)
-                            low.append(a)
-                            high.append(z)
+            for first, enough in zip(range(0, forests, trees), wanted, strict=True):
+                met = sum(np.cumsum(count[first + t][order[t]], axis=1) for t in range(trees))
+                steps = np.minimum((met < enough).sum(1) + 1, strings.symbols)
+                for i in range(len(x)):
+                    level = 0
+                    if steps[i] == 1:
+                        deeper = [lv for lv in levels if lv and sum(levels[lv].get((first + t, (int(order[t][i, 0]) << lv) | int(signs[t][i]) >> (SIGN_BITS - lv)), 0) for t in range(trees)) >= enough]
+                        level = max(deeper, default=0)
+                    for t in range(trees):
+                        for symbol in order[t][i, : steps[i]].tolist():
+                            a, z = vectors.LOWEST, vectors.HIGHEST
+                            if level:
+                                rest = SIGN_BITS - level
+                                a = ((symbol << level) | int(signs[t][i]) >> rest) << rest
+                                z = a + (1 << rest) - 1
+                            for p in range(parts[first + t, symbol] if count[first + t, symbol] else 0):
+                                part.append(first_part[first + t, symbol] + p)
+                                row.append(i)
+                                low.append(a)
+                                high.append(z)
             at = np.array(row, np.int64)
             yield _block(np.array(part, np.int64), 1, rep[at], b.column(1).take(pa.array(at)), np.array(low, np.int64), np.array(high, np.int64))
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from registra.llm import lm
+from registra.llm import forest, lm
 
 
 @pytest.mark.parametrize("passes", [1, 2, 5])
@@ -33,3 +35,19 @@ def test_rare_words_have_probabilities_of_their_own(spark):
     assert {len(r.rare) for r in ids.where("doc_id in (1, 2)").collect()} == {4}
     parts = [2.0 ** (np.log2(np.e) * r.share / lm.SHARE_UNITS) for r in shares.collect()]
     assert len(parts) == 7 and abs(sum(parts) - len({entry(w) for w in ("one", "two", "rare", garbage, "three", "straße", "é")})) < 1e-6
+
+
+def test_forest_keeps_recall_on_uneven_lengths(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((8_000, 32))
+    x *= (rng.lognormal(0, 0.7, 8_000) / np.linalg.norm(x, axis=1))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in forest.nearest(df, F.col("vec_id") % 100 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    recall = []
+    for q in range(0, 8_000, 100):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall.append(len(got[q] & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.95 and min(recall) >= 0.8
