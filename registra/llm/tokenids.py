@@ -12,6 +12,7 @@ are in ascending doc_id order, nulls first.  The table of ranks lies beside the
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import uuid
@@ -23,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -33,10 +35,18 @@ from registra.llm.common import drop_written, fresh_path, written
 MAGIC = b"TOKIDS01"
 #: Tokens of a shard, and bytes of data at which a file is closed and the next begun.
 SHARD_TOKENS, FILE_BYTES = 6_000_000, 64 << 20
-#: Words whose ids a worker remembers.
-WORDS_HELD = 350_000
+#: Bytes of text whose distinct words are encoded together, and words (the most frequent of the last such part) whose ids a worker remembers.
+TEXT_BYTES, WORDS_HELD = 8 << 20, 150_000
 #: Ids between the steps; in the files they are coded by rank.
 PACKED, CODE = "<u2", "H"
+#: The steps of a tokenizer file that allow its words to be encoded apart, as they stand in the file.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Marks that end a run of letters and begin no contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Lengths of the four codes of each control byte.
 LENGTHS = np.stack([(np.arange(256) >> 2 * j & 3) + 1 for j in range(4)], axis=1).astype(np.int64)
 
@@ -91,62 +101,106 @@ def _in_a_row(col: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(col.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind) if len(col) and offsets[-1] > offsets[0] else np.zeros(0, kind)
 
 
+def _ordinary(path: str) -> bool:
+    """Whether the file's tokenizer lower-cases, never merges across white space, and takes runs of letters and of marks apart."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    parts = lambda step: spec.get(step) and spec[step].get("normalizers" if step == "normalizer" else "pretokenizers")
+    model = spec["model"]
+    return (
+        parts("normalizer") == NORMALIZERS
+        and parts("pre_tokenizer") == PRE_TOKENIZERS
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+        and all("<|" in t["content"] for t in spec.get("added_tokens") or ())
+        and not any(spec.get(k) for k in ("truncation", "padding"))
+    )
+
+
 class Words:
-    """Packed ids of texts by a tokenizer that lower-cases and never merges across white space; words are remembered.
+    """Ids of many texts at once; the library encodes each distinct word of them, and numpy puts the ids in their places.
 
-    Texts come as UTF-8.  Lower-casing A-Z first leaves the ids as they are and makes words meet more often; a text
-    that may hold a special token's string keeps its case.  Only blanks and line ends are split at; other white space
-    stays inside a word and goes to the library.
+    That needs a tokenizer whose steps are NORMALIZERS and PRE_TOKENIZERS; with another file the library gets
+    whole texts, as it does a text that may hold a special token's string.  Lower-casing A-Z first leaves the ids
+    as they are.  Words are cut at ASCII white space; other white space stays inside a word.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
-        self.marks = {m: array(CODE, self.library.encode(m.decode(), add_special_tokens=False).ids).tobytes() for m in (b".", b",")}
+        self.ordinary = _ordinary(path)
+        self.known: dict[str, bytes] = {}
         # The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
         self.letters = {b: 256 + i for i, b in enumerate(others)}
 
-    def __call__(self, text: bytes) -> bytes:
-        words = (text if b"<|" in text else text.lower()).replace(b"\n", b" ").split(b" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.known.__getitem__, words))
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.known) > WORDS_HELD:  # what was met since the last time stays at hand
-            self.known, self.before = {}, self.known
-        known, before, rest = self.known, self.before, []
-        for w in set(words).difference(known):
-            found = before.get(w)
-            if found is None and w.isalpha() and w.islower():
-                found = self.one_pre_token(w)
-            elif found is None:
-                # A stop or comma after a letter is a pre-token of its own.
-                body, mark = (w[:-1], self.marks[w[-1:]]) if w[-1:] in self.marks and _ends_in_letter(w[:-1]) else (w, b"")
-                found = known.get(body) or before.get(body) or self.one_pre_token(body)
-                if found is None:
-                    rest.append(w)
-                    continue
-                found += mark
-            known[w] = found
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many belong to each text."""
+        whole = pc.match_substring(texts, "<|") if self.ordinary else pa.array(np.ones(len(texts), bool))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(whole, "", texts)))
+        coded = lists.flatten().dictionary_encode()
+        at, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        each = self.encoded(words)
+        sizes = np.fromiter(map(len, each), np.int32, len(each)) // np.dtype(PACKED).itemsize  # a text has 2 GB at most
+        ids = _gather(np.frombuffer(b"".join(each), PACKED), np.cumsum(sizes, dtype=np.int32) - sizes, sizes, at)
+        upto = np.concatenate([[0], np.cumsum(sizes[at], dtype=np.int64)])
+        counts = np.diff(upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
+        often = np.bincount(at, minlength=len(words))
+        keep = np.argsort(-often, kind="stable")[:WORDS_HELD].tolist()
+        self.known = {words[i]: each[i] for i in keep}
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            own = np.array(self.library.encode(texts[i].as_py(), add_special_tokens=False).ids, PACKED)
+            ids, counts[i] = np.insert(ids, int(counts[:i].sum()), own), len(own)
+        return ids, counts
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each of some distinct words."""
+        found = list(map(self.known.get, words))
+        cores: dict[str, bytes | None] = {"": None}
+        rest = []
+        for i, word in enumerate(words):
+            if found[i] is not None:
+                continue
+            core = word if word.isalpha() else word.strip(MARKS)
+            if core not in cores:
+                cores[core] = self.one_pre_token(core)
+            own = cores[core]
+            if own is None:
+                rest.append(i)
+            elif core is word:
+                found[i] = own
+            else:  # the runs of marks on both sides are pre-tokens of their own
+                begin = word.index(core)
+                found[i] = self.marks(word[:begin]) + own + self.marks(word[begin + len(core) :])
         if rest:
-            found = self.library.encode_batch([w.decode("utf-8", "surrogatepass") for w in rest], add_special_tokens=False)
-            known.update(zip(rest, (array(CODE, e.ids).tobytes() for e in found), strict=True))
-
-    def one_pre_token(self, word: bytes) -> bytes | None:
-        """Ids of a word of lower-case Latin letters; None for all others."""
-        if not (word.isalpha() and word.islower()):
-            s = word.decode("utf-8", "surrogatepass")
-            if not (s.isalpha() and max(s) < "\u0250" and s == s.lower() and unicodedata.is_normalized("NFC", s)):
+            for i, e in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
+                found[i] = array(CODE, e.ids).tobytes()
+        return found
+
+    def one_pre_token(self, word: str) -> bytes | None:
+        """Packed ids of a word of lower-case Latin letters; None for all others."""
+        if word.isascii():
+            if not (word.isalpha() and word.islower()):
                 return None
-        return array(CODE, [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.letters))]).tobytes()
+        elif word.isalpha() and max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word):
+            word = word.encode().decode("latin-1").translate(self.letters)
+        else:
+            return None
+        return array(CODE, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    @lru_cache(maxsize=10_000)  # noqa: B019  one object for each worker
+    def marks(self, run: str) -> bytes:
+        return array(CODE, self.library.encode(run, add_special_tokens=False).ids).tobytes() if run else b""
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs ``at`` of ``values`` in a row; run i begins at starts[i] and has sizes[i] values."""
+    n = sizes[at]
+    place = np.repeat(starts[at] - (np.cumsum(n, dtype=np.int32) - n), n)
+    place += np.arange(len(place), dtype=np.int32)
+    return values[place]
 
 
 @lru_cache(maxsize=1)
@@ -155,24 +209,28 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
-def _ends_in_letter(word: bytes) -> bool:
-    return word[-1:].isalpha() or (word[-1:] >= b"\x80" and word.decode("utf-8", "surrogatepass")[-1].isalpha())
+def _parts(batch: pa.RecordBatch, col: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices with about ``size`` bytes in a column of strings; a text is never cut."""
+    upto = np.cumsum(pc.binary_length(batch.column(col)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n, ids) of every row, ids packed with the end id."""
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
-    end = np.array([end_id], PACKED).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = words_of(path)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
-                ids = [ids_of(t.as_py()) + end for t in b.column(1)]
-                sizes = np.array([len(x) for x in ids], np.int64) // np.dtype(PACKED).itemsize
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+        for b in (part for whole in batches for part in _parts(whole, 1, TEXT_BYTES)):
+            ids, sizes = ids_of(b.column(1))
+            ids = np.insert(ids, np.cumsum(sizes), np.array(end_id, PACKED))
+            sizes = sizes + 1
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), _pieces(ids.view(np.uint8), 2 * sizes)], names=["doc_id", "n", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, n long, ids binary")
 
