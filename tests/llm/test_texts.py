@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -219,14 +220,14 @@ def test_token_ids(spark):
     assert tokenids.round_trip(docs.limit(0), path, 2).count() == 0
 
 
-@pytest.mark.parametrize("chunk,overlap", [(64, 16), (bpe.CHUNK, bpe.OVERLAP)])
-def test_bpe(spark, chunk, overlap):
+@pytest.mark.parametrize("chunk,overlap,deal_above", [(64, 16, 1 << 30), (64, 16, 64), (bpe.CHUNK, bpe.OVERLAP, bpe.DEAL_ABOVE)])
+def test_bpe(spark, chunk, overlap, deal_above):
     path = queries.bpe_path()
     rng = random.Random(1)
     parts = ["a", "b", " ", "  ", "\n", "\n\n", " \n", "'re", "'s", "'", "12", "é", "日本", "!!", "😀", "\t", "\x1c", " ", "́", "x" * 9]
     rows = [(i, "".join(rng.choice(parts) for _ in range(rng.choice([0, 5, 50, 300])))) for i in range(150)]
     rows += [(i, t) for i, t in ((r.doc_id, r.text) for r in odd.documents(spark).collect()) if len(t or "") < 5000 or chunk > 64]
-    rows += [(1000, "y" * 700), (1001, " " * 500), (1002, "z" * 150 + " " + "q" * 90 + "\n" * 80 + "k")]
+    rows += [(1000, "y" * 700), (1001, " " * 500), (1002, "z" * 150 + " " + "q" * 90 + "\n" * 80 + "k"), (1003, "ab\n\nc " * 90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
     library = bpe.library(path)
     want = []
@@ -234,10 +235,47 @@ def test_bpe(spark, chunk, overlap):
         ids = library.encode_ordinary(t or "")
         assert library.decode(ids) == (t or "")
         want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
-    assert order(bpe.encode(docs, path, ["doc_id"], chunk=chunk, overlap=overlap).collect()) == order(want)
+    got = bpe.encode(docs, path, ["doc_id"], chunk=chunk, overlap=overlap, dealt=chunk, dealt_overlap=overlap, deal_above=deal_above).collect()
+    assert order([r[:4] for r in got]) == order(want)
+    pieces = {r.doc_id: r.n_pieces for r in got}
+    assert pieces[1000] == 1 and (chunk > 64 or pieces[1003] > 8)
     assert bpe.encode(docs.limit(0), path, ["doc_id"]).count() == 0
 
 
+def test_bpe_whole_table(spark, sf_dir):
+    library = bpe.library(queries.bpe_path())
+    got = {r.doc_id: r for r in queries.op10_byte_bpe(spark, sf_dir).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode_ordinary(r.text or "")
+        assert (got[r.doc_id].n_tokens, got[r.doc_id].ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+    assert sum(r.n_pieces > 1 for r in got.values()) > 10
+
+
+def test_token_ids_whole_table(spark, sf_dir):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    start, got = 0, {r.doc_id: r for r in queries.op9_token_ids(spark, sf_dir).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        assert tuple(got[r.doc_id])[1:] == (start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
+
+
+def test_words_apart_and_in_whole():
+    """Odd texts encode alike with words apart, and a file with other steps gets whole texts."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(4)
+    parts = ["a", "the", " ", "\n", "'re", "'s", "'", "12", "é", "É", "İ", "日本", "!!", "($%", "<|", "|>", "😀", "\x1c", "\u2003", "́", "ſ", "Σς", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([0, 3, 12, 40]))) for _ in range(1_500)]
+    words = tokenids.Words(path)
+    want = [e.ids for e in words.library.encode_batch(texts, add_special_tokens=False)]
+    for ordinary in (True, False):
+        words.ordinary = ordinary
+        ids, sizes = words(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    assert tokenids._ordinary(path) and not tokenids._ordinary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_pseudo_likelihood(spark):
     rng = random.Random(2)
     phrases = ["the cat sat on the mat", "a dog ran in the park", "we like green tea"]
