@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from registra.shared import written
+
 
 def titles(df: DataFrame, title: Sequence[str], chapter: str, positive: str, approximate: bool = False) -> DataFrame:
     """Documents, distinct chapters (nulls not counted) and whether any is positive law, for each title."""
@@ -84,11 +86,11 @@ def most_frequent(df: DataFrame, value: str, order: str) -> DataFrame:
 def chunks(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """``df`` with the number of the chunk of ``size`` rows it falls into, in a global order.
 
-    Two passes: rows are ranked inside range partitions, whose sizes (a number for each partition) are then
-    summed up, so no task holds all rows.
+    Two passes: rows are ranked inside range partitions and written, so that both passes see the same ranks; the sizes of
+    the partitions (a number for each) are then summed up, so no task holds all rows.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_at", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
+    ranged = written(ranged.withColumn("_at", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33)), "ranged")
     sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     numbered = ranged.join(F.broadcast(starts.select("_p", "_start")), "_p")  # a row for each partition

@@ -16,12 +16,14 @@ def last_wins(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
-def resolved_links(refs: DataFrame, href: str, registry: DataFrame, source_file: str) -> DataFrame:
+def resolved_links(refs: DataFrame, href: str, registry: DataFrame, source_file: str, order: Column | None = None) -> DataFrame:
     """``refs`` with target_file, link (relative path) and url.
 
     A reference leads to the file of its identifier, else to that of the section it lies in; ``url`` is the
-    link, else the publisher's page.  ``registry`` has identifier and file_path, one row each.
+    link, else the publisher's page.  ``registry`` has identifier and file_path; of several rows with one identifier the
+    last in ``order`` counts (by default the greatest path), so that a reference stays one row.
     """
+    registry = last_wins(registry.select("identifier", "file_path", *([] if order is None else [order.alias("_order")])), ["identifier"], [F.desc("file_path" if order is None else "_order"), F.desc("file_path")])
     exact = registry.select(F.col("identifier").alias("_exact"), F.col("file_path").alias("_exact_file"))
     section = registry.select(F.col("identifier").alias("_section"), F.col("file_path").alias("_section_file"))
     out = refs.join(exact, refs[href] == F.col("_exact"), "left").join(section, identifiers.section_identifier(F.col(href)) == F.col("_section"), "left")

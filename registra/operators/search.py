@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from registra.shared import small_or_shuffled, written
+
 SPLIT = r"[^\p{L}\p{N}]+"
 #: Shortest words that may differ by one and by two characters, and the largest distance that counts.
 ONE_TYPO, TWO_TYPOS, FARTHEST = 5, 9, 8
@@ -31,30 +33,67 @@ def query_words(queries: DataFrame, query: str, text: str) -> DataFrame:
 def matches(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     """(word, token, typos) of the tokens that a word matches.
 
-    A token matches if it is the word, or begins alike and is within the typos that the word's length allows;
-    ``words`` are the given queries', a small set, and meet only tokens of the same first letter.
+    A token matches if it is the word, or begins alike and is within the typos that the word's length allows.  A word
+    meets the tokens of the same first letter and of each length that is near enough.
     """
-    own = words.select("word").distinct().withColumn("first", F.substring("word", 1, 1))
-    plain = F.col("word").rlike("^[a-z0-9]+$") & F.col("token").rlike("^[a-z0-9]+$")
+    plain = F.col("word").rlike("^[a-z0-9]+$")
     allowed = F.when(plain & (F.length("word") >= TWO_TYPOS), 2).when(plain & (F.length("word") >= ONE_TYPO), 1).otherwise(0)
-    near = vocabulary.withColumn("first", F.substring("token", 1, 1)).join(own, "first")
-    near = near.where(F.abs(F.length("token") - F.length("word")) <= allowed)
+    own = words.select("word").distinct().withColumn("allowed", allowed).withColumn("first", F.substring("word", 1, 1))
+    sized = own.withColumn("size", F.explode(F.sequence(F.length("word") - F.col("allowed"), F.length("word") + F.col("allowed"))))
+    near = vocabulary.withColumn("first", F.substring("token", 1, 1)).withColumn("size", F.length("token")).join(sized, ["first", "size"])
+    near = near.where((F.col("word") == F.col("token")) | ((F.col("allowed") > 0) & F.col("token").rlike("^[a-z0-9]+$")))
     typos = F.when(F.col("word") == F.col("token"), 0).otherwise(F.levenshtein("word", "token"))
-    return near.withColumn("typos", typos).where(F.col("typos") <= allowed).select("word", "token", "typos")
+    return near.withColumn("typos", typos).where(F.col("typos") <= F.col("allowed")).select("word", "token", "typos")
+
+
+#: Fields that a search may be sorted by.
+SORT_FIELDS = ("publication_date", "title_number", "identifier", "document_number")
+
+
+def filtered(df: DataFrame, source: str | None = None, title_number: int | None = None, document_type: str | None = None, agency: str | None = None, status: str | None = None, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """Documents that fulfil all given conditions; quotes, backslashes and line ends are taken out of agency and status.
+
+    Applied before ``ranked``, so Spark prunes what it scans.
+    """
+    clean = lambda text: None if text is None else "".join(c for c in text if c not in '"\\\n\r')
+    equal = {"source": source, "title_number": title_number, "document_type": document_type or None, "agency": clean(agency or None), "status": clean(status or None)}
+    for name, value in equal.items():
+        if value is not None and value != "":
+            df = df.where(F.col(name) == value)
+    if date_from:
+        df = df.where(F.col("publication_date") >= date_from)
+    if date_to:
+        df = df.where(F.col("publication_date") <= date_to)
+    return df
+
+
+def sorted_by(hits: DataFrame, query: str, doc: str, sort: str | None) -> DataFrame:
+    """``hits`` of ``ranked`` with ``rank`` by a field ('-' in front: descending) instead of relevance; other fields leave it as it is."""
+    field = (sort or "").removeprefix("-")
+    if field not in SORT_FIELDS:
+        return hits
+    order = F.col(field).desc_nulls_last() if (sort or "").startswith("-") else F.col(field).asc_nulls_last()
+    return hits.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy(order, doc)).cast("long"))
 
 
 def ranked(df: DataFrame, doc: str, attributes: Sequence[str], queries: DataFrame, query: str, text: str, top: int) -> DataFrame:
     """The ``top`` documents of each query with rank and criteria.
 
     Criteria in order: more words matched, fewer typos, shorter distance of words that follow each other in
-    the query, heavier attribute, more exact words, smaller id.
+    the query, heavier attribute, more exact words, smaller id.  The words matched decide first, so the other criteria are
+    found only for the documents that have as many as the last of the ``top``.
     """
     index = tokens(df, doc, attributes)
-    words = query_words(queries, query, text)
-    found = matches(index.select("token").distinct(), words)
+    words = written(query_words(queries, query, text), "words")
+    # Once counted, a small side keeps the index from being shuffled.
+    found = small_or_shuffled(written(matches(index.select("token").distinct(), words), "matches"))
+    words = small_or_shuffled(words)
     # The best occurrence of each word in each document: fewest typos, then first attribute and place.  It does
     # not depend on the query, so it is found before words fan out to all queries that have them.
-    best = index.join(found, "token").groupBy(doc, "word").agg(F.min(F.struct("typos", "attribute", "pos")).alias("b")).join(words, "word")
+    once = written(index.join(found, "token").groupBy(doc, "word").agg(F.min(F.struct("typos", "attribute", "pos")).alias("b")), "best")
+    matched = once.select(doc, "word").join(words.select(query, "word"), "word").groupBy(query, doc).agg(F.count("*").alias("n"))
+    first = matched.withColumn("r", F.rank().over(Window.partitionBy(query).orderBy(F.desc("n")))).where(F.col("r") <= top).select(query, doc)
+    best = once.join(words, "word").join(first, [query, doc], "left_semi")
     follow = Window.partitionBy(query, doc).orderBy("nth", "word")
     gap = F.least(F.abs(F.col("b.pos") - F.lag("b.pos").over(follow)), F.lit(FARTHEST))
     scored = best.withColumn("gap", F.coalesce(gap, F.lit(0))).groupBy(query, doc).agg(
@@ -76,8 +115,8 @@ def facets(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def highlighted(text: Column, words: Sequence[str]) -> Column:
-    """Words between <mark> and </mark>, whatever their case."""
-    return F.regexp_replace(text, r"(?i)\b(" + "|".join(sorted(words)) + r")\b", "<mark>$1</mark>")
+    """Words between <mark> and </mark>, whatever their case; no letter or digit of any script stands next to them."""
+    return F.regexp_replace(text, r"(?i)(?<![\p{L}\p{N}])(" + "|".join(sorted(words)) + r")(?![\p{L}\p{N}])", "<mark>$1</mark>")
 
 
 def cropped(text: Column, words: Sequence[str], length: int) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registra.functions import dates, identifiers
+from registra.functions.text import quoted_block
 from registra.operators import markdown, relations
 from registra.shared import written
 
@@ -39,6 +40,8 @@ class Dialect:
     quoted: Sequence[str] = ("quotedContent",)
     skipped: Sequence[str] = ("toc", "meta")
     marks: dict[str, str] = field(default_factory=lambda: {"b": "bold", "term": "bold", "i": "italic", "sup": "sup", "sub": "sub"})
+    codes: dict[str, str] = field(default_factory=dict)  # attribute T of an inline element to how it is shown, before marks
+    title_attr: str | None = None  # attribute whose beginning, up to a colon, is a title's number
     tables: Sequence[str] = ("xhtml:table", "table", "layout")
     rows: Sequence[str] = ("xhtml:tr", "tr", "row", "header", "tocItem")
     cells: Sequence[str] = ("xhtml:td", "td", "xhtml:th", "th", "column")
@@ -46,6 +49,9 @@ class Dialect:
     header_cells: Sequence[str] = ("xhtml:th", "th")
 
 
+#: Emphasis codes of regulations and of the register.
+ECFR_CODES = {"01": "bold", "02": "italic", "03": "bold", "04": "italic", "05": "italic", "51": "sub", "52": "sub", "54": "sub", "7462": "italic"}
+FR_CODES = {"01": "bold", "02": "italic", "03": "italic", "04": "italic", "05": "italic", "51": "sub", "52": "sub", "54": "sub", "7462": "italic"}
 #: Element names of the three sources.
 USLM = Dialect("usc", {n: n for n in (*BIG, *SMALL)} | {"compiledAct": "chapter", "reorganizationPlan": "chapter"})
 ECFR = Dialect(
@@ -55,12 +61,14 @@ ECFR = Dialect(
     number_attr="N",
     numbers=(),
     headings=("HEAD",),
-    blocks=("P", "FP", "PSPACE", "FP-1", "FP-2"),
+    title_attr="NODE",
+    blocks=("P", "FP", "PSPACE", "FP-1", "FP-2", "FP-DASH", "FP1-2", "FRP"),
     notes={"AUTH": "authority", "SOURCE": "source", "EDNOTE": "editorial", "NOTE": "general", "EFFDNOT": "effectiveDate", "CROSSREF": "crossReference"},
     credits=("CITA",),
     quoted=("EXTRACT",),
     skipped=("HED", "XREF", "CFRTOC", "HEADER"),
     marks={"I": "italic", "E": "italic", "B": "bold", "SU": "sup"},
+    codes=ECFR_CODES,
     tables=("TABLE",),
     rows=("TR",),
     cells=("TD", "TH"),
@@ -73,12 +81,13 @@ FR = Dialect(
     identifier_attr=None,
     numbers=(),
     headings=("SUBJECT", "HD"),
-    blocks=("P", "FP", "AMDPAR", "SECTNO", "NAME", "DATED", "ACT", "AGY", "SUM", "DATES", "ADD", "FURINF"),
+    blocks=("P", "FP", "FP-1", "FP-2", "FRP", "AMDPAR", "SECTNO", "NAME", "DATED", "ACT", "AGY", "SUM", "DATES", "ADD", "FURINF"),
     notes={"AUTH": "authority", "FTNT": "footnote", "SIG": "signature"},
     credits=(),
     quoted=("EXTRACT",),
     skipped=("PRTPAGE", "GPH", "BILCOD", "TTITLE", "FRDOC", "CNTNTS"),
-    marks={"E": "italic", "SU": "sup"},
+    marks={"I": "italic", "B": "bold", "E": "italic", "SU": "sup"},
+    codes=FR_CODES,
     tables=("GPOTABLE",),
     rows=("BOXHD", "ROW"),
     cells=("CHED", "ENT"),
@@ -123,6 +132,9 @@ def annotated(events: DataFrame, d: Dialect, emit: str = "section") -> DataFrame
     label = F.col("attrs")[d.level_attr] if d.level_attr else F.col("name")
     level = F.when((F.col("kind") == "open") & free, F.try_element_at(known, label))
     number = F.col("attrs")[d.number_attr] if d.number_attr else F.lit(None).cast("string")
+    if d.title_attr:  # there N is the number of a volume
+        of_title = F.nullif(F.split_part(F.col("attrs")[d.title_attr], F.lit(":"), F.lit(1)), F.lit(""))
+        number = F.when(F.try_element_at(known, label) == "title", F.coalesce(of_title, number)).otherwise(number)
     identifier = F.col("attrs")[d.identifier_attr] if d.identifier_attr else F.lit(None).cast("string")
     rows = rows.withColumn("level", level).withColumn("quoted", ~free)
     rows = rows.withColumn("last_level", F.last(F.when(F.col("level").isNotNull(), F.col("seq")), ignorenulls=True).over(_so_far()))
@@ -135,7 +147,7 @@ def annotated(events: DataFrame, d: Dialect, emit: str = "section") -> DataFrame
         "table": _last(named(d.tables)),
         "row": _last(named(d.rows), F.col("name")),
         "cell": _last(named(d.cells), F.col("name")),
-        "mark": _last(named(d.marks), F.col("name")),
+        "mark": _last(named(d.marks), F.col("name"), F.col("attrs")["T"].alias("code")),
     }
     slots |= {f"in_{t}": _last(F.col("level") == t, identifier.alias("identifier"), number.alias("number")) for t in BIG if t in d.levels.values()}
     rows = rows.select("*", *[c.alias(n) for n, c in slots.items()])
@@ -162,11 +174,11 @@ def level_heads(rows: DataFrame, d: Dialect) -> DataFrame:
     return first
 
 
-def documents(events: DataFrame, d: Dialect, emit: str = "section", notes: tuple[bool, bool, bool] | None = None) -> DataFrame:
+def documents(events: DataFrame, d: Dialect, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
     """One row for each emitted level: doc, ord, identifier, number, heading, status, ancestors, markdown, source_credit, token_estimate, suffix.
 
     ``notes``: whether editorial, statutory and amendment notes stay; None keeps all.  ``suffix`` tells apart
-    levels that share a number inside their parent.
+    levels that share a number inside their parent.  Without ``credits`` they are in a column alone, not in the Markdown.
     """
     # Read several times below: once written, the documents are parsed and sorted once.
     rows = written(annotated(events, d, emit).where("kind = 'text' or level is not null").drop("attrs"), "events")
@@ -183,7 +195,7 @@ def documents(events: DataFrame, d: Dialect, emit: str = "section", notes: tuple
     level = F.struct("a.level_type", "a.identifier", F.coalesce("a.number", "_n").alias("number"), F.col("_h").alias("heading"))
     named = each.select("doc", "ord", "nth", level.alias("a"))
     ancestors = named.groupBy("doc", "ord").agg(F.transform(F.sort_array(F.collect_list(F.struct("nth", "a"))), lambda e: e["a"]).alias("ancestors"))
-    body = _bodies(rows, d, notes)
+    body = _bodies(rows, d, notes, credits)
     out = units.join(ancestors, ["doc", "ord"], "left").join(body, ["doc", "ord"], "left")
     parent = F.concat_ws("/", F.transform(F.coalesce("ancestors", F.array()), lambda a: F.concat_ws("-", a["level_type"], a["number"])))
     out = out.withColumn("parent", parent).withColumn("markdown", F.coalesce("markdown", F.lit("")))
@@ -192,14 +204,16 @@ def documents(events: DataFrame, d: Dialect, emit: str = "section", notes: tuple
     return out.withColumn("token_estimate", F.ceil(F.length("markdown") / 4).cast("long")).drop("_above", "_number")
 
 
-def _bodies(rows: DataFrame, d: Dialect, notes: tuple[bool, bool, bool] | None) -> DataFrame:
+def _bodies(rows: DataFrame, d: Dialect, notes: tuple[bool, bool, bool] | None, credits: bool = True) -> DataFrame:
     """(doc, ord, markdown, source_credit) of every unit."""
     inside = rows.where((F.col("kind") == "text") & _inside("unit"))
     own_head = ~_inside("note") & (_inside("num") | _inside("head")) & (F.col("last_level") == F.col("unit.seq"))
     texts = inside.where(~(own_head & F.lit(d.source != "fr")) & ~_inside("table"))
-    texts = texts.where(F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0)
-    kinds = F.create_map(*[F.lit(x) for pair in d.marks.items() for x in pair])
-    shown = F.when(_inside("mark"), markdown.inline(F.try_element_at(kinds, F.col("mark.name")), F.col("text"))).otherwise(F.col("text"))
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for pair in d.marks.items() for x in pair]), F.col("mark.name"))
+    if d.codes:
+        kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in d.codes.items() for x in pair]), F.col("mark.code")), kind)
+    # White space alone stays as it is: it parts the elements around it.
+    shown = F.when(_inside("mark") & F.col("text").rlike(r"\S"), markdown.inline(kind, F.col("text"))).otherwise(F.col("text"))
     part = F.when(_inside("credit"), "credit").when(_inside("num"), "num").when(_inside("head"), "head").otherwise("text")
     blocks = (
         texts.withColumn("shown", shown)
@@ -207,14 +221,17 @@ def _bodies(rows: DataFrame, d: Dialect, notes: tuple[bool, bool, bool] | None)
         .withColumn("note_seq", F.when(_inside("note"), F.col("note.seq")))
         .groupBy("doc", F.col("unit.seq").alias("ord"), "block", "part", "note_seq", "quoted", F.col("note.topic").alias("topic"), F.col("note.role").alias("role"))
         .agg(_joined("shown").alias("t"))
+        .where("t <> ''")
     )
     if notes is not None:
         each = blocks.where("note_seq is not null").groupBy("doc", "ord", "note_seq").agg(F.first("topic", True).alias("topic"), F.first("role", True).alias("role"))
         kept = relations.notes_kept(each, ["doc", "ord"], [F.col("note_seq")], *notes).select("doc", "ord", "note_seq")
         blocks = blocks.where("note_seq is null").unionByName(blocks.where("note_seq is not null").join(kept, ["doc", "ord", "note_seq"], "left_semi"))
-    credits = blocks.where("part = 'credit'").groupBy("doc", "ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "t"))), lambda e: e["t"]), " ").alias("source_credit"))
+    credited = blocks.where("part = 'credit'").groupBy("doc", "ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "t"))), lambda e: e["t"]), " ").alias("source_credit"))
+    if not credits:
+        blocks = blocks.where("part <> 'credit'")
     bold = F.concat(F.lit("**"), F.col("t"), F.lit("**"))
-    md = F.when(F.col("part").isin("num", "head"), bold).when(F.col("quoted"), markdown_quote(F.col("t"))).otherwise(F.col("t"))
+    md = F.when(F.col("part").isin("num", "head"), bold).when(F.col("quoted"), quoted_block(F.col("t"))).otherwise(F.col("t"))
     lines = blocks.select("doc", "ord", "block", "part", md.alias("md"), F.col("note_seq").isNotNull().alias("in_note")).unionByName(_tables(rows, d))
     by_unit = Window.partitionBy("doc", "ord").orderBy("block")
     before = F.lag("part").over(by_unit)
@@ -223,11 +240,7 @@ def _bodies(rows: DataFrame, d: Dialect, notes: tuple[bool, bool, bool] | None)
     lines = lines.withColumn("para", F.sum("starts").over(by_unit.rowsBetween(Window.unboundedPreceding, 0)))
     paras = lines.groupBy("doc", "ord", "para").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "md"))), lambda e: e["md"]), " ").alias("md"))
     whole = paras.groupBy("doc", "ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("para", "md"))), lambda e: e["md"]), "\n\n").alias("markdown"))
-    return whole.join(credits, ["doc", "ord"], "left")
-
-
-def markdown_quote(column: Column) -> Column:
-    return F.regexp_replace(column, "(?m)^", "> ")
+    return whole.join(credited, ["doc", "ord"], "left")
 
 
 def _tables(rows: DataFrame, d: Dialect) -> DataFrame:
@@ -253,12 +266,37 @@ def field_texts(events: DataFrame, d: Dialect, names: Sequence[str], emit: str =
     return each.groupBy("doc", "ord").agg(*[F.max_by(F.when(F.col("name") == n, F.col("t")), F.when(F.col("name") == n, F.col("at"))).alias(n) for n in names])
 
 
-def code_documents(events: DataFrame, emit: str = "section", notes: tuple[bool, bool, bool] | None = None) -> DataFrame:
-    """Statutes: documents with legal status and display title."""
-    out = documents(events, USLM, emit, notes)
-    title = F.get(F.filter(F.col("ancestors"), lambda a: a["level_type"] == "title"), 0)["number"]
-    shown = F.concat_ws("", title, F.lit(" USC § "), "number", F.lit(" - "), "heading")
-    return out.withColumn("display_title", shown)
+def document_meta(events: DataFrame) -> DataFrame:
+    """(doc, dc_title, dc_type, doc_number, publication_name, release_point, publisher, created, creator, positive_law) of each document.
+
+    Each is the text of an element of the document's ``meta`` block, of several the last; positive_law is whether its property says yes.
+    """
+    names = {"dc:title": "dc_title", "dc:type": "dc_type", "docNumber": "doc_number", "docPublicationName": "publication_name", "docReleasePoint": "release_point", "dc:publisher": "publisher", "dcterms:created": "created", "dc:creator": "creator"}
+    # Such blocks are short and stand at the beginning: only what is before their end is sorted.
+    ends = events.where((F.col("kind") == "close") & (F.col("name") == "meta")).groupBy("doc").agg(F.min("seq").alias("_end"))
+    rows = events.where("kind <> 'error'").join(ends, "doc").where("seq < _end")
+    held = F.last(F.when(F.col("kind").isin("open", "close"), F.when(F.col("kind") == "open", F.struct("seq", "name", F.col("attrs")["role"].alias("role"))).otherwise(F.struct(F.lit(-1).cast("long").alias("seq"), "name", F.lit(None).cast("string").alias("role")))), ignorenulls=True)
+    texts = rows.withColumn("at", held.over(_so_far())).where("kind = 'text' and at.seq >= 0")
+    each = texts.groupBy("doc", "at.seq", "at.name", "at.role").agg(_joined().alias("t"))
+    latest = lambda which, value=F.col("t"): F.max_by(F.when(which, value), F.when(which, F.col("seq")))
+    law = (F.col("name") == "property") & (F.col("role") == "is-positive-law")
+    return each.groupBy("doc").agg(*[latest(F.col("name") == n).alias(c) for n, c in names.items()], latest(law, F.lower("t") == "yes").alias("positive_law"))
+
+
+def code_documents(events: DataFrame, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True, meta: DataFrame | None = None) -> DataFrame:
+    """Statutes: documents with legal status, title number and display title.
+
+    ``meta``, as ``document_meta`` returns it, tells whether a title is positive law (without it none is) and its number, which
+    may end in 'a' for an appendix; without one it is that of the level above.
+    """
+    out = documents(events, USLM, emit, notes, credits)
+    none = F.lit(None)
+    out = out.withColumn("doc_number", none.cast("string")).withColumn("positive_law", none.cast("boolean")) if meta is None else out.join(meta.select("doc", "doc_number", "positive_law"), "doc", "left")
+    title = F.get(F.filter(F.col("ancestors"), lambda a: a["level_type"].isin("title", "appendix")), 0)["number"]
+    number = F.regexp_replace(F.coalesce("doc_number", title), "(?i)a$", "")
+    status = F.when(F.coalesce("positive_law", F.lit(False)), "official_legal_evidence").otherwise("official_prima_facie")
+    shown = F.concat_ws("", number, F.lit(" USC § "), "number", F.lit(" - "), "heading")
+    return out.withColumn("legal_status", status).withColumn("title_number", identifiers.leading_int(number)).withColumn("display_title", shown)
 
 
 def regulation_documents(events: DataFrame, emit: str = "section") -> DataFrame:
@@ -275,9 +313,9 @@ def regulation_documents(events: DataFrame, emit: str = "section") -> DataFrame:
 
 def register_documents(events: DataFrame) -> DataFrame:
     """Register documents of daily issues: many from one file, with number, dates and preamble fields."""
-    fields = field_texts(events, FR, ["AGENCY", "SUBJECT", "CFR", "RIN", "FRDOC"])
+    fields = field_texts(events, FR, ["AGENCY", "SUBAGY", "SUBJECT", "CFR", "RIN", "FRDOC"])
     filed = dates.filed_document(F.col("FRDOC"))
-    meta = fields.select("doc", "ord", F.col("AGENCY").alias("agency"), F.col("SUBJECT").alias("subject"), F.col("CFR").alias("cfr"), F.regexp_replace("RIN", "^RIN\\s+", "").alias("rin"), filed.alias("f"))
+    meta = fields.select("doc", "ord", F.col("AGENCY").alias("agency"), F.col("SUBAGY").alias("sub_agency"), F.col("SUBJECT").alias("subject"), F.col("CFR").alias("cfr"), F.regexp_replace("RIN", "^RIN\\s+", "").alias("rin"), filed.alias("f"))
     out = documents(events, FR).drop("identifier").join(meta, ["doc", "ord"], "left")
     kinds = F.create_map(*[F.lit(x) for pair in (("RULE", "rule"), ("PRORULE", "proposed_rule"), ("NOTICE", "notice"), ("PRESDOCU", "presidential_document")) for x in pair])
     out = out.withColumn("document_type", F.try_element_at(kinds, F.col("element")))

@@ -185,13 +185,13 @@ def note_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @CATALOG.add("""
-WITH s AS (SELECT conv_id, turn, '**(' || turn || ')** **' || role || '** ' || substring(text, 1, 60) AS md, turn // 2 AS parent, turn % 2 = 0 AS top FROM conversations),
+WITH s AS (SELECT conv_id, turn, '**(' || turn || ')** **' || role || '** ' || text AS md, turn // 2 AS parent, turn % 2 = 0 AS top FROM conversations),
 b AS (SELECT conv_id, parent, string_agg(md, chr(10) || chr(10) ORDER BY turn) AS below FROM s WHERE NOT top GROUP BY ALL),
 a AS (SELECT s.conv_id, turn, md || CASE WHEN below IS NULL THEN '' ELSE chr(10) || chr(10) || below END AS md FROM s LEFT JOIN b ON s.conv_id = b.conv_id AND s.parent = b.parent WHERE top)
 SELECT conv_id, string_agg(md, chr(10) || chr(10) ORDER BY turn) AS markdown FROM a GROUP BY conv_id""")
 def section_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.concat(F.lit("("), F.col("turn").cast("string"), F.lit(")"))
-    md = markdown.small_level(number, F.col("role"), F.substring("text", 1, 60))
+    md = markdown.small_level(number, F.col("role"), F.col("text"))
     nodes = table(spark, sf_dir, "conversations").select(
         "conv_id", F.col("turn").alias("node_id"), F.expr("if(turn % 2 = 0, null, turn - 1)").alias("parent_id"), F.col("turn").alias("ord"), F.expr("turn % 2").alias("depth"), md.alias("own")
     )

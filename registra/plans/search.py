@@ -9,12 +9,11 @@ from registra.operators import search
 from registra.plans.common import Catalog, table
 
 CATALOG = Catalog()
-#: A search of the service takes a few words; an item's first words are the query.
-QUERY_WORDS, TOP = 4, 10
+TOP = 10
 MARKED = ["the", "ou", "der", "que"]
 
 _HITS = f"""
-WITH q AS (SELECT item_id, list_slice(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), 1, {QUERY_WORDS}) AS words FROM benchmark),
+WITH q AS (SELECT item_id, string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+') AS words FROM benchmark),
 qw AS (SELECT item_id, word, min(nth) AS nth FROM (SELECT item_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS nth FROM q) WHERE word <> '' GROUP BY ALL),
 a AS (SELECT doc_id, 0 AS attribute, string_split_regex(lower(source), '[^\\p{{L}}\\p{{N}}]+') AS words FROM documents
   UNION ALL SELECT doc_id, 1, string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+') FROM documents),
@@ -34,8 +33,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY words DESC, typ
 
 
 def _searched(spark: SparkSession, sf_dir: str, top: int) -> DataFrame:
-    words = F.array_join(F.slice(F.split(F.lower("text"), search.SPLIT), 1, QUERY_WORDS), " ")
-    queries = table(spark, sf_dir, "benchmark").select("item_id", words.alias("text"))
+    queries = table(spark, sf_dir, "benchmark")
     return search.ranked(table(spark, sf_dir, "documents"), "doc_id", ["source", "text"], queries, "item_id", "text", top)
 
 
@@ -46,18 +44,19 @@ def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add(f"{_HITS} SELECT item_id, doc_id, rank, (SELECT count(*) FROM s WHERE s.item_id = r.item_id) AS total FROM r WHERE item_id = 3 AND rank > 5 AND rank <= 10")
 def search_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.array_join(F.slice(F.split(F.lower("text"), search.SPLIT), 1, QUERY_WORDS), " ")
-    query = table(spark, sf_dir, "benchmark").where("item_id = 3").select("item_id", words.alias("text"))
+    query = table(spark, sf_dir, "benchmark").where("item_id = 3")
     hits = search.ranked(table(spark, sf_dir, "documents"), "doc_id", ["source", "text"], query, "item_id", "text", 2**31 - 1)
     page = hits.where("rank > 5 and rank <= 10").select("item_id", "doc_id", "rank")
     return page.join(F.broadcast(hits.agg(F.count("*").alias("total"))))  # one row
 
 
 @CATALOG.add(f"""
-SELECT doc_id, regexp_replace(substring(text, greatest(coalesce(least({', '.join(f"nullif(position('{w}' in lower(text)), 0)" for w in MARKED)}), 1) - 100, 1), 200), '(?i)\\b({'|'.join(sorted(MARKED))})\\b', '<mark>\\1</mark>', 'g') AS snippet
-FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7f]*$')""")
+WITH c AS (SELECT doc_id, substring(text, greatest(coalesce(least({', '.join(f"nullif(position('{w}' in lower(text)), 0)" for w in MARKED)}), 1) - 100, 1), 200) AS t FROM documents),
+-- A private character on both sides of every word stands for what RE2 cannot look at.
+b AS (SELECT doc_id, chr(57344) || regexp_replace(t, '([^\\p{{L}}\\p{{N}}]+)', chr(57344) || '\\1' || chr(57344), 'g') || chr(57344) AS t FROM c)
+SELECT doc_id, replace(regexp_replace(t, '(?i)' || chr(57344) || '({'|'.join(sorted(MARKED))})' || chr(57344), '<mark>\\1</mark>', 'g'), chr(57344), '') AS snippet FROM b""")
 def search_highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\x7f]*$"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", search.highlighted(search.cropped(F.col("text"), MARKED, 200), MARKED).alias("snippet"))
 
 

@@ -17,8 +17,8 @@ def _squeezed(column: str) -> str:
 
 
 #: Documents made into Markdown, so that every rule has something to do.
-_MD = "'## ' || coalesce(lang, '') || chr(10) || '> *' || source || '* [link](http://x/' || doc_id || ')[^1]' || chr(10) || '---' || chr(10) || chr(10) || chr(10) || chr(10) || '**' || substring(text, 1, 400) || '**' || chr(10)"
-_MD_SPARK = "concat('## ', coalesce(lang, ''), '\n> *', source, '* [link](http://x/', doc_id, ')[^1]\n---\n\n\n\n**', substring(text, 1, 400), '**\n')"
+_MD = "'## ' || coalesce(lang, '') || chr(10) || '> *' || source || '* [link](http://x/' || doc_id || ')[^1]' || chr(10) || '---' || chr(10) || chr(10) || chr(10) || chr(10) || '**' || text || '**' || chr(10)"
+_MD_SPARK = "concat('## ', coalesce(lang, ''), '\n> *', source, '* [link](http://x/', doc_id, ')[^1]\n---\n\n\n\n**', text, '**\n')"
 
 
 @CATALOG.add(f"""
@@ -32,10 +32,10 @@ def strip_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add(f"""
 WITH d AS (SELECT doc_id, {_MD} AS md FROM documents)
-SELECT doc_id, substring({_squeezed("regexp_replace(regexp_replace(md, '(?m)^#{1,6}\\s+.*$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")}, 1, 120) AS body FROM d""")
+SELECT doc_id, substring({_squeezed("regexp_replace(regexp_replace(md, '(?m)^#{1,6}\\s+.*$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")}, 1, 5000) AS body FROM d""")
 def search_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("md", F.expr(_MD_SPARK))
-    return docs.select("doc_id", text.search_body(F.col("md"), 120).alias("body"))
+    return docs.select("doc_id", text.search_body(F.col("md")).alias("body"))
 
 
 @CATALOG.add(f"SELECT doc_id, {_squeezed(chr(39).join(['regexp_replace(text, ', chr(92) + 's+', ', ', ' ', ', ', 'g', ')']))} AS line, regexp_replace({_squeezed('text')}, '\\n\\s*\\n', chr(10) || chr(10), 'g') AS paragraphs FROM documents")
@@ -66,9 +66,9 @@ def sanitize_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @CATALOG.add("""
-SELECT doc_id, coalesce(nullif(substring(regexp_replace(regexp_replace(regexp_replace(lower(substring(text, 1, 80)), '[^a-z0-9]+', '-', 'g'), '^-', ''), '-$', ''), 1, 50), ''), 'untitled') AS slug FROM documents""")
+SELECT doc_id, coalesce(nullif(substring(regexp_replace(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-', ''), '-$', ''), 1, 50), ''), 'untitled') AS slug FROM documents""")
 def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.slug(F.substring("text", 1, 80), "untitled").alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.slug(F.col("text"), "untitled").alias("slug"))
 
 
 @CATALOG.add("""
@@ -125,11 +125,11 @@ def frdoc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @CATALOG.add("""
-WITH r AS (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS z FROM orders WHERE o_custkey % 10 = 0), m AS (
+WITH r AS (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS z FROM orders), m AS (
   SELECT a, z, unnest(generate_series(date_trunc('month', a)::TIMESTAMP, z::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS first FROM r)
 SELECT greatest(first, a) AS chunk_start, least(last_day(first), z) AS chunk_end, date_diff('day', greatest(first, a), least(last_day(first), z))::BIGINT + 1 AS n_days FROM m""")
 def date_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    span = table(spark, sf_dir, "orders").where("o_custkey % 10 = 0").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("z"))
+    span = table(spark, sf_dir, "orders").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("z"))
     each = span.select(F.inline(dates.month_chunks(F.col("a"), F.col("z"))))
     return each.withColumn("n_days", F.size(dates.days(F.col("chunk_start"), F.col("chunk_end"))).cast("long"))
 
@@ -184,10 +184,10 @@ def heading_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @CATALOG.add("""
-WITH s AS (SELECT doc_id, 'A ' || chr(27) || '[31m' || substring(text, 1, 200) || chr(7) || chr(10) AS t FROM documents)
+WITH s AS (SELECT doc_id, 'A ' || chr(27) || '[31m' || text || chr(7) || chr(10) AS t FROM documents)
 SELECT doc_id, regexp_replace(regexp_replace(t, '\\x1B\\[[0-9;]*[a-zA-Z]', '', 'g'), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g') AS cleaned FROM s""")
 def control_char_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = F.concat(F.lit("A \x1b[31m"), F.substring("text", 1, 200), F.lit("\x07\n"))
+    given = F.concat(F.lit("A \x1b[31m"), F.col("text"), F.lit("\x07\n"))
     return table(spark, sf_dir, "documents").select("doc_id", text.control_stripped(given).alias("cleaned"))
 
 
@@ -216,9 +216,21 @@ def truncated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.truncated(F.col("text")).alias("title"))
 
 
-@CATALOG.add("SELECT p_partkey, upper(p_name[1:1]) || p_name[2:position(' ' in p_name)] || upper(p_name[position(' ' in p_name) + 1:position(' ' in p_name) + 1]) || p_name[position(' ' in p_name) + 2:] || ' of the USC' AS title FROM part")
+#: Words in a row, as they are given and as they are shown.
+_TITLES = ["EPA RULES ON", "(THE AIR) AND", "\tSO IT IS", "YET U.S. FROM", "A  SEC.", "Mixed case stays", "§ NASA — WITH"]
+_SHOWN = ["EPA Rules on", "(The Air) and", "\tso It Is", "yet U.S. From", "a  Sec.", None, "§ NASA — With"]
+
+
+@CATALOG.add(f"""
+WITH p AS (SELECT p_partkey, p_name, [{", ".join(f"'{t}'" for t in _TITLES)}][p_partkey % {len(_TITLES)} + 1] AS given, [{", ".join("NULL" if t is None else f"'{t}'" for t in _SHOWN)}][p_partkey % {len(_TITLES)} + 1] AS shown FROM part)
+SELECT p_partkey, CASE WHEN shown IS NULL THEN lower(p_name) || ' ' || given || ' of the usc'
+  ELSE upper(p_name[1:1]) || p_name[2:position(' ' in p_name)] || upper(p_name[position(' ' in p_name) + 1:position(' ' in p_name) + 1]) || p_name[position(' ' in p_name) + 2:] || ' ' || shown || ' of the USC' END AS title FROM p""")
 def title_cased(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", text.title_case(F.upper(F.concat("p_name", F.lit(" of the usc")))).alias("title"))
+    given = F.get(F.array(*[F.lit(t) for t in _TITLES]), (F.col("p_partkey") % len(_TITLES)).cast("int"))
+    raised = F.upper(F.concat("p_name", F.lit(" "), given, F.lit(" of the usc")))
+    low = F.concat(F.lower("p_name"), F.lit(" "), given, F.lit(" of the usc"))
+    shown = F.when(F.array_contains(F.array(*[F.lit(t) for t, s in zip(_TITLES, _SHOWN, strict=True) if s is None]), given), low).otherwise(raised)
+    return table(spark, sf_dir, "part").select("p_partkey", text.title_case(shown).alias("title"))
 
 
 @CATALOG.add("""
