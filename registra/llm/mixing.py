@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from registra.llm.common import small_or_shuffled, written
+from registra.llm.common import free_name, small_or_shuffled, written
 
-#: Hex digits of the order's digest that make a bucket: 4,096 buckets for each leaf.
-BUCKET_DIGITS = 3
+#: Hex digits by which the place where a leaf's budget ends is narrowed down in a round (256 sums for each leaf), and
+#: rows of a leaf that may be left between the digits found and that place.
+ROUND_DIGITS, EDGE_ROWS = 2, 64
+#: Hex digits of an order: MD5 of the id and MD5 of the text.
+ORDER_DIGITS = 64
 
 
 def allocate(leaves: DataFrame, levels: Sequence[str], budget: DataFrame) -> DataFrame:
@@ -53,6 +56,30 @@ def allocate(leaves: DataFrame, levels: Sequence[str], budget: DataFrame) -> Dat
     return table
 
 
+def _cuts(keyed: DataFrame, names: Sequence[str], leaves: int) -> tuple[DataFrame, int]:
+    """(names, _end, _room) of the leaves of ``keyed``, and the digits of _end.
+
+    ``keyed`` has names, rest, tokens and _order.  The orders that begin with _end are where ``rest`` runs out, and _room is
+    what is left of it there.  Each round sums up the tokens below the digits found so far by the next ROUND_DIGITS and
+    goes on into the one of these parts in which the budget ends, until it has EDGE_ROWS rows or fewer.
+    """
+    digits, cut = 0, None
+    while True:
+        if cut is None:
+            part = keyed.select("*", F.col("rest").alias("_room"))
+        else:
+            part = keyed.join(small_or_shuffled(cut.select(*names, "_end", "_room"), leaves), names).where(F.substring("_order", 1, digits) == F.col("_end")).drop("_end")
+        digits += ROUND_DIGITS
+        sums = part.groupBy(*names, F.substring("_order", 1, digits).alias("_end"), "_room").agg(F.sum("tokens").alias("sum"), F.count("*").alias("n"))
+        upto = F.sum("sum").over(Window.partitionBy(*names).orderBy("_end"))
+        ends = sums.withColumn("upto", upto).where(F.col("upto") > F.col("_room"))
+        first = ends.groupBy(*names).agg(F.min(F.struct("_end", (F.col("_room") - F.col("upto") + F.col("sum")).alias("room"), "n")).alias("e"))
+        cut = written(first.select(*names, F.col("e._end").alias("_end"), F.col("e.room").alias("_room"), F.col("e.n").alias("n")), "cuts")
+        most = cut.agg(F.max("n")).first()[0]
+        if most is None or most <= EDGE_ROWS or digits >= ORDER_DIGITS:
+            return cut.drop("n"), digits
+
+
 def mix(
     docs: DataFrame,
     levels: Sequence[tuple[str, Column, Column]],
@@ -64,7 +91,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that fill the budget of each leaf, with epoch, tokens, leaf_budget and the level columns.
+    """The rows of ``docs`` that fill the budget of each leaf, with the level columns, epoch, tokens and leaf_budget.
 
     ``levels`` lists (name, value, weight) from the root down; a null value is the value ''.  The budget is
     ``budget`` tokens, or ``budget_share`` of all.  A leaf has its tokens ``max_epochs`` times over.  In each
@@ -73,8 +100,12 @@ def mix(
     the text over 4, rounded up; null and empty texts have none and cost nothing.  Rows that repeat an id
     stand together, by the digest of their text; a null id counts as ''.  An empty table gives an empty one.
 
-    Running sums are taken over 4,096 buckets of each leaf first; only rows in the bucket where the budget
-    ends are sorted, so a leaf with a third of all rows is spread over many tasks.
+    All columns of ``docs`` stay as they are.  A level with the name of one of them is not added; epoch, tokens and
+    leaf_budget get a name with underscores behind it where ``docs`` has a column of that name.
+
+    Where the budget of a leaf ends is found by sums over digits of the order, so a leaf with a third of all rows is spread
+    over many tasks and only the last few rows are sorted.  Rows with equal id and text are equal for the order; all of
+    one leaf that stand where its budget ends are sorted in one task, as are the children of a node, one row each.
     """
     names = [n for n, _, _ in levels]
     count = tokens if tokens is not None else F.ceil(F.octet_length(F.col(f"`{text_col}`").cast("string")) / 4).cast("long")
@@ -103,27 +134,19 @@ def mix(
     whole = F.when(F.col("leaf_tokens") > 0, F.expr("leaf_budget div leaf_tokens")).otherwise(1).cast("int")
     plan = given.withColumn("whole", whole).withColumn("rest", F.col("leaf_budget") - F.col("whole") * F.col("leaf_tokens"))
     planned = small_or_shuffled(plan, n)
-    digest = lambda e: F.md5(F.concat(F.lit(f"{seed}:"), e.cast("string"), F.lit(":"), F.col("_id")))
-    keyed = base.select(*names, "tokens", "_id").join(planned, names).where(F.col("rest") > 0).withColumn("_order", digest(F.col("whole")))
-    bucket = F.substring("_order", 1, BUCKET_DIGITS)
-    sums = keyed.groupBy(*names, bucket.alias("_bucket"), "rest").agg(F.sum("tokens").alias("sum"))
-    upto = F.sum("sum").over(Window.partitionBy(*names).orderBy("_bucket"))
-    ends = sums.withColumn("upto", upto).where(F.col("upto") > F.col("rest"))
-    first = ends.groupBy(*names).agg(F.min(F.struct("_bucket", (F.col("rest") - F.col("upto") + F.col("sum")).alias("room"))).alias("e"))
-    cut = written(first.select(*names, F.col("e._bucket").alias("_end"), F.col("e.room").alias("_room")), "cuts")
-
-    rows = (
-        base.join(planned, names)
-        .join(small_or_shuffled(cut, n), names, "left")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
-        .withColumn("_order", digest(F.col("epoch")))
-        .withColumn("_bucket", bucket)
-    )
+    text_digest = F.md5(F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit("")))
+    order = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col("whole").cast("string"), F.lit(":"), F.col("_id"))), text_digest)
+    keyed = base.join(planned, names).where(F.col("rest") > 0).select(*names, "rest", "tokens", order.alias("_order"))
+    cut, digits = _cuts(written(keyed, "orders"), names, n)
+
+    rows = base.join(planned, names).join(small_or_shuffled(cut, n), names, "left").withColumn("_order", F.when(F.col("rest") > 0, order))
+    rows = rows.withColumn("_part", F.substring("_order", 1, digits)).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
     last = F.col("epoch") == F.col("whole")
-    sure = rows.where(~last | ((F.col("rest") > 0) & (F.col("_end").isNull() | (F.col("_bucket") < F.col("_end")))))
-    edge = rows.where(last & (F.col("rest") > 0) & (F.col("_bucket") == F.col("_end")))
-    order = Window.partitionBy(*names).orderBy("_order", F.md5(F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit("")))).rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("_upto", F.sum("tokens").over(order)).where(F.col("_upto") <= F.col("_room")).drop("_upto")
+    sure = rows.where(~last | ((F.col("rest") > 0) & (F.col("_end").isNull() | (F.col("_part") < F.col("_end")))))
+    edge = rows.where(last & (F.col("rest") > 0) & (F.col("_part") == F.col("_end")))
+    upto = Window.partitionBy(*names).orderBy("_order").rowsBetween(Window.unboundedPreceding, 0)
+    edge = edge.withColumn("_upto", F.sum("tokens").over(upto)).where(F.col("_upto") <= F.col("_room")).drop("_upto")
     out = [F.col("_row").getField(c).alias(c) for c in docs.columns]
-    extra = [c for c in (*names, "epoch", "tokens", "leaf_budget") if c not in docs.columns]
-    return sure.unionByName(edge).select(*out, *extra)
+    shown = [F.col(n) for n in names if n.lower() not in {c.lower() for c in docs.columns}]
+    shown += [F.col(c).alias(free_name(docs.columns, c)) for c in ("epoch", "tokens", "leaf_budget")]
+    return sure.unionByName(edge).select(*out, *shown)
