@@ -1,15 +1,16 @@
-"""Levels, documents and Markdown from XML events, by windows and groupings.
+"""Levels, documents and Markdown from XML, by groupings over one scan.
 
-Every window runs over one document's events in order.  What an event lies in is found by carrying the last
-element of a kind forward: it holds while its end lies ahead.  Nothing is nested or recursive, and a level
-of any kind can be emitted from the same events.
+A scan turns each document into rows for its texts and levels.  While the markup is read, the stack of open elements is at
+hand, so each row says what it lies in: the levels above it, the note, table, cell and mark, and the block of text.  Nothing
+is nested or recursive, no window runs over a document, and a level of any kind can be emitted from the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from registra.functions import dates, identifiers
 from registra.functions.text import quoted_block
 from registra.operators import markdown, relations
 from registra.shared import written
+from registra.sources import xml as markup
 
 #: From the largest level down; those after the section are numbered inside its text.
 BIG = ("title", "appendix", "subtitle", "chapter", "subchapter", "division", "part", "subpart", "section")
@@ -41,6 +43,7 @@ class Dialect:
     skipped: Sequence[str] = ("toc", "meta")
     marks: dict[str, str] = field(default_factory=lambda: {"b": "bold", "term": "bold", "i": "italic", "sup": "sup", "sub": "sub"})
     codes: dict[str, str] = field(default_factory=dict)  # attribute T of an inline element to how it is shown, before marks
+    fields: Sequence[str] = ()  # elements whose texts are asked for as columns, skipped or not
     title_attr: str | None = None  # attribute whose beginning, up to a colon, is a title's number
     tables: Sequence[str] = ("xhtml:table", "table", "layout")
     rows: Sequence[str] = ("xhtml:tr", "tr", "row", "header", "tocItem")
@@ -88,6 +91,7 @@ FR = Dialect(
     skipped=("PRTPAGE", "GPH", "BILCOD", "TTITLE", "FRDOC", "CNTNTS"),
     marks={"I": "italic", "B": "bold", "E": "italic", "SU": "sup"},
     codes=FR_CODES,
+    fields=("AGENCY", "SUBAGY", "SUBJECT", "CFR", "RIN", "FRDOC"),
     tables=("GPOTABLE",),
     rows=("BOXHD", "ROW"),
     cells=("CHED", "ENT"),
@@ -96,64 +100,130 @@ FR = Dialect(
 )
 
 
-def _so_far():
-    """A document's events up to and with each."""
-    return Window.partitionBy("doc").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-
-
-def placed(events: DataFrame) -> DataFrame:
-    """Events with depth (the root's is 1; a text's is its parent's) and, at an open, the end of its element."""
-    step = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
-    rows = events.where("kind <> 'error'").withColumn("depth", F.sum(step).over(_so_far()))
-    rows = rows.withColumn("depth", F.when(F.col("kind") == "close", F.col("depth") + 1).otherwise(F.col("depth")))
-    # Opens and closes of one depth alternate.
-    pair = Window.partitionBy("doc", "depth", F.col("kind") == "text").orderBy("seq")
-    return rows.withColumn("end", F.when(F.col("kind") == "open", F.lead("seq").over(pair)))
-
-
-def _last(which: Column, *values: Column) -> Column:
-    """The last open that fulfils ``which``: struct of seq, end and values."""
-    return F.last(F.when((F.col("kind") == "open") & which, F.struct("seq", "end", *values)), ignorenulls=True).over(_so_far())
-
-
-def _inside(slot: str) -> Column:
-    return F.coalesce(F.col(f"{slot}.end") >= F.col("seq"), F.lit(False))
-
-
-def annotated(events: DataFrame, d: Dialect, emit: str = "section") -> DataFrame:
-    """Events with what each lies in: slots unit (the emitted level), note, table, row, cell, and flags of its block."""
-    named = lambda names: F.col("name").isin(list(names))
-    rows = placed(events)
-    gone = F.max(F.when((F.col("kind") == "open") & named(d.skipped), F.col("end"))).over(_so_far())
-    rows = rows.withColumn("_gone", gone).where("_gone is null or _gone < seq")
-    rows = rows.withColumn("_quote", F.max(F.when((F.col("kind") == "open") & named(d.quoted), F.col("end"))).over(_so_far()))
-    free = F.col("_quote").isNull() | (F.col("_quote") < F.col("seq"))
-    known = F.create_map(*[F.lit(x) for pair in d.levels.items() for x in pair])
-    label = F.col("attrs")[d.level_attr] if d.level_attr else F.col("name")
-    level = F.when((F.col("kind") == "open") & free, F.try_element_at(known, label))
-    number = F.col("attrs")[d.number_attr] if d.number_attr else F.lit(None).cast("string")
-    if d.title_attr:  # there N is the number of a volume
-        of_title = F.nullif(F.split_part(F.col("attrs")[d.title_attr], F.lit(":"), F.lit(1)), F.lit(""))
-        number = F.when(F.try_element_at(known, label) == "title", F.coalesce(of_title, number)).otherwise(number)
-    identifier = F.col("attrs")[d.identifier_attr] if d.identifier_attr else F.lit(None).cast("string")
-    rows = rows.withColumn("level", level).withColumn("quoted", ~free)
-    rows = rows.withColumn("last_level", F.last(F.when(F.col("level").isNotNull(), F.col("seq")), ignorenulls=True).over(_so_far()))
-    slots = {
-        "unit": _last(F.col("level") == emit, F.col("depth"), identifier.alias("identifier"), number.alias("number"), F.col("attrs")["status"].alias("status"), F.col("name")),
-        "note": _last(named(d.notes), F.col("name"), F.col("attrs")["topic"].alias("topic"), F.col("attrs")["role"].alias("role")),
-        "num": _last(named(d.numbers), F.col("attrs")["value"].alias("value")),
-        "head": _last(named(d.headings)),
-        "credit": _last(named(d.credits)),
-        "table": _last(named(d.tables)),
-        "row": _last(named(d.rows), F.col("name")),
-        "cell": _last(named(d.cells), F.col("name")),
-        "mark": _last(named(d.marks), F.col("name"), F.col("attrs")["T"].alias("code")),
-    }
-    slots |= {f"in_{t}": _last(F.col("level") == t, identifier.alias("identifier"), number.alias("number")) for t in BIG if t in d.levels.values()}
-    rows = rows.select("*", *[c.alias(n) for n, c in slots.items()])
-    borders = named([*d.numbers, *d.headings, *d.blocks, *d.notes, *d.credits, *d.quoted]) | F.col("level").isNotNull()
-    border = F.when(F.col("kind").isin("open", "close") & ((borders & ~_inside("table")) | named(d.tables)), 1).otherwise(0)
-    return rows.withColumn("block", F.sum(border).over(_so_far()))
+_COLUMNS = {
+    "doc": pa.string(), "seq": pa.int64(), "kind": pa.string(), "text": pa.string(), "gone": pa.bool_(), "block": pa.int64(), "quoted": pa.bool_(),
+    # Of levels: what they are, and by number of the event the open levels of each kind in BIG, themselves included.
+    "level": pa.string(), "name": pa.string(), "identifier": pa.string(), "number": pa.string(), "status": pa.string(), "above": pa.list_(pa.int64()),
+    # Of texts: the last level that was opened, and what they lie in.
+    "last_level": pa.int64(), "note": pa.int64(), "topic": pa.string(), "role": pa.string(), "in_num": pa.bool_(), "num_value": pa.string(), "head": pa.int64(), "credit": pa.bool_(),
+    "table": pa.int64(), "row": pa.int64(), "row_name": pa.string(), "cell": pa.int64(), "cell_name": pa.string(), "mark": pa.string(), "code": pa.string(), "field": pa.string(), "field_seq": pa.int64(),
+}
+_ARROW = pa.schema(list(_COLUMNS.items()))
+_SQL = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<long>"}
+SCAN_SCHEMA = ", ".join(f"`{n}` {_SQL[t]}" for n, t in _COLUMNS.items())
+
+
+@dataclass(frozen=True)
+class _Inside:
+    """What an open element lies in; elements that change nothing share their parent's."""
+
+    gone: bool = False
+    quoted: bool = False
+    above: tuple[int | None, ...] = (None,) * len(BIG)
+    note: tuple = (None, None, None)
+    num: tuple = (False, None)
+    head: int | None = None
+    credit: bool = False
+    table: int | None = None
+    row: tuple = (None, None)
+    cell: tuple = (None, None)
+    mark: tuple = (None, None)
+    field: tuple = (None, None)
+
+
+def _rows_of(text: str, d: Dialect) -> Iterator[tuple]:
+    """Rows of one document, without its key; a malformed one ends where its error is."""
+    named = {kind: set(names) for kind, names in (("skipped", d.skipped), ("quoted", d.quoted), ("note", d.notes), ("num", d.numbers), ("head", d.headings), ("credit", d.credits), ("table", d.tables), ("row", d.rows), ("cell", d.cells), ("mark", d.marks), ("field", d.fields))}
+    borders = set().union(d.numbers, d.headings, d.blocks, d.notes, d.credits, d.quoted)
+    stack: list[tuple[_Inside, bool]] = [(_Inside(), False)]
+    block, last = 0, None
+    for seq, (kind, name, attrs, data) in enumerate(markup.parse(text)):
+        now = stack[-1][0]
+        if kind == "text":
+            if not now.gone or now.field[0] is not None:
+                yield (seq, "text", data, now.gone, block, now.quoted, None, None, None, None, None, list(now.above), last, *now.note, *now.num, now.head, now.credit, now.table, *now.row, *now.cell, *now.mark, *now.field)
+        elif kind == "open":
+            new: dict = {}
+            if name in named["skipped"]:
+                new["gone"] = True
+            if name in named["quoted"]:
+                new["quoted"] = True
+            free = not (now.gone or now.quoted or new)
+            level = d.levels.get(attrs.get(d.level_attr) if d.level_attr else name) if free else None
+            if level is not None:
+                last = seq
+                if level in BIG:
+                    i = BIG.index(level)
+                    new["above"] = (*now.above[:i], seq, *now.above[i + 1 :])
+            if name in named["note"]:
+                new["note"] = (seq, attrs.get("topic"), attrs.get("role"))
+            if name in named["num"]:
+                new["num"] = (True, attrs.get("value"))
+            if name in named["head"]:
+                new["head"] = seq
+            if name in named["credit"]:
+                new["credit"] = True
+            if name in named["row"]:
+                new["row"] = (seq, name)
+            if name in named["cell"]:
+                new["cell"] = (seq, name)
+            if name in named["mark"]:
+                new["mark"] = (name, attrs.get("T"))
+            if name in named["field"]:
+                new["field"] = (name, seq)
+            table = name in named["table"]
+            if table:
+                new["table"] = seq
+            border = table or ((level is not None or name in borders) and now.table is None)
+            border = border and not (now.gone or new.get("gone"))
+            block += border
+            inside = _Inside(**{**now.__dict__, **new}) if new else now
+            stack.append((inside, border))
+            if level is not None:
+                number = attrs.get(d.number_attr) if d.number_attr else None
+                if level == "title" and d.title_attr:  # there N is the number of a volume
+                    number = attrs.get(d.title_attr, "").partition(":")[0] or number
+                identifier = attrs.get(d.identifier_attr) if d.identifier_attr else None
+                yield (seq, "open", None, False, block, False, level, name, identifier, number, attrs.get("status"), list(inside.above), last, *(None,) * 3, False, None, None, False, *(None,) * 9)
+        elif kind == "close":
+            block += stack.pop()[1]
+
+
+def scan(df: DataFrame, doc: str, xml: str, d: Dialect) -> DataFrame:
+    """The texts and levels of every document, written to the shared folder so that all that is made of them reads them there.
+
+    Null documents have no rows.  A document is read in one task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*held, strict=True), _COLUMNS.values(), strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+
+        for b in batches:
+            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if not text.is_valid:
+                    continue
+                for row in _rows_of(text.as_py(), d):
+                    held.append((key, *row))
+                    if len(held) >= markup.BATCH:
+                        yield flush()
+        if held:
+            yield flush()
+
+    return written(df.select(F.col(doc).cast("string").alias("doc"), F.col(xml).cast("string").alias("xml")).mapInArrow(run, SCAN_SCHEMA), "scan")
+
+
+def _unit(emit: str) -> Column:
+    """The open level of a kind that a row lies in, by the number of its event."""
+    return F.col("above")[BIG.index(emit)]
+
+
+def _in_order(value: Column, *keys: str) -> Column:
+    return F.transform(F.sort_array(F.collect_list(F.struct(*keys, value.alias("v")))), lambda e: e["v"])
 
 
 def _joined(column: str = "text") -> Column:
@@ -162,108 +232,95 @@ def _joined(column: str = "text") -> Column:
     return F.trim(F.regexp_replace(whole, r"\s+", " "))
 
 
-def level_heads(rows: DataFrame, d: Dialect) -> DataFrame:
+def level_heads(rows: DataFrame) -> DataFrame:
     """(doc, level_seq, number, heading): of every level, from the num and heading in front of its text."""
-    texts = rows.where((F.col("kind") == "text") & ~_inside("note") & (_inside("num") | _inside("head")) & F.col("last_level").isNotNull())
-    own = texts.where(F.col("head.seq").isNull() | _inside("num") | (F.col("seq") <= F.col("head.end")))
-    parts = own.withColumn("_num", _inside("num")).groupBy("doc", F.col("last_level").alias("level_seq"), "_num", F.when(~_inside("num"), F.col("head.seq")).alias("_h"))
-    texts_of = parts.agg(_joined().alias("t"), F.max("num.value").alias("value"), F.min("seq").alias("at"))
-    first = texts_of.groupBy("doc", "level_seq").agg(
-        F.min(F.when(F.col("_num"), F.coalesce("value", "t"))).alias("number"), F.min_by(F.when(~F.col("_num"), F.col("t")), F.when(~F.col("_num"), F.col("at"))).alias("heading")
+    texts = rows.where("kind = 'text' and not gone and note is null and (in_num or head is not null) and last_level is not null")
+    parts = texts.groupBy("doc", F.col("last_level").alias("level_seq"), "in_num", F.when(~F.col("in_num"), F.col("head")).alias("_h"))
+    of_part = parts.agg(_joined().alias("t"), F.max("num_value").alias("value"), F.min("seq").alias("at"))
+    plain = ~F.col("in_num")
+    return of_part.groupBy("doc", "level_seq").agg(
+        F.min(F.when(F.col("in_num"), F.coalesce("value", "t"))).alias("number"), F.min_by(F.when(plain, F.col("t")), F.when(plain, F.col("at"))).alias("heading")
     )
-    return first
 
 
-def documents(events: DataFrame, d: Dialect, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
+def documents(rows: DataFrame, d: Dialect, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
     """One row for each emitted level: doc, ord, identifier, number, heading, status, ancestors, markdown, source_credit, token_estimate, suffix.
 
-    ``notes``: whether editorial, statutory and amendment notes stay; None keeps all.  ``suffix`` tells apart
+    ``rows`` are those of ``scan``.  ``notes``: whether editorial, statutory and amendment notes stay; None keeps all.  ``suffix`` tells apart
     levels that share a number inside their parent.  Without ``credits`` they are in a column alone, not in the Markdown.
     """
-    # Read several times below: once written, the documents are parsed and sorted once.
-    rows = written(annotated(events, d, emit).where("kind = 'text' or level is not null").drop("attrs"), "events")
-    heads = level_heads(rows, d)
-    units = rows.where((F.col("kind") == "open") & (F.col("level") == emit))
     above = [t for t in BIG if t != emit and t in d.levels.values()]
-    link = "array<struct<level_type:string,level_seq:bigint,identifier:string,number:string>>"
-    chain = F.array_compact(F.array(*[F.when(_inside(f"in_{t}"), F.struct(F.lit(t).alias("level_type"), F.col(f"in_{t}.seq").alias("level_seq"), F.col(f"in_{t}.identifier").alias("identifier"), F.col(f"in_{t}.number").alias("number"))) for t in above]).cast(link))
-    units = units.select("doc", F.col("seq").alias("ord"), "unit.identifier", F.col("unit.number").alias("_number"), "unit.status", F.col("unit.name").alias("element"), chain.alias("_above"))
-    units = units.join(heads.withColumnRenamed("level_seq", "ord"), ["doc", "ord"], "left").withColumn("number", F.coalesce("_number", "number"))
-    texts = heads.select(F.col("doc").alias("_doc"), F.col("level_seq").alias("_seq"), F.col("number").alias("_n"), F.col("heading").alias("_h"))
-    each = units.select("doc", "ord", F.posexplode("_above").alias("nth", "a"))
-    each = each.join(texts, (F.col("a.level_seq") == F.col("_seq")) & (F.col("doc") == F.col("_doc")), "left")
-    level = F.struct("a.level_type", "a.identifier", F.coalesce("a.number", "_n").alias("number"), F.col("_h").alias("heading"))
-    named = each.select("doc", "ord", "nth", level.alias("a"))
-    ancestors = named.groupBy("doc", "ord").agg(F.transform(F.sort_array(F.collect_list(F.struct("nth", "a"))), lambda e: e["a"]).alias("ancestors"))
-    body = _bodies(rows, d, notes, credits)
-    out = units.join(ancestors, ["doc", "ord"], "left").join(body, ["doc", "ord"], "left")
+    levels = rows.where("kind = 'open'").select("doc", "seq", "level", "name", "identifier", F.col("number").alias("_number"), "status", "above")
+    levels = levels.join(level_heads(rows).withColumnRenamed("level_seq", "seq"), ["doc", "seq"], "left").withColumn("number", F.coalesce("_number", "number"))
+    units = levels.where(F.col("level") == emit)
+    link = F.struct(F.col("level").alias("level_type"), "identifier", "number", "heading")
+    named = levels.where(F.col("level").isin(above)).select("doc", F.col("seq").alias("at"), link.alias("a"))
+    places = F.array_compact(F.array(*[F.when(_unit(t).isNotNull(), F.struct(F.lit(n).alias("nth"), _unit(t).alias("at"))) for n, t in enumerate(above)])).cast("array<struct<nth:int,at:bigint>>")
+    each = units.select("doc", "seq", F.explode(places).alias("p")).select("doc", "seq", "p.nth", "p.at")
+    ancestors = each.join(named, ["doc", "at"]).groupBy("doc", "seq").agg(_in_order(F.col("a"), "nth").alias("ancestors"))
+    units = units.select("doc", "seq", "identifier", "number", "heading", "status", F.col("name").alias("element"))
+    out = units.join(ancestors, ["doc", "seq"], "left").withColumnRenamed("seq", "ord").join(_bodies(rows, d, emit, notes, credits), ["doc", "ord"], "left")
     parent = F.concat_ws("/", F.transform(F.coalesce("ancestors", F.array()), lambda a: F.concat_ws("-", a["level_type"], a["number"])))
     out = out.withColumn("parent", parent).withColumn("markdown", F.coalesce("markdown", F.lit("")))
     out = relations.duplicate_suffixes(out, ["doc", "parent"], "number", [F.col("ord")])
     out = out.withColumn("suffix", F.when(F.col("number").isNull(), "").otherwise(F.col("suffix")))
-    return out.withColumn("token_estimate", F.ceil(F.length("markdown") / 4).cast("long")).drop("_above", "_number")
+    return out.withColumn("token_estimate", F.ceil(F.length("markdown") / 4).cast("long"))
 
 
-def _bodies(rows: DataFrame, d: Dialect, notes: tuple[bool, bool, bool] | None, credits: bool = True) -> DataFrame:
+def _bodies(rows: DataFrame, d: Dialect, emit: str, notes: tuple[bool, bool, bool] | None, credits: bool = True) -> DataFrame:
     """(doc, ord, markdown, source_credit) of every unit."""
-    inside = rows.where((F.col("kind") == "text") & _inside("unit"))
-    own_head = ~_inside("note") & (_inside("num") | _inside("head")) & (F.col("last_level") == F.col("unit.seq"))
-    texts = inside.where(~(own_head & F.lit(d.source != "fr")) & ~_inside("table"))
-    kind = F.try_element_at(F.create_map(*[F.lit(x) for pair in d.marks.items() for x in pair]), F.col("mark.name"))
+    inside = rows.where((F.col("kind") == "text") & ~F.col("gone") & _unit(emit).isNotNull()).withColumn("ord", _unit(emit))
+    own_head = F.expr("note is null and (in_num or head is not null) and last_level = ord")
+    texts = inside.where("table is null").where(~(own_head & F.lit(d.source != "fr")))
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for pair in d.marks.items() for x in pair]), F.col("mark"))
     if d.codes:
-        kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in d.codes.items() for x in pair]), F.col("mark.code")), kind)
+        kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in d.codes.items() for x in pair]), F.col("code")), kind)
     # White space alone stays as it is: it parts the elements around it.
-    shown = F.when(_inside("mark") & F.col("text").rlike(r"\S"), markdown.inline(kind, F.col("text"))).otherwise(F.col("text"))
-    part = F.when(_inside("credit"), "credit").when(_inside("num"), "num").when(_inside("head"), "head").otherwise("text")
+    shown = F.when(F.col("mark").isNotNull() & F.col("text").rlike(r"\S"), markdown.inline(kind, F.col("text"))).otherwise(F.col("text"))
+    part = F.when(F.col("credit"), "credit").when(F.col("in_num"), "num").when(F.col("head").isNotNull(), "head").otherwise("text")
     blocks = (
         texts.withColumn("shown", shown)
         .withColumn("part", part)
-        .withColumn("note_seq", F.when(_inside("note"), F.col("note.seq")))
-        .groupBy("doc", F.col("unit.seq").alias("ord"), "block", "part", "note_seq", "quoted", F.col("note.topic").alias("topic"), F.col("note.role").alias("role"))
+        .groupBy("doc", "ord", "block", "part", "note", "quoted", "topic", "role")
         .agg(_joined("shown").alias("t"))
         .where("t <> ''")
     )
     if notes is not None:
-        each = blocks.where("note_seq is not null").groupBy("doc", "ord", "note_seq").agg(F.first("topic", True).alias("topic"), F.first("role", True).alias("role"))
-        kept = relations.notes_kept(each, ["doc", "ord"], [F.col("note_seq")], *notes).select("doc", "ord", "note_seq")
-        blocks = blocks.where("note_seq is null").unionByName(blocks.where("note_seq is not null").join(kept, ["doc", "ord", "note_seq"], "left_semi"))
-    credited = blocks.where("part = 'credit'").groupBy("doc", "ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "t"))), lambda e: e["t"]), " ").alias("source_credit"))
-    if not credits:
-        blocks = blocks.where("part <> 'credit'")
+        blocks = written(blocks, "blocks")
+        each = blocks.where("note is not null").groupBy("doc", "ord", "note").agg(F.first("topic", True).alias("topic"), F.first("role", True).alias("role"))
+        kept = relations.notes_kept(each, ["doc", "ord"], [F.col("note")], *notes).select("doc", "ord", "note")
+        blocks = blocks.where("note is null").unionByName(blocks.where("note is not null").join(kept, ["doc", "ord", "note"], "left_semi"))
     bold = F.concat(F.lit("**"), F.col("t"), F.lit("**"))
     md = F.when(F.col("part").isin("num", "head"), bold).when(F.col("quoted"), quoted_block(F.col("t"))).otherwise(F.col("t"))
-    lines = blocks.select("doc", "ord", "block", "part", md.alias("md"), F.col("note_seq").isNotNull().alias("in_note")).unionByName(_tables(rows, d))
-    by_unit = Window.partitionBy("doc", "ord").orderBy("block")
-    before = F.lag("part").over(by_unit)
-    follows = ((F.col("part") == "head") & (before == "num")) | ((F.col("part") == "text") & before.isin("num", "head") & ~F.col("in_note") & F.lit(d.source == "usc"))
-    lines = lines.withColumn("starts", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
-    lines = lines.withColumn("para", F.sum("starts").over(by_unit.rowsBetween(Window.unboundedPreceding, 0)))
-    paras = lines.groupBy("doc", "ord", "para").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "md"))), lambda e: e["md"]), " ").alias("md"))
-    whole = paras.groupBy("doc", "ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("para", "md"))), lambda e: e["md"]), "\n\n").alias("markdown"))
-    return whole.join(credited, ["doc", "ord"], "left")
-
-
-def _tables(rows: DataFrame, d: Dialect) -> DataFrame:
+    lines = blocks.select("doc", "ord", "block", "part", md.alias("md"), F.col("note").isNotNull().alias("in_note"), F.when(F.col("part") == "credit", F.col("t")).alias("credit"))
+    lines = lines.unionByName(_tables(inside, d))
+    # Numbers and headings lead the text behind them; what begins a paragraph is told from the line before in an array.
+    follow = "(l.part = 'head' AND before = 'num')" + (" OR (l.part = 'text' AND before IN ('num', 'head') AND NOT l.in_note)" if d.source == "usc" else "")
+    listed = "array_sort(collect_list(struct(block, part, md, in_note, credit)))"
+    shown_lines = "l" if credits else "filter(l, x -> x.part <> 'credit')"
+    gathered = lines.groupBy("doc", "ord").agg(F.expr(listed).alias("l")).select("doc", "ord", F.expr(shown_lines).alias("s"), F.expr("nullif(array_join(filter(transform(l, x -> x.credit), x -> x IS NOT NULL), ' '), '')").alias("source_credit"))
+    joined = f"""array_join(transform(s, (l, i) -> concat(
+      CASE WHEN i = 0 THEN '' WHEN {follow.replace("before", "element_at(s, i).part")} THEN ' ' ELSE '\\n\\n' END, l.md)), '')"""
+    return gathered.select("doc", "ord", F.expr(joined).alias("markdown"), "source_credit")
+
+
+def _tables(inside: DataFrame, d: Dialect) -> DataFrame:
     """Tables of the units as blocks."""
-    cells = rows.where((F.col("kind") == "text") & _inside("unit") & _inside("table") & _inside("cell"))
-    header = F.col("cell.name").isin(list(d.header_cells)) | F.col("row.name").isin(list(d.header_rows))
-    keys = ["doc", F.col("unit.seq").alias("ord"), F.col("table.seq").alias("table_seq"), F.col("row.seq").alias("row_seq"), F.col("cell.seq").alias("cell_seq")]
-    texts = cells.groupBy(*keys).agg(_joined().alias("t"), F.max(header).alias("header"), F.min("block").alias("block"))
-    lines = texts.groupBy("doc", "ord", "table_seq", "row_seq").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("cell_seq", "t"))), lambda e: e["t"]).alias("cells"), F.max("header").alias("header"), F.min("block").alias("block")
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("row_seq", "header", "cells")))
-    tables = lines.groupBy("doc", "ord", "table_seq").agg(ordered.alias("r"), F.min("block").alias("block"))
+    cells = inside.where("table is not null and cell is not null")
+    header = F.col("cell_name").isin(list(d.header_cells)) | F.col("row_name").isin(list(d.header_rows))
+    texts = cells.groupBy("doc", "ord", "table", "row", "cell").agg(_joined().alias("t"), F.max(header).alias("header"), F.min("block").alias("block"))
+    lines = texts.groupBy("doc", "ord", "table", "row").agg(_in_order(F.col("t"), "cell").alias("cells"), F.max("header").alias("header"), F.min("block").alias("block"))
+    ordered = F.sort_array(F.collect_list(F.struct("row", "header", "cells")))
+    tables = lines.groupBy("doc", "ord", "table").agg(ordered.alias("r"), F.min("block").alias("block"))
     pick = lambda header: F.transform(F.filter("r", lambda e: e["header"] == header), lambda e: e["cells"])
-    return tables.select("doc", "ord", "block", F.lit("table").alias("part"), markdown.table(pick(F.lit(True)), pick(F.lit(False))).alias("md"), F.lit(False).alias("in_note"))
+    return tables.select("doc", "ord", "block", F.lit("table").alias("part"), markdown.table(pick(F.lit(True)), pick(F.lit(False))).alias("md"), F.lit(False).alias("in_note"), F.lit(None).cast("string").alias("credit"))
 
 
-def field_texts(events: DataFrame, d: Dialect, names: Sequence[str], emit: str = "section") -> DataFrame:
-    """(doc, ord) of every emitted level with a column for each of ``names``: the element's text, of several the last."""
-    rows = annotated(events, replace(d, skipped=()), emit).withColumn("field", _last(F.col("name").isin(list(names)), F.col("name")))
-    texts = rows.where((F.col("kind") == "text") & _inside("unit") & _inside("field"))
-    each = texts.groupBy("doc", F.col("unit.seq").alias("ord"), F.col("field.name").alias("name"), F.col("field.seq").alias("at")).agg(_joined().alias("t"))
-    return each.groupBy("doc", "ord").agg(*[F.max_by(F.when(F.col("name") == n, F.col("t")), F.when(F.col("name") == n, F.col("at"))).alias(n) for n in names])
+def field_texts(rows: DataFrame, d: Dialect, emit: str = "section") -> DataFrame:
+    """(doc, ord) of every emitted level with a column for each of the dialect's fields: the element's text, of several the last."""
+    texts = rows.where((F.col("kind") == "text") & F.col("field").isNotNull() & _unit(emit).isNotNull())
+    each = texts.groupBy("doc", _unit(emit).alias("ord"), F.col("field").alias("name"), F.col("field_seq").alias("at")).agg(_joined().alias("t"))
+    return each.groupBy("doc", "ord").agg(*[F.max_by(F.when(F.col("name") == n, F.col("t")), F.when(F.col("name") == n, F.col("at"))).alias(n) for n in d.fields])
 
 
 def document_meta(events: DataFrame) -> DataFrame:
@@ -276,20 +333,20 @@ def document_meta(events: DataFrame) -> DataFrame:
     ends = events.where((F.col("kind") == "close") & (F.col("name") == "meta")).groupBy("doc").agg(F.min("seq").alias("_end"))
     rows = events.where("kind <> 'error'").join(ends, "doc").where("seq < _end")
     held = F.last(F.when(F.col("kind").isin("open", "close"), F.when(F.col("kind") == "open", F.struct("seq", "name", F.col("attrs")["role"].alias("role"))).otherwise(F.struct(F.lit(-1).cast("long").alias("seq"), "name", F.lit(None).cast("string").alias("role")))), ignorenulls=True)
-    texts = rows.withColumn("at", held.over(_so_far())).where("kind = 'text' and at.seq >= 0")
+    texts = rows.withColumn("at", held.over(Window.partitionBy("doc").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))).where("kind = 'text' and at.seq >= 0")
     each = texts.groupBy("doc", "at.seq", "at.name", "at.role").agg(_joined().alias("t"))
     latest = lambda which, value=F.col("t"): F.max_by(F.when(which, value), F.when(which, F.col("seq")))
     law = (F.col("name") == "property") & (F.col("role") == "is-positive-law")
     return each.groupBy("doc").agg(*[latest(F.col("name") == n).alias(c) for n, c in names.items()], latest(law, F.lower("t") == "yes").alias("positive_law"))
 
 
-def code_documents(events: DataFrame, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True, meta: DataFrame | None = None) -> DataFrame:
+def code_documents(rows: DataFrame, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True, meta: DataFrame | None = None) -> DataFrame:
     """Statutes: documents with legal status, title number and display title.
 
     ``meta``, as ``document_meta`` returns it, tells whether a title is positive law (without it none is) and its number, which
     may end in 'a' for an appendix; without one it is that of the level above.
     """
-    out = documents(events, USLM, emit, notes, credits)
+    out = documents(rows, USLM, emit, notes, credits)
     none = F.lit(None)
     out = out.withColumn("doc_number", none.cast("string")).withColumn("positive_law", none.cast("boolean")) if meta is None else out.join(meta.select("doc", "doc_number", "positive_law"), "doc", "left")
     title = F.get(F.filter(F.col("ancestors"), lambda a: a["level_type"].isin("title", "appendix")), 0)["number"]
@@ -299,9 +356,9 @@ def code_documents(events: DataFrame, emit: str = "section", notes: tuple[bool,
     return out.withColumn("legal_status", status).withColumn("title_number", identifiers.leading_int(number)).withColumn("display_title", shown)
 
 
-def regulation_documents(events: DataFrame, emit: str = "section") -> DataFrame:
+def regulation_documents(rows: DataFrame, emit: str = "section") -> DataFrame:
     """Regulations: identifiers are made from the title's and the level's numbers, prefixes leave the headings."""
-    out = documents(events, ECFR, emit)
+    out = documents(rows, ECFR, emit)
     title = F.get(F.filter(F.col("ancestors"), lambda a: a["level_type"] == "title"), 0)["number"]
     mark = {"section": "/s", "part": "/pt", "chapter": "/ch"}.get(emit)
     identifier = F.concat(F.lit("/us/cfr/t"), F.col("number") if mark is None else F.concat(title, F.lit(mark), F.col("number")))
@@ -311,20 +368,19 @@ def regulation_documents(events: DataFrame, emit: str = "section") -> DataFrame:
     return out.withColumn("identifier", identifier).withColumn("heading", identifiers.heading_stripped(own)).withColumn("ancestors", stripped)
 
 
-def register_documents(events: DataFrame) -> DataFrame:
+def register_documents(rows: DataFrame) -> DataFrame:
     """Register documents of daily issues: many from one file, with number, dates and preamble fields."""
-    fields = field_texts(events, FR, ["AGENCY", "SUBAGY", "SUBJECT", "CFR", "RIN", "FRDOC"])
+    fields = field_texts(rows, FR)
     filed = dates.filed_document(F.col("FRDOC"))
     meta = fields.select("doc", "ord", F.col("AGENCY").alias("agency"), F.col("SUBAGY").alias("sub_agency"), F.col("SUBJECT").alias("subject"), F.col("CFR").alias("cfr"), F.regexp_replace("RIN", "^RIN\\s+", "").alias("rin"), filed.alias("f"))
-    out = documents(events, FR).drop("identifier").join(meta, ["doc", "ord"], "left")
+    out = documents(rows, FR).drop("identifier").join(meta, ["doc", "ord"], "left")
     kinds = F.create_map(*[F.lit(x) for pair in (("RULE", "rule"), ("PRORULE", "proposed_rule"), ("NOTICE", "notice"), ("PRESDOCU", "presidential_document")) for x in pair])
     out = out.withColumn("document_type", F.try_element_at(kinds, F.col("element")))
     out = out.withColumn("identifier", F.concat(F.lit("/us/fr/"), F.col("f.document_number")))
     return out.withColumn("document_number", F.col("f.document_number")).withColumn("publication_date", F.coalesce("f.publication_date", dates.path_date(F.col("doc")))).drop("f")
 
 
-def plain_tokens(events: DataFrame, d: Dialect, emit: str = "section") -> DataFrame:
+def plain_tokens(rows: DataFrame, emit: str = "section") -> DataFrame:
     """Dry run: token estimates of the emitted levels from their texts, nothing rendered."""
-    rows = annotated(events, d, emit)
-    texts = rows.where((F.col("kind") == "text") & _inside("unit"))
-    return texts.groupBy("doc", F.col("unit.seq").alias("ord")).agg(F.ceil(F.sum(F.length("text")) / 4).cast("long").alias("token_estimate"))
+    texts = rows.where((F.col("kind") == "text") & ~F.col("gone") & _unit(emit).isNotNull())
+    return texts.groupBy("doc", _unit(emit).alias("ord")).agg(F.ceil(F.sum(F.length("text")) / 4).cast("long").alias("token_estimate"))

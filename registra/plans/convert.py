@@ -20,7 +20,8 @@ def _composed(rows: DataFrame, doc: Column, order: str, piece: Column, before: C
     return grouped.select("doc", F.concat("head", "body", F.lit(after)).alias("xml"))
 
 
-def _code_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc, xml) of statutes."""
     brand = "regexp_extract(p_brand, '([0-9]+)$', 1)"
     section = f"""concat('<section identifier="/us/usc/t', {brand}, '/s', p_partkey, '"', if(p_partkey % 9 = 0, ' status="repealed"', ''), '><num value="', p_partkey, '">§ ', p_partkey, '.</num><heading>', p_name,
       '</heading><content>Size <b>', p_size, '</b>  is | set.</content><subsection><num>(a)</num><heading>Type</heading><content>', p_type, '</content></subsection>',
@@ -28,8 +29,11 @@ def _code_events(spark: SparkSession, sf_dir: str) -> DataFrame:
       if(p_partkey % 3 = 0, '<notes><note role="crossHeading" topic="editorialNotes"><heading>Editorial Notes</heading></note><note topic="codification"><heading>Codification</heading><p>Moved.</p></note><note topic="amendments"><heading>Amendments</heading><p>Struck.</p></note></notes>', ''), '</section>')"""
     head = f"""concat('<uscDoc {_USLM}><meta><x>skipped</x></meta><main><title identifier="/us/usc/t', {brand}, '"><num value="', {brand}, '">Title ', {brand}, '—</num><heading>', p_brand, '</heading>')"""
     doc = F.expr("concat(p_brand, '-', p_partkey div 500)")
-    composed = _composed(table(spark, sf_dir, "part"), doc, "p_partkey", F.expr(section), F.expr(head), "</title></main></uscDoc>")
-    return xml.events(composed, "doc", "xml")
+    return _composed(table(spark, sf_dir, "part"), doc, "p_partkey", F.expr(section), F.expr(head), "</title></main></uscDoc>")
+
+
+def _code_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.scan(_code(spark, sf_dir), "doc", "xml", sections.USLM)
 
 
 _CODE = """
@@ -48,18 +52,18 @@ def _shown(docs: DataFrame) -> DataFrame:
 
 @CATALOG.add(_CODE.format(notes=f"{_BREAK} || '**Editorial Notes**' || {_BREAK} || '**Codification**' || {_BREAK} || 'Moved.' || {_BREAK} || '**Amendments**' || {_BREAK} || 'Struck.'"))
 def uslm_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(sections.code_documents(_code_events(spark, sf_dir)))
+    return _shown(sections.code_documents(_code_rows(spark, sf_dir)))
 
 
 @CATALOG.add(_CODE.format(notes=f"{_BREAK} || '**Editorial Notes**' || {_BREAK} || '**Amendments**' || {_BREAK} || 'Struck.'"))
 def uslm_amendment_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(sections.code_documents(_code_events(spark, sf_dir), notes=(False, False, True)))
+    return _shown(sections.code_documents(_code_rows(spark, sf_dir), notes=(False, False, True)))
 
 
 @CATALOG.add("""
 SELECT p_brand || '-' || (p_partkey // 500) AS doc, count(*) AS n_sections FROM part GROUP BY 1""")
 def uslm_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = sections.documents(_code_events(spark, sf_dir), sections.USLM, "title")
+    titles = sections.documents(_code_rows(spark, sf_dir), sections.USLM, "title")
     marks = F.regexp_extract_all("markdown", F.lit(r"\*\*§ [0-9]+\.\*\*"), 0)
     return titles.select("doc", F.size(marks).cast("long").alias("n_sections"))
 
@@ -68,7 +72,7 @@ def uslm_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH e AS (SELECT 'section' AS name, p_brand || '-' || (p_partkey // 500) AS doc FROM part UNION ALL SELECT 'subsection', p_brand || '-' || (p_partkey // 500) FROM part)
 SELECT doc, name, count(*) AS opened FROM e GROUP BY ALL""")
 def xml_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    opened = _code_events(spark, sf_dir).where("kind = 'open' and name in ('section', 'subsection')")
+    opened = xml.events(_code(spark, sf_dir), "doc", "xml").where("kind = 'open' and name in ('section', 'subsection')")
     return opened.groupBy("doc", "name").agg(F.count("*").alias("opened"))
 
 
@@ -81,7 +85,7 @@ def ecfr_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = """concat('<ECFR><HEADER><X>skipped</X></HEADER><DIV1 N="', s_nationkey, '" TYPE="TITLE"><HEAD>Title ', s_nationkey, '—Trade</HEAD><DIV5 N="1" TYPE="PART"><HEAD>PART 1—Supply</HEAD>')"""
     doc = F.expr("concat(s_nationkey, '-', s_suppkey div 1000)")
     composed = _composed(table(spark, sf_dir, "supplier"), doc, "s_suppkey", F.expr(section), F.expr(head), "</DIV5></DIV1></ECFR>")
-    docs = sections.regulation_documents(xml.events(composed, "doc", "xml"))
+    docs = sections.regulation_documents(sections.scan(composed, "doc", "xml", sections.ECFR))
     levels = F.transform("ancestors", lambda a: F.concat_ws(" ", a["level_type"], a["number"], a["heading"]))
     return docs.withColumn("ancestors", F.array_join(levels, " > ")).select("identifier", "number", "heading", "ancestors", "markdown")
 
@@ -97,5 +101,5 @@ def fr_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
       year(o_orderdate), '-', lpad(o_orderkey, 5, '0'), ' ', date_format(o_orderdate, "'Filed 'M-d-yy"), '; 8:45 am]</FRDOC></', {kind}, '>')"""
     doc = F.expr("concat('issue-', o_orderkey div 200)")
     composed = _composed(table(spark, sf_dir, "orders"), doc, "o_orderkey", F.expr(piece), F.lit("<FEDREG>"), "</FEDREG>")
-    docs = sections.register_documents(xml.events(composed, "doc", "xml"))
+    docs = sections.register_documents(sections.scan(composed, "doc", "xml", sections.FR))
     return docs.select("identifier", "subject", "agency", "document_type", "publication_date", "markdown")

@@ -157,7 +157,7 @@ def emphasis_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = _composed(table(spark, sf_dir, "supplier"), F.expr("concat(s_nationkey, '-', s_suppkey div 1000)"), "s_suppkey", F.expr(section), F.expr(head), "</DIV1></ECFR>")
     piece = f"""concat('<NOTICE><PREAMB><SUBJECT>Order ', o_orderkey, '</SUBJECT></PREAMB><P>See <E T="', {code('o_orderkey')}, '">x</E> <B>b</B> here.</P><FRDOC>[FR Doc. 1998-', o_orderkey, ' Filed 1-2-98]</FRDOC></NOTICE>')"""
     issues = _composed(table(spark, sf_dir, "orders"), F.expr("concat('issue-', o_orderkey div 200)"), "o_orderkey", F.expr(piece), F.lit("<FEDREG>"), "</FEDREG>")
-    both = [sections.regulation_documents(xml.events(rules, "doc", "xml")), sections.register_documents(xml.events(issues, "doc", "xml"))]
+    both = [sections.regulation_documents(sections.scan(rules, "doc", "xml", sections.ECFR)), sections.register_documents(sections.scan(issues, "doc", "xml", sections.FR))]
     return both[0].select("identifier", "markdown").unionByName(both[1].select("identifier", "markdown"))
 
 

@@ -64,10 +64,11 @@ def test_search_filters_and_sorts(spark):
 
 def test_credits_can_be_left_out_and_meta_names_titles(spark):
     doc = '<uscDoc xmlns="http://xml.house.gov/schemas/uslm/1.0"><meta><docNumber>5A</docNumber><property role="is-positive-law">yes</property></meta><main><title><num value="5">T</num><section><num value="1">1</num><heading>H</heading><content>C</content><sourceCredit>(Credit.)</sourceCredit></section></title></main></uscDoc>'
-    events = xml.events(spark.createDataFrame([("d", doc)], "k string, x string"), "k", "x")
-    plain = sections.code_documents(events, credits=False, meta=sections.document_meta(events)).first()
+    df = spark.createDataFrame([("d", doc)], "k string, x string")
+    rows = sections.scan(df, "k", "x", sections.USLM)
+    plain = sections.code_documents(rows, credits=False, meta=sections.document_meta(xml.events(df, "k", "x"))).first()
     assert (plain.markdown, plain.source_credit, plain.display_title, plain.legal_status, plain.title_number) == ("C", "(Credit.)", "5 USC § 1 - H", "official_legal_evidence", 5)
-    assert sections.code_documents(events).first().markdown == "C\n\n(Credit.)"
+    assert sections.code_documents(rows).first().markdown == "C\n\n(Credit.)"
 
 
 def test_numbers_padded(spark):

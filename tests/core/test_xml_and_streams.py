@@ -26,8 +26,13 @@ def scan(spark, *texts):
     return xml.events(df, "k", "x")
 
 
+def rows_of(spark, d, *texts):
+    df = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "k string, x string")
+    return sections.scan(df, "k", "x", d)
+
+
 def test_sections_of_a_code(spark):
-    docs = sections.code_documents(scan(spark, CODE, None, "<a><unclosed>", "")).orderBy("ord").collect()
+    docs = sections.code_documents(rows_of(spark, sections.USLM, CODE, None, "<a><unclosed>", "")).orderBy("ord").collect()
     assert [(d.identifier, d.number, d.heading, d.status, d.suffix, d.source_credit) for d in docs] == [
         ("/us/usc/t5/s1", "1", "Words", "repealed", "", "(July 30.)"),
         ("/us/usc/t5/s2", "2", "Same", None, "", None),
@@ -39,21 +44,20 @@ def test_sections_of_a_code(spark):
 
 
 def test_one_scan_feeds_every_granularity(spark):
-    events = scan(spark, CODE).persist()
-    one = {g: sections.documents(events, sections.USLM, g).collect() for g in ("section", "chapter", "title")}
-    for g, rows in one.items():
-        assert [r.markdown for r in sections.documents(scan(spark, CODE), sections.USLM, g).collect()] == [r.markdown for r in rows]
+    rows = rows_of(spark, sections.USLM, CODE)
+    one = {g: sections.documents(rows, sections.USLM, g).collect() for g in ("section", "chapter", "title")}
     assert len(one["section"]) == 3 and len(one["title"]) == 1
-    assert "**§ 2.** **Same** B" in one["chapter"][0].markdown
-    events.unpersist()
+    assert "**§ 2.** **Same** B" in one["chapter"][0].markdown and one["chapter"][0].markdown in one["title"][0].markdown
+    estimate = {r.ord: r.token_estimate for r in sections.plain_tokens(rows).collect()}
+    assert len(estimate) == 3 and all(abs(estimate[r.ord] - r.token_estimate) < 30 for r in one["section"])
 
 
 def test_regulations_and_register(spark):
     reg = """<ECFR><DIV1 N="17" TYPE="TITLE"><HEAD>Title 17—Trade</HEAD><DIV5 N="240" TYPE="PART"><HEAD>PART 240—General</HEAD><DIV8 N="240.10b" TYPE="SECTION"><HEAD>§ 240.10b Fraud.</HEAD><P>It <I>is</I>.</P><CITA>[13 FR 1]</CITA></DIV8></DIV5></DIV1></ECFR>"""
-    doc = sections.regulation_documents(scan(spark, reg)).first()
+    doc = sections.regulation_documents(rows_of(spark, sections.ECFR, reg)).first()
     assert (doc.identifier, doc.heading, doc.markdown) == ("/us/cfr/t17/s240.10b", "Fraud.", "It *is*.\n\n[13 FR 1]")
     issue = """<FEDREG><RULE><PREAMB><AGENCY>EPA</AGENCY><SUBJECT>Air</SUBJECT><RIN>RIN 2060-A</RIN></PREAMB><P>Text<SU>1</SU></P><FRDOC>[FR Doc. 2026-1 Filed 3-27-26; 8:45 am]</FRDOC></RULE><NOTICE><SUBJECT>Two</SUBJECT><P>x</P></NOTICE></FEDREG>"""
-    rows = sections.register_documents(scan(spark, issue)).orderBy("ord").collect()
+    rows = sections.register_documents(rows_of(spark, sections.FR, issue)).orderBy("ord").collect()
     assert [(r.identifier, r.document_type, r.agency, r.rin, r.publication_date) for r in rows] == [("/us/fr/2026-1", "rule", "EPA", "2060-A", "2026-03-28"), (None, "notice", None, None, None)]
 
 
