@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from registra.llm.common import free_name, small_or_shuffled, written
 
-#: A line on more than RATIO of its host's pages, and on MIN_PAGES of them at least, is boilerplate.
+#: A line on more than RATIO of its host's pages, and on MIN_PAGES of them at least, is boilerplate.  On a host of less
+#: than 1 / RATIO pages every line would exceed RATIO, so a few pages must have it before a share says anything.
 RATIO, MIN_PAGES = 0.01, 5
+#: Parts of a host's set by the hash of a line, so that a line is compared with few others.
+PARTS = 256
 
 
 def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -28,27 +31,33 @@ def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RAT
 def drop_boilerplate(
     pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, dropped_col: str | None = None
 ) -> DataFrame:
-    """``pages`` without the lines that exceed ``ratio`` on their host.
+    """``pages`` without the lines that exceed ``ratio`` on their host and are on ``min_pages`` of its pages.
 
     The pages that hold a line are divided by all pages of the host.  The other columns and the order of
-    the kept lines stay; ``dropped_col`` adds the number of dropped lines.  A null text stays null and
+    the kept lines stay; ``dropped_col`` adds the number of dropped lines, in place of a column of that name.  A null text stays null and
     counts as a page; a null host is the host ''.  Repeated rows are pages of their own.  An empty table
     gives an empty one.
 
-    The lines to drop are gathered in one set for each host, of at most (lines per page) / ratio entries,
+    The lines to drop are gathered in one set for each host, of at most (lines per page) / ratio entries, in PARTS by hash,
     and joined to the pages by host, so texts are not shuffled while the sets are small enough to broadcast.
     """
     host_name, set_name, kept_name = (free_name(pages.columns, n) for n in ("_host", "_lines", "_kept"))
-    found = boilerplate(pages, host, F.col(f"`{text_col}`"), ratio, min_pages)
-    sets = found.groupBy("host").agg(F.collect_set("line").alias(set_name)).withColumnRenamed("host", host_name)
-    sets = written(sets, "boilerplate")
+    found = written(boilerplate(pages, host, F.col(f"`{text_col}`"), ratio, min_pages), "boilerplate")
+    entries = found.count()
+    part = lambda digest: F.pmod(F.xxhash64(digest), F.lit(PARTS)).cast("int")
+    parts = found.groupBy("host", part(F.col("line")).alias("part")).agg(F.collect_set("line").alias("lines"))
+    by_part = parts.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("part", "lines"))).alias("m"))
+    none = F.array().cast("array<binary>")
+    sets = by_part.select(F.col("host").alias(host_name), F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.coalesce(F.try_element_at("m", p), none)).alias(set_name))
+    sets = written(sets, "sets")
     bad, kept_col = F.col(set_name), F.col(kept_name)
-    entries = sets.agg(F.coalesce(F.sum(F.size(bad)), F.lit(0))).first()[0]
     joined = pages.join(small_or_shuffled(sets, entries), F.coalesce(host.cast("string"), F.lit("")) == F.col(host_name), "left")
     lines = F.split(F.col(f"`{text_col}`").cast("string"), "\n")
-    kept = F.filter(lines, lambda l: ~F.array_contains(bad, F.unhex(F.md5(F.trim(l)))) | (F.trim(l) == ""))
+    is_bad = lambda digest: F.array_contains(F.get(bad, part(digest)), digest)
+    kept = F.filter(lines, lambda l: ~is_bad(F.unhex(F.md5(F.trim(l)))) | (F.trim(l) == ""))
     kept = F.when(bad.isNull(), lines).otherwise(kept)
-    cols = [F.array_join(kept_col, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns]
+    stay = [c for c in pages.columns if not dropped_col or c.lower() != dropped_col.lower()]
+    cols = [F.array_join(kept_col, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in stay]
     if dropped_col:
         cols.append(F.coalesce(F.size(lines) - F.size(kept_col), F.lit(0)).cast("long").alias(dropped_col))
     return joined.withColumn(kept_name, kept).select(*cols)
