@@ -1,15 +1,15 @@
-"""The documents table: incremental ingest, pruning, versions, cursors; a Parquet folder for each version."""
+"""The documents table: incremental ingest, pruning and cursors over a Parquet table in hashed buckets of its key."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registra.operators import relations
+from registra.shared import drop_written, written
 
-SCHEMA_VERSION = 1
+#: Folders of a table; an ingest rewrites those that its keys fall into.
+BUCKETS, BUCKET = 64, "_bucket"
 
 
 def advanced(old: DataFrame, new: DataFrame, key: str, cursor: str) -> DataFrame:
@@ -27,45 +27,37 @@ def ingested(stored: DataFrame, found: DataFrame, key: str, digest: str, prune:
     return table, outcome
 
 
-class Store:
-    """A table kept as versions under one folder; a version becomes current when its name is written."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _meta(self):
-        return self.spark.read.schema("version long, schema_version int, counters string").json(f"{self.path}/_versions")
-
-    def current(self) -> DataFrame | None:
-        """The newest version; None for a new store.  Another schema version is an error."""
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions")
-        if not jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jpath):
-            return None
-        row = self._meta().orderBy(F.desc("version")).first()
-        if row is None:
-            return None
-        if row["schema_version"] != SCHEMA_VERSION:
-            raise ValueError(f"the store has schema version {row['schema_version']}, this code {SCHEMA_VERSION}")
-        return self.spark.read.parquet(f"{self.path}/v{row['version']:08d}")
-
-    def commit(self, table: DataFrame, counters: dict[str, int] | None = None) -> int:
-        version = 1
-        if self.current() is not None:
-            version += self._meta().agg(F.max("version")).first()[0]
-        table.write.mode("overwrite").parquet(f"{self.path}/v{version:08d}")
-        row = [(version, SCHEMA_VERSION, json.dumps(counters or {}))]
-        self.spark.createDataFrame(row, "version long, schema_version int, counters string").write.mode("append").json(f"{self.path}/_versions")
-        return version
-
-    def ingest(self, found: DataFrame, key: str, digest: str, prune: bool = False, order: list[Column] | None = None) -> dict[str, int]:
-        """Upsert what is new or changed, drop what is gone if ``prune``; counts by outcome."""
-        old = self.current()
-        order = order or [F.desc(key)]
-        if old is None:
-            table = relations.last_wins(found, [key], order)
-            counts = {"new": table.count()}
-        else:
-            table, outcome = ingested(old, found, key, digest, prune, order)
-            counts = {r["outcome"]: r["count"] for r in outcome.groupBy("outcome").count().collect()}
-        self.commit(table, counts)
-        return counts
+def read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table; None if nothing was ingested yet."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        return None
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def ingest(found: DataFrame, path: str, key: str, digest: str, prune: bool = False, order: list[Column] | None = None) -> dict[str, int]:
+    """Upsert what is new or changed into the table at ``path``; counts by outcome.
+
+    Of rows that repeat a key the first in ``order`` counts (by default that with the greatest digest).  Only the buckets of
+    the given keys are read and, as dynamic partitions of a plain Parquet table, written again.  ``prune`` also drops
+    what was not found, for which the whole table is read and written.
+    """
+    spark = found.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    fresh = written(relations.last_wins(found, [key], order or [F.desc(digest)]).withColumn(BUCKET, bucket), "found")
+    stored = spark.read.parquet(path) if read(spark, path) is not None else None
+    if stored is None:
+        fresh.write.partitionBy(BUCKET).parquet(path)
+        counts = {"new": fresh.count()}
+    else:
+        if not prune:
+            stored = stored.where(F.col(BUCKET).isin([r[0] for r in fresh.select(BUCKET).distinct().collect()]))  # BUCKETS at most
+        table, outcome = ingested(stored, fresh, key, digest, prune, order or [F.desc(digest)])
+        counts = {r["outcome"]: r["count"] for r in outcome.groupBy("outcome").count().collect() if prune or r["outcome"] != "pruned"}
+        if counts.keys() - {"unchanged"}:
+            # Written apart first, as the table can't be read while it is overwritten.
+            staged = written(table, "staged")
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "static" if prune else "dynamic").partitionBy(BUCKET).parquet(path)
+            drop_written(staged)
+    drop_written(fresh)
+    return counts

@@ -1,4 +1,4 @@
-"""Incremental ingest of files that arrive, as a stream into the versioned store."""
+"""Incremental ingest of files that arrive, as a stream into the documents table."""
 
 from __future__ import annotations
 
@@ -6,18 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from registra.operators.store import Store
+from registra.operators import store
 
 
 def ingest_stream(spark: SparkSession, source: DataFrame, store_path: str, checkpoint: str, key: str, digest: str, order: list[Column] | None = None) -> StreamingQuery:
     """Upsert each micro-batch of ``source``; processes what is there and stops.
 
-    A batch that is run again finds its rows unchanged, so the store stays as it is.
+    A batch that is run again finds its rows unchanged, so the table stays as it is.
     """
-    store = Store(spark, store_path)
 
     def apply(batch: DataFrame, _: int) -> None:
-        store.ingest(batch, key, digest, prune=False, order=order)
+        store.ingest(batch, store_path, key, digest, order=order)
 
     return source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from registra.functions import dates, identifiers, text
-from registra.operators import hierarchy, keys, listing, markdown, relations, search
-from registra.operators.store import Store
+from registra.operators import hierarchy, keys, listing, markdown, relations, search, store
 from registra.sources import files, xml
 
 
@@ -129,14 +130,18 @@ def test_chunks_number_rows_in_order(spark):
 
 
 def test_changes_and_store(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "s"))
+    path = str(tmp_path / "s")
+    now = lambda: sorted(map(tuple, store.read(spark, path).collect()))
+    assert store.read(spark, path) is None
     v1 = spark.createDataFrame([("a", "1"), ("b", "1"), ("b", "2")], "path string, hash string")
-    assert store.ingest(v1, "path", "hash", order=[F.desc("hash")]) == {"new": 2}
+    assert store.ingest(v1, path, "path", "hash") == {"new": 2} and now() == [("a", "1"), ("b", "2")]
     v2 = spark.createDataFrame([("b", "3"), ("c", "1")], "path string, hash string")
-    assert store.ingest(v2, "path", "hash") == {"updated": 1, "new": 1, "pruned": 1}
-    assert sorted(map(tuple, store.current().collect())) == [("a", "1"), ("b", "3"), ("c", "1")]
-    assert store.ingest(v2, "path", "hash", prune=True) == {"unchanged": 2, "pruned": 1}
-    assert sorted(map(tuple, store.current().collect())) == [("b", "3"), ("c", "1")]
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
+    assert store.ingest(v2, path, "path", "hash") == {"updated": 1, "new": 1} and now() == [("a", "1"), ("b", "3"), ("c", "1")]
+    assert sum(os.path.exists(f) and os.path.getmtime(f) == t for f, t in before.items()) == 1  # the bucket of a is as it was
+    assert store.ingest(v2, path, "path", "hash") == {"unchanged": 2}
+    assert store.ingest(v2, path, "path", "hash", prune=True) == {"unchanged": 2, "pruned": 1} and now() == [("b", "3"), ("c", "1")]
+    assert store.ingest(v2.limit(0), path, "path", "hash") == {} and len(now()) == 2
 
 
 def test_keys(spark):

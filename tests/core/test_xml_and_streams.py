@@ -7,7 +7,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from registra.operators import sections
+from registra.operators import sections, store
 from registra.sources import xml
 from registra.streaming import ingest, limits
 
@@ -96,7 +96,7 @@ def test_streamed_ingest_equals_one_batch(spark, tmp_path):
         df.where(f"walk >= {low} and walk < {low + 45}").coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(df.schema).parquet(source)
         ingest.ingest_stream(spark, stream, str(tmp_path / "store"), str(tmp_path / "cp"), "path", "hash", [F.desc("walk")]).awaitTermination()
-    got = ingest.Store(spark, str(tmp_path / "store")).current()
+    got = store.read(spark, str(tmp_path / "store"))
     assert sorted((r.path, r.hash) for r in got.collect()) == sorted((f"p{i}", "h2") for i in range(30))
 
 
