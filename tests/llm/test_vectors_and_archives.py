@@ -9,13 +9,15 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from registra.llm import forest, queries, shards, vectors, voronoi, warc
+from registra.llm import forest, queries, shards, simhash, vectors, voronoi, warc
 from registra.llm.common import fresh_path, shared_dir
 from tests.llm import odd
+from tests.llm.test_texts import apart, meet
 
 SCHEMA = "vec_id long, embedding array<float>, v string, rep long, part int"
 
@@ -44,8 +46,9 @@ def brute(rows, every, k, scale=None):
 def test_top_k_is_exact_with_ties_and_odd_rows(spark, monkeypatch):
     df = odd_vectors(spark)
     want = brute([(r.vec_id, r.embedding) for r in df.collect()], 50, 5, 256)
-    for rows in (vectors.PART_ROWS, 20):
+    for rows, asked in ((vectors.PART_ROWS, voronoi.BLOCK_QUERIES), (20, 2)):
         monkeypatch.setattr(vectors, "PART_ROWS", rows)
+        monkeypatch.setattr(voronoi, "BLOCK_QUERIES", asked)
         got = defaultdict(list)
         for r in sorted(voronoi.exact_top_k(df, F.col("vec_id") % 50 == 0).collect(), key=lambda r: (r.query_id, r.rank)):
             got[r.query_id].append((r.score, r.vec_id))
@@ -55,15 +58,24 @@ def test_top_k_is_exact_with_ties_and_odd_rows(spark, monkeypatch):
 
 def test_top_k_prunes_groups_of_clusters(spark):
     rng = np.random.default_rng(1)
-    centres = rng.standard_normal((20, 8)) * 10
-    x = centres[np.arange(600) % 20] + rng.standard_normal((600, 8)) * 0.01
+    centres = rng.standard_normal((5, 8)) * 10
+    x = centres[np.arange(4_000) % 5] + rng.standard_normal((4_000, 8)) * 0.01
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = {r.query_id: r.score for r in voronoi.exact_top_k(df, F.col("vec_id") % 50 == 0).where("rank = 1").collect()}
+    chosen = F.col("vec_id") % 71 == 0
+    got = {r.query_id: r.score for r in voronoi.exact_top_k(df, chosen).where("rank = 1").collect()}
     z = np.floor(256 * x)
-    for q in range(0, 600, 50):
+    for q in range(0, 4_000, 71):
         s = z @ z[q]
         s[q] = -np.inf
         assert got[q] == s.max()
+    all_, wanted, _, form = vectors.prepare(df, "vec_id", "embedding", chosen, 5, nonzero=False, scale=256.0)
+    plan = voronoi.plan(all_, wanted, form, 5, group_queries=1)
+    assert form.kind == "<i2" and len(plan.query_pivots) > 4
+    pairs = (plan.query_count > 0).sum() * (plan.data.count > 0).sum()
+    assert 0 < plan.needed.sum() < 0.6 * pairs  # whole groups of data stay at home
+    q = z[::71]
+    each = voronoi.reach(q, np.zeros(len(q)), np.linalg.norm(q, axis=1), plan.data, 5)
+    assert each.sum() < 0.5 * len(q) * (plan.data.count > 0).sum()
 
 
 def test_top_k_of_huge_components(spark):
@@ -188,15 +200,41 @@ def test_cut_points_are_exact_for_skewed_keys(spark):
     keys = [rng.randrange(1000) for _ in range(2000)] + [2**62, -(2**63), 2**63 - 1, 5, 5, 5]
     df = spark.createDataFrame([(k, 1) for k in keys] + [(None, 3)], "k long, w long")
     cuts = shards.cut_points(df, "k", "w", 100)
-    sizes = np.bincount(np.searchsorted(cuts, np.array(keys), side="right"))
-    assert sizes.max() <= 100 and sorted(cuts) == list(cuts) and len(cuts) >= 20
-    assert (cuts == shards.cut_points(df.repartition(9), "k", "w", 100)).all()
+    sizes = np.bincount(np.searchsorted(cuts.starts, np.array(keys), side="right"))
+    assert sizes.max() <= 100 and sorted(cuts.starts) == list(cuts.starts) and len(cuts.starts) >= 20
+    again = shards.cut_points(df.repartition(9), "k", "w", 100)
+    assert (cuts.starts == again.starts).all() and (cuts.shards == again.shards).all() and (cuts.shards == 1).all()
+
+
+def test_hot_and_null_keys_are_dealt_to_several_shards(spark):
+    df = spark.createDataFrame([(7, 1)] * 900 + [(None, 1)] * 450 + [(k, 1) for k in range(200)], "k long, w long")
+    cuts = shards.cut_points(df, "k", "w", 100)
+    assert cuts.shards[0] == 5 and max(cuts.shards[1:]) == 10
+    keys = pa.array([None] * 450 + [6] + [7] * 900 + [8])
+    hashes = np.random.default_rng(1).integers(0, 1 << 32, len(keys))
+    found = cuts.shard_of(keys, hashes)
+    assert set(found[:450]) == set(range(5)) and len(set(found[451:-1])) == 10 and found[450] < min(found[451:-1]) and found[-1] > max(found[451:-1])
+    assert found.max() < cuts.count
+    body = "<html>" + "x" * 1000
+    rows = [(None, "u", f"{body}{i % 40}") for i in range(200)] + [(5, "u", body)] * 60 + [(i, None, None) for i in range(40)]
+    pages_ = spark.createDataFrame(rows, "page_id long, url string, html string")
+    base = fresh_path(spark, "test")
+    warc.write_warc(pages_, base, shard_bytes=20_000)
+    back = warc.read_warc(spark, base).collect()
+    assert sorted((r.page_id is None, r.page_id or 0, r.payload_digest) for r in back) == sorted((i is None, i or 0, hashlib.sha1((h or "").encode()).hexdigest()) for i, _, h in rows)
+    store, path = shards.file_system(base)
+    ids = []
+    for f in shards.manifest(base):
+        with store.open_input_stream(f"{path}/{f['name']}", compression=None) as stream:
+            ids += [h["warc-record-id"] for h, _ in warc.parse(stream)]
+    assert len(shards.manifest(base)) > 10 and len(ids) == len(set(ids))
 
 
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, n = docs.columns, docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
+        given = docs.collect() if name == "near_dedup" else None
         out = stage(spark, docs, sf_dir)
         path = fresh_path(spark, name)
         out.write.parquet(path)
@@ -205,8 +243,9 @@ def test_pipeline_stages(spark, sf_dir):
         if name in ("language_id", "line_dedup"):
             assert docs.count() == n
         if name == "near_dedup":
-            seen = sorted(odd.components({odd.simhash(r.text) for r in docs.collect()}, lambda a, b: (a ^ b).bit_count() <= 3).items())
-            assert all(a == b for a, b in seen)
+            fps = {r.doc_id: simhash.fingerprint(r.text, 5, lanes=4) for r in given}
+            near = lambda a, b: apart(fps[a], fps[b]) <= 39 and meet(fps[a], fps[b])
+            assert simhash.bits_for(0.8, 4) == 39 and {r.doc_id for r in docs.collect()} == set(odd.components(set(fps), near).values())
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert last.count() == docs.count() and {"doc_id", "n_tokens", "ids_sha256"} <= set(last.columns)
 
