@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registra.functions import metadata, paths
-from registra.operators import bundles, search, sections
+from registra.operators import bundles, search, sections, selection
 from registra.plans.common import Catalog, table
 from registra.plans.convert import _composed
 from registra.plans.search import _HITS
@@ -224,3 +224,55 @@ def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = search.ranked(picked, "doc_id", ["source", "text"], table(spark, sf_dir, "benchmark"), "item_id", "text", 10)
     dated = hits.join(docs.select("doc_id", "publication_date"), "doc_id")
     return search.sorted_by(dated, "item_id", "doc_id", "-publication_date").select("item_id", "doc_id", "rank")
+
+
+@CATALOG.add("""
+SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P') AND (o_orderkey % 3 = 0 OR (strftime(o_orderdate, '%Y-%m-%d') BETWEEN '1995-03-10' AND '1996-02-20'))
+  AND (o_orderkey % 5 = 0 OR strftime(o_orderdate, '%Y-%m') BETWEEN '1995-03' AND '1996-02')""")
+def register_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.expr("if(o_orderkey % 5 = 0, 'downloads/x.xml', concat('downloads/', date_format(o_orderdate, 'yyyy/MM'), '/x.xml'))")
+    docs = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("document_type"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"), (F.col("o_orderkey") % 3 > 0).alias("has_sidecar"), path.alias("path"))
+    months = docs.where(selection.in_months(F.col("path"), "1995-03-10", "1996-02-20"))
+    return selection.register_selected(months, ["F", "P"], "1995-03-10", "1996-02-20").select("o_orderkey")
+
+
+@CATALOG.add("""
+WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 4 > 0 THEN '2026-01-' || lpad((c_custkey % 28 + 1)::VARCHAR, 2, '0') END AS own, c_custkey % 3 = 0 AS busy FROM customer)
+SELECT c_custkey AS title_number, CASE WHEN busy AND own IS NOT NULL THEN own ELSE least(own, '2026-01-14') END AS date FROM t""")
+def title_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.expr("if(c_custkey % 4 > 0, concat('2026-01-', lpad(c_custkey % 28 + 1, 2, '0')), null)")
+    titles = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("title_number"), own.alias("up_to_date_as_of"), (F.col("c_custkey") % 3 == 0).alias("processing"))
+    return selection.title_dates(titles, "2026-01-15", importing=True)
+
+
+@CATALOG.add("""
+SELECT p_partkey % 7 AS chapter, count(*) AS parts, sum(p_size)::BIGINT AS size, (SELECT count(*) FROM part WHERE p_partkey % 7 = 0) AS skipped FROM part WHERE p_partkey % 7 > 0 GROUP BY 1""")
+def chapter_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").withColumn("chapter", F.when(F.col("p_partkey") % 7 > 0, F.col("p_partkey") % 7))
+    groups, skipped = selection.by_chapter(parts, "chapter", F.count("*").alias("parts"), F.sum("p_size").cast("long").alias("size"))
+    return groups.join(F.broadcast(parts.agg(skipped.alias("skipped"))))  # one row
+
+
+@CATALOG.add("""
+WITH k AS (SELECT p_partkey, p_size, CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE p_partkey / 2.0 END AS n FROM part)
+SELECT p_partkey, row_number() OVER (PARTITION BY p_size ORDER BY n, p_partkey) AS place FROM k""")
+def nav_part_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.expr("if(p_partkey % 5 = 0, 'Reserved', concat(p_partkey / 2, 'b'))")
+    place = F.row_number().over(Window.partitionBy("p_size").orderBy(selection.number_key(number), "p_partkey"))
+    return table(spark, sf_dir, "part").select("p_partkey", place.cast("long").alias("place"))
+
+
+@CATALOG.add("""
+SELECT year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month, CASE WHEN max(year(o_orderdate)) < 1995 THEN count(*) * 10 ELSE count(*) END AS n FROM orders GROUP BY 1, 2""")
+def snapshot_or_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).agg(F.count("*").alias("n"))
+    return selection.snapshot_or_live(live.where("year < 1995").withColumn("n", F.col("n") * 10), live, ["year", "month"], "n")
+
+
+@CATALOG.add("""
+SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'title' WHEN 2 THEN 'section' WHEN 3 THEN 'document' WHEN 4 THEN 'year' END AS kind FROM lineitem""")
+def route_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.expr("""CASE l_linenumber WHEN 1 THEN concat('title-', l_suppkey) WHEN 2 THEN concat('title-', l_suppkey, '/chapter-IV/section-', l_partkey, '.1') WHEN 5 THEN 'title-1/../section-2' WHEN 6 THEN 'title-1/chapter-1/section-1/x-1' ELSE 'titles-1' END""")
+    register = F.expr("CASE l_linenumber WHEN 3 THEN concat('1998/02/1998-', l_partkey) WHEN 4 THEN '1998' ELSE '98/2' END")
+    kind = F.when(F.col("l_linenumber").isin(3, 4, 7), selection.route("fr", register)).otherwise(selection.route("usc", code))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", kind.alias("kind"))

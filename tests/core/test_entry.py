@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registra.functions import identifiers, text
-from registra.operators import hierarchy, relations, search, sections
+from registra.operators import hierarchy, relations, search, sections, selection
 from registra.plans.catalog import QUERIES
 from registra.sources import xml
 from tests.conftest import ROOT
@@ -73,3 +73,10 @@ def test_credits_can_be_left_out_and_meta_names_titles(spark):
 
 def test_numbers_padded(spark):
     assert spark.range(1).select(identifiers.pad_two(F.lit("5a"))).first()[0] == "05"
+
+
+def test_granularities_are_checked():
+    assert selection.granularities() == ["section"] and selection.granularities("part") == ["part"] and selection.granularities(several=["title", "part"]) == ["title", "part"]
+    for one, several in (("part", ["title"]), (None, []), (None, ["part", "part"]), ("page", None)):
+        with pytest.raises(ValueError):
+            selection.granularities(one, several)
