@@ -1,58 +1,17 @@
-"""Helpers that several operators share: the shared folder, written intermediate tables, checked broadcasts."""
+"""Helpers that several operators share; the shared folder and checked broadcasts are those of ``registra.shared``."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-#: Rows of a side table that may be broadcast; each user states the bytes of a row, about 100 at most.
-BROADCAST_ROWS = 100_000
+from registra.shared import BROADCAST_ROWS, drop_written, fresh_path, remove, shared_dir, small_or_shuffled, written
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="registra-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/registra-{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``written`` or ``fresh_path`` made."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def drop_written(df: DataFrame) -> None:
-    """Delete the files behind a table made by ``written``."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        remove(df.sparkSession, path)
-
-
-def small_or_shuffled(side: DataFrame, rows: int | None = None) -> DataFrame:
-    """``side`` with a broadcast hint if it has at most BROADCAST_ROWS rows, else as it is.
-
-    ``side`` must be cheap to count, such as a written table; beyond the bound Spark shuffles both sides
-    and splits skewed partitions.
-    """
-    n = side.count() if rows is None else rows
-    return F.broadcast(side) if n <= BROADCAST_ROWS else side
+__all__ = ["BROADCAST_ROWS", "drop_written", "free_name", "fresh_path", "remove", "shared_dir", "small_or_shuffled", "tables", "text_parts", "written"]
 
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,3 +24,13 @@ def free_name(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def text_parts(batch: pa.RecordBatch, col: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices with about ``size`` bytes in a column of strings; a text is never cut."""
+    upto = np.cumsum(pc.binary_length(batch.column(col)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end

@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from registra.llm import shards
-from registra.llm.common import drop_written, fresh_path, written
+from registra.llm.common import drop_written, fresh_path, text_parts, written
 
 MAGIC = b"TOKIDS01"
-#: Tokens of a shard, and bytes of data at which a file is closed and the next begun.
-SHARD_TOKENS, FILE_BYTES = 6_000_000, 64 << 20
+#: Least and most tokens of a shard, and bytes of data at which a file is closed and the next begun.
+LEAST_TOKENS, MOST_TOKENS, FILE_BYTES = 6_000_000, 64_000_000, 64 << 20
 #: Bytes of text whose distinct words are encoded together, and words (the most frequent of the last such part) whose ids a worker remembers.
-TEXT_BYTES, WORDS_HELD = 8 << 20, 150_000
+TEXT_BYTES, WORDS_HELD = 4 << 20, 150_000
 #: Ids between the steps; in the files they are coded by rank.
 PACKED, CODE = "<u2", "H"
 #: The steps of a tokenizer file that allow its words to be encoded apart, as they stand in the file.
@@ -209,16 +209,6 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
-def _parts(batch: pa.RecordBatch, col: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Slices with about ``size`` bytes in a column of strings; a text is never cut."""
-    upto = np.cumsum(pc.binary_length(batch.column(col)).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right")))
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def tokenise(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n, ids) of every row, ids packed with the end id."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -226,7 +216,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = words_of(path)
-        for b in (part for whole in batches for part in _parts(whole, 1, TEXT_BYTES)):
+        for b in (part for whole in batches for part in text_parts(whole, 1, TEXT_BYTES)):
             ids, sizes = ids_of(b.column(1))
             ids = np.insert(ids, np.cumsum(sizes), np.array(end_id, PACKED))
             sizes = sizes + 1
@@ -260,12 +250,13 @@ def _store(base: str, name: str, docs: list[tuple], control: list[bytes], data:
 
 
 def write_token_ids(
-    docs: DataFrame, path: str, end_id: int, base: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS, file_bytes: int = FILE_BYTES
+    docs: DataFrame, path: str, end_id: int, base: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int | None = None, file_bytes: int = FILE_BYTES
 ) -> None:
     """Write the ids of all texts, each followed by ``end_id``, as files under ``base`` in ascending id order.
 
-    The vocabulary may have 65,536 entries at most.  Null texts are empty.  Rows that repeat an id each have an entry, in the order of their ids' bytes; null
-    ids come first.  An empty table gives a manifest without files.
+    The vocabulary may have 65,536 entries at most.  Null texts are empty; a text of any length is encoded whole, in the
+    task that reads it.  Rows that repeat an id each have an entry, in the order of the CRC-32 and then the number of
+    their ids; null ids come first.  An empty table gives a manifest without files.  Other columns are not read.
     """
     spark = docs.sparkSession
     ids = written(tokenise(docs, path, end_id, id_col, text_col), "ids")
@@ -273,13 +264,15 @@ def write_token_ids(
     ranked = np.array([r[0] for r in counts.orderBy(F.desc("count"), "id").select("id").collect()], np.int64)  # a vocabulary at most
     rank = np.zeros(int(ranked.max()) + 1 if len(ranked) else 1, np.uint32)
     rank[ranked] = np.arange(len(ranked))
+    shard_tokens = shard_tokens or shards.sized(ids.agg(F.sum("n")).first()[0] or 0, LEAST_TOKENS, MOST_TOKENS)
     cuts = shards.cut_points(ids, "doc_id", "n", shard_tokens)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             control, data, quads, sizes = pack(rank[_in_a_row(b.column(2), PACKED)], b.column(1).to_numpy())
-            arrays = [pa.array(shards.shard_of(cuts, b.column(0))), b.column(0), b.column(1), _pieces(control, quads), _pieces(data, sizes)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "doc_id", "n", "control", "data"])
+            crc = np.array([zlib.crc32(x.as_buffer()) for x in b.column(2)], np.int64)
+            arrays = [pa.array(cuts.shard_of(b.column(0), crc)), b.column(0), pa.array(crc), b.column(1), _pieces(control, quads), _pieces(data, sizes)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "doc_id", "crc", "n", "control", "data"])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("temp", pa.string()), ("name", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
@@ -303,8 +296,8 @@ def write_token_ids(
 
         return shards.batches_of(files(), schema, 64)
 
-    coded = ids.select("doc_id", "n", "ids").mapInArrow(code, "shard int, doc_id long, n long, control binary, data binary")
-    dealt = coded.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "n", "data")
+    coded = ids.select("doc_id", "n", "ids").mapInArrow(code, "shard int, doc_id long, crc long, n long, control binary, data binary")
+    dealt = coded.repartitionById(cuts.count, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "crc", "n", "data").drop("crc")
     done = dealt.mapInArrow(store, "temp string, name string, documents long, tokens long").collect()  # a row for each file
     files = sorted((r.asDict() for r in done), key=lambda f: f["name"])
     fs_, folder = shards.file_system(base)

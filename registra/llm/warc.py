@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ from registra.llm.common import fresh_path, small_or_shuffled, written
 
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1_000
-#: Payload bytes of a shard, and compressed bytes at which a file is closed and the next begun.
-SHARD_BYTES, FILE_BYTES = 32 << 20, 16 << 20
+#: Least and most payload bytes of a shard, and compressed bytes at which a file is closed and the next begun.
+LEAST_BYTES, MOST_BYTES, FILE_BYTES = 32 << 20, 2 << 30, 1 << 30
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122's for URLs
@@ -51,8 +52,9 @@ def resolve(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     )
 
 
-def record_id(page_id: int | None, digest: bytes) -> str:
-    return f"<{uuid.uuid5(_NAMESPACE, f'page:{page_id}:{digest.hex()}').urn}>"
+def record_id(page_id: int | None, digest: bytes, nth: int = 0) -> str:
+    """Of the nth row with this id and payload; references lead to the first."""
+    return f"<{uuid.uuid5(_NAMESPACE, f'page:{page_id}:{digest.hex()}' + (f':{nth}' if nth else '')).urn}>"
 
 
 def _sha1(data: bytes) -> str:
@@ -66,11 +68,11 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return gzip.compress(head.encode() + block + b"\r\n\r\n", 6, mtime=0)
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None) -> bytes:
+def page_record(page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None, nth: int = 0) -> bytes:
     """The record of a page; a revisit has the HTTP headers alone, with the length of the full payload."""
     headers = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", record_id(page_id, digest)),
+        ("WARC-Record-ID", record_id(page_id, digest, nth)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", f"urn:page:{page_id}" if url is None else quote(url, safe="!#$&'()*+,/:;=?@[]~")),
         ("WARC-Payload-Digest", _sha1(digest)),
@@ -108,44 +110,50 @@ class _File:
 
 
 def write_warc(
-    pages: DataFrame, base: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES
+    pages: DataFrame, base: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", shard_bytes: int | None = None, file_bytes: int = FILE_BYTES
 ) -> None:
-    """Write a record for each row, in ascending page id (nulls first), then url and payload.
+    """Write a record for each row, in ascending page id (nulls first), then digest of the payload and url.
 
-    A null payload is empty, a null url is a URN of the page.  Repeated rows are written each.  An empty
+    A null payload is empty, a null url is a URN of the page.  A payload of any length is one record, which a task holds
+    whole.  Repeated rows are written each, with record ids of their own.  An empty
     table gives a manifest without files.  Columns other than the three are not read.
     """
     found = resolve(pages, id_col, url_col, body_col)
     sizes = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page_id"), (F.coalesce(F.octet_length(F.col(f"`{body_col}`").cast("string")), F.lit(0)) + 512).alias("weight")
     )
+    shard_bytes = shard_bytes or shards.sized(sizes.agg(F.sum("weight")).first()[0] or 0, LEAST_BYTES, MOST_BYTES)
     cuts = shards.cut_points(sizes, "page_id", "weight", shard_bytes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(shards.shard_of(cuts, b.column(0))), *b.columns], names=["shard", *b.schema.names])
+            hashes = np.array([int.from_bytes(d.as_py()[:4], "big") for d in b.column(3)], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cuts.shard_of(b.column(0), hashes)), *b.columns], names=["shard", *b.schema.names])
 
     schema = pa.schema([("temp", pa.string()), ("name", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         now, shard, part = None, None, 0
+        before, nth = None, 0
         for b in batches:
             for s, *page in zip(*b.columns, strict=True):
-                s = s.as_py()
+                s, page = s.as_py(), [v.as_py() for v in page]
+                nth = nth + 1 if (page[0], page[3]) == before else 0
+                before = page[0], page[3]
                 if now is not None and (s != shard or now.bytes >= file_bytes):
                     part = part + 1 if s == shard else 0
                     yield now.close()
                     now = None
                 if now is None:
                     now, shard = _File(base, f"pages-{s:06d}-{part:04d}.warc.gz"), s
-                now.add(page_record(*(v.as_py() for v in page)))
+                now.add(page_record(*page, nth))
         if now is not None:
             yield now.close()
 
     placed = found.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(
         place, "shard int, page_id long, url string, payload binary, digest binary, refers_to long"
     )
-    dealt = placed.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "url", "digest")
+    dealt = placed.repartitionById(cuts.count, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "digest", "url")
     done = dealt.mapInArrow(lambda it: shards.batches_of(files(it), schema, 64), "temp string, name string, records long, bytes long, sha256 string").collect()
     store, folder = shards.file_system(base)
     store.create_dir(folder, recursive=True)
