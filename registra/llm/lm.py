@@ -2,29 +2,33 @@
 
 The network predicts each token from the WINDOW tokens on both of its sides: embeddings by place, a hidden
 layer, and a softmax in two steps, first over classes of words of like frequency, then within the class.
-It is trained in numpy on the whole corpus.  Every task passes over its own documents, a seeded share of
-whose places are the targets, and the tasks' weights are averaged by the number of places; this is repeated
-until each place of the corpus was a target once.  A document's score is the sum of the log-probabilities of all its tokens, each given both sides.
+It is trained in numpy on the whole corpus: every document is dealt to a shard by a hash of its id and words, a shard is
+passed over in the order of ids, a seeded share of its places being the targets, and the shards' weights are averaged by
+the number of places; this is repeated until each place of the corpus was a target once.  So equal tables give equal
+weights, however their rows lie.  A document's score is the sum of the log-probabilities of all its tokens, each given both sides.
 
 Words are lower-cased text between ASCII white space, and all words of the corpus are its vocabulary.  The
 most frequent have entries of their own in the network; the others share hashed entries, and a word's part
 of its entry is its part of the entry's tokens: log p(word) = log p(entry | both sides) + log(n(word) /
-n(entry)).  These counts are a table that grows with the corpus and is joined, never collected.
+n(entry)).  These counts are a table that grows with the corpus.  The parts of the TABLE_WORDS most frequent words are
+known to every task; those of all other words are joined, never collected.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from registra.llm.common import written
+from registra.llm.common import text_parts, written
 
 #: Entries of the vocabulary (CLASSES classes of CLASS_WORDS) and how many of them are hashed.
 CLASSES, CLASS_WORDS, HASHED = 32, 32, 64
@@ -32,10 +36,13 @@ VOCABULARY = CLASSES * CLASS_WORDS
 PAD = VOCABULARY
 WINDOW, EMBED, HIDDEN = 2, 16, 32
 PLACES = [o for o in range(-WINDOW, WINDOW + 1) if o]
-RATES, BATCH, SEED = (5e-3, 2e-3), 4_096, 3
-#: Tokens scored at once, and words whose entries a worker remembers.
-BLOCK, WORDS_HELD = 32_768, 500_000
-SHARE_UNITS = 1 << 32
+RATES, BATCH, SEED = (6e-3, 2e-3), 8_192, 3
+#: Tokens scored at once, and words whose parts of their entries every task knows.
+BLOCK, TABLE_WORDS = 32_768, 100_000
+#: Tokens of a training shard, and bytes of text whose distinct words are looked up together.
+SHARD_TOKENS, TEXT_BYTES = 4_000_000, 8 << 20
+#: Fixed-point units of shares and of summed weights.
+SHARE_UNITS, WEIGHT_UNITS = 1 << 32, 1 << 28
 SHAPES = {
     "embed": (VOCABULARY + 1, EMBED),
     "mix": (len(PLACES), EMBED, HIDDEN),
@@ -135,8 +142,9 @@ def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
 
 def targets(doc: np.ndarray, n_pass: int, passes: int, seed: int = SEED) -> np.ndarray:
     """The places of a document that a pass takes as targets; the passes share out all places."""
-    deal = np.random.default_rng((seed, zlib.crc32(doc[:64].tobytes()), len(doc)))
-    return np.flatnonzero(deal.integers(0, passes, len(doc)) == n_pass)
+    start = zlib.crc32(doc[:64].tobytes(), seed)
+    mixed = (np.arange(start, start + len(doc), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    return np.flatnonzero(mixed % np.uint64(passes) == n_pass)
 
 
 class Adam:
@@ -152,74 +160,108 @@ class Adam:
             self.w[k] = (self.w[k] - self.rate * (self.m[k] / (1 - 0.9**self.step)) / (np.sqrt(self.v[k] / (1 - 0.999**self.step)) + 1e-8)).astype(np.float32)
 
 
-def vocabulary(counts: DataFrame) -> list[str]:
-    """The most frequent words of (word, n), ties by name; VOCABULARY - HASHED at most."""
-    return [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - HASHED).collect()]
+def table_of(counts: DataFrame) -> tuple[dict[str, tuple[int, int | None]], DataFrame]:
+    """Entry and share of the most frequent words of (word, n), and (h, share) of all others.
+
+    A share is the log of a word's part of its hashed entry, in whole numbers of 1 / SHARE_UNITS, so that sums do not
+    depend on order; it is None for words with an entry of their own.  Ties in frequency go by name.
+    """
+    # Classes of frequency, a sixteenth of an octave each, are counted first; only those that fit as a whole are collected.
+    octave = F.floor(16 * F.log2("n")).cast("int")
+    least, held = None, 0
+    for r in sorted(counts.groupBy(octave.alias("o")).count().collect(), reverse=True):
+        held += r["count"]
+        if held > TABLE_WORDS:
+            break
+        least = r["o"]
+    first = [] if least is None else sorted(counts.where(octave >= least).select("word", "n").collect(), key=lambda r: (-r[1], r[0]))
+    if len(first) < VOCABULARY - HASHED:
+        first = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - HASHED).collect()
+    words_ = [r[0] for r in first]
+    own, known = words_[: VOCABULARY - HASHED], words_[VOCABULARY - HASHED :]
+    # TABLE_WORDS words (or VOCABULARY, if these are more) and HASHED entries at most are broadcast.
+    spark = counts.sparkSession
+    rare = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in own], "word string")), "word", "left_anti").withColumn("entry", F.expr(f"crc32(CAST(word AS BINARY)) % {HASHED}"))
+    totals = rare.groupBy("entry").agg(F.sum("n").alias("total"))
+    share = F.round((F.log("n") - F.log("total")) * SHARE_UNITS).cast("long")
+    shares = rare.join(F.broadcast(totals), "entry").select("word", share.alias("share"))
+    near = F.broadcast(spark.createDataFrame([(w,) for w in known], "word string"))
+    table: dict[str, tuple[int, int | None]] = {w: (i, None) for i, w in enumerate(own)}
+    # Hashed entries lie among the rare words, in the last classes.
+    table |= {r[0]: (hashed_entry(r[0]), r[1]) for r in shares.join(near, "word", "left_semi").collect()}
+    return table, shares.join(near, "word", "left_anti").select(F.xxhash64("word").alias("h"), "share")
+
+
+def hashed_entry(word: str) -> int:
+    return VOCABULARY - HASHED + zlib.crc32(word.encode()) % HASHED
 
 
 def entries(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, row, ids, rare) of every row, and (h, share) of every word in a hashed entry: the log of its part.
+    """(doc_id, row, ids, share, rare) of every row, and (h, share) of the words that ``rare`` holds.
 
-    ids are little-endian 16-bit entries; rare holds XXH64 of the words in hashed entries, as often as they
-    occur; row numbers the rows.  Shares are whole numbers of 1 / SHARE_UNITS, so that their sums do not depend on order.
+    ids are little-endian 16-bit entries; share sums the shares of the words in the table; rare holds XXH64 of the other
+    words in hashed entries, as often as they occur; row numbers the rows.
     """
     text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
     words = rows.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
-    counts = written(words.groupBy("word").agg(F.count("*").alias("n")), "words")
-    # Hashed entries lie among the rare words, in the last classes.
-    own = vocabulary(counts)
-    numbers = {w.encode(): i for i, w in enumerate(own)}
-
-    def number(word: bytes) -> int:
-        return VOCABULARY - HASHED + zlib.crc32(word) % HASHED
+    table, shares = table_of(written(words.groupBy("word").agg(F.count("*").alias("n")), "words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {w: (i, None) for w, i in numbers.items()}
-        for b in batches:
-            out, rare = [], []
-            for t in b.column(2):
-                found, tail = [], []
-                for w in t.as_buffer().to_pybytes().split():
-                    e = known.get(w)
-                    if e is None:
-                        if len(known) > WORDS_HELD:
-                            known = {w: (i, None) for w, i in numbers.items()}
-                        e = known[w] = number(w), xxhash.xxh64_intdigest(w, 42)  # as Spark's xxhash64
-                    found.append(e[0])
-                    if e[1] is not None:
-                        tail.append(e[1])
-                out.append(np.array(found, "<u2").tobytes())
-                rare.append(np.array(tail, np.uint64).view(np.int64))
-            ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rare])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary()), lists], names=["doc_id", "row", "ids", "rare"])
-
-    ids = rows.mapInArrow(run, rows.select("doc_id", "row").schema.add("ids", "binary").add("rare", ArrayType(LongType())))
-    # VOCABULARY - HASHED words and HASHED entries at most are broadcast.
-    firsts = docs.sparkSession.createDataFrame([(w,) for w in own], "word string")
-    rare_words = counts.join(F.broadcast(firsts), "word", "left_anti").withColumn("entry", F.expr(f"crc32(CAST(word AS BINARY)) % {HASHED}"))
-    totals = rare_words.groupBy("entry").agg(F.sum("n").alias("total"))
-    share = F.round((F.log("n") - F.log("total")) * SHARE_UNITS).cast("long")
-    return ids, rare_words.join(F.broadcast(totals), "entry").select(F.xxhash64("word").alias("h"), share.alias("share"))
-
-
-def train(ids: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED, batch: int = BATCH) -> Weights:
-    """Weights fitted to the column ``ids`` of all rows, one pass for each rate; each place is a target in one of them.
-
-    Each pass sums (weights x places) over the tasks in a shuffle; only the sums come to the driver.  Passes
-    start from equal weights in all tasks, so they depend on how rows are dealt to tasks, but not on timing.
+        for b in (part for whole in batches for part in text_parts(whole, 2, TEXT_BYTES)):
+            lists = pc.ascii_split_whitespace(b.column(2))
+            coded = lists.flatten().dictionary_encode()
+            found = coded.dictionary.to_pylist()
+            entry, share, h = np.zeros(len(found), "<u2"), np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+            outside = np.zeros(len(found), bool)
+            for i, w in enumerate(found):
+                e = table.get(w)
+                if e is not None:
+                    entry[i], share[i] = e[0], e[1] or 0
+                else:
+                    entry[i], outside[i] = hashed_entry(w), True
+                    h[i] = np.uint64(xxhash.xxh64_intdigest(w, 42)).view(np.int64)  # as Spark's xxhash64
+            at = coded.indices.to_numpy()
+            real = np.array([w != "" for w in found], bool)[at]  # white space at the ends gives empty words
+            upto = np.concatenate([[0], np.cumsum(real)])
+            ends = upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            at = at[real]
+            sums = np.concatenate([[0], np.cumsum(share[at])])
+            rare = outside[at]
+            rare_ends = np.concatenate([[0], np.cumsum(rare)])[ends].astype(np.int32)
+            ids = pa.BinaryArray.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(entry[at]))])
+            arrays = [b.column(0), b.column(1), ids, pa.array(np.diff(sums[ends])), pa.ListArray.from_arrays(pa.array(rare_ends), pa.array(h[at[rare]]))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "row", "ids", "share", "rare"])
+
+    schema = rows.select("doc_id", "row").schema.add("ids", "binary").add("share", "long").add("rare", ArrayType(LongType()))
+    return rows.mapInArrow(run, schema), shares
+
+
+def deal(ids: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """The columns shard and ids of rows (doc_id, ids), each shard in one partition and in order."""
+    tokens = ids.agg(F.sum(F.octet_length("ids") / 2)).first()[0] or 0
+    shards = max(1, int(-(-tokens // shard_tokens)))
+    shard = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int")
+    return ids.select(shard.alias("shard"), "doc_id", "ids").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids").select("shard", "ids")
+
+
+def train(dealt: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED, batch: int = BATCH) -> Weights:
+    """Weights fitted to rows (shard, ids) as ``deal`` returns them, one pass for each rate; each place is a target in one of them.
+
+    All shards start a pass from equal weights.  (weights x places) of the shards are summed in a shuffle, in whole
+    numbers of 1 / WEIGHT_UNITS; only the sums come to the driver.
     """
     w = start_weights(seed)
     for n_pass, rate in enumerate(rates):
         given = flat(w)
 
         def one_pass(batches: Iterator[pa.RecordBatch], given=given, rate=rate, n_pass=n_pass) -> Iterator[pa.RecordBatch]:
-            learn = Adam(shaped(given), rate)
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            size = seen = 0
-            for b in batches:
-                for raw in b.column(0):
+            rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+            for _, of_shard in groupby(rows, lambda r: r[0]):
+                learn = Adam(shaped(given), rate)
+                held: list[tuple[np.ndarray, np.ndarray]] = []
+                size = seen = 0
+                for _, raw in of_shard:
                     doc = np.frombuffer(raw.as_buffer(), "<u2").astype(np.int64)
                     at = targets(doc, n_pass, len(rates), seed)
                     for s in range(0, len(at), batch):
@@ -228,20 +270,20 @@ def train(ids: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED, ba
                         if size >= batch:
                             learn(*(np.concatenate(z) for z in zip(*held, strict=True)))
                             held, seen, size = [], seen + size, 0
-            if size:
-                learn(*(np.concatenate(z) for z in zip(*held, strict=True)))
-                seen += size
-            if seen:
-                sums = np.append(flat(learn.w).astype(np.float64) * seen, float(seen))
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], names=["i", "x"])
-
-        sums = ids.select("ids").mapInArrow(one_pass, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+                if size:
+                    learn(*(np.concatenate(z) for z in zip(*held, strict=True)))
+                    seen += size
+                if seen:
+                    sums = np.append(np.rint(flat(learn.w).astype(np.float64) * (seen * WEIGHT_UNITS)), float(seen)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], names=["i", "x"])
+
+        sums = dealt.mapInArrow(one_pass, "i int, x long").groupBy("i").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect()
         if not sums:
             break
         total = np.zeros(len(given) + 1)
         for r in sums:
-            total[r[0]] = r[1]
-        w = shaped(total[:-1] / total[-1])
+            total[r[0]] = float(r[1])
+        w = shaped(total[:-1] / (total[-1] * WEIGHT_UNITS))
     return w
 
 
@@ -268,26 +310,29 @@ def score_ids(w: Weights, docs: list[np.ndarray]) -> list[float]:
     return sums.tolist()
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rates: tuple[float, ...] = RATES, batch: int = BATCH) -> DataFrame:
+def pseudo_likelihood(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rates: tuple[float, ...] = RATES, batch: int = BATCH, shard_tokens: int = SHARD_TOKENS
+) -> DataFrame:
     """(doc_id, n_tokens, pll, mean_pll) of every row under a network trained on all rows.
 
     ``pll`` sums natural logarithms over all tokens, 0 for null and empty texts, whose mean is null.
-    Repeated rows get equal scores.  An empty table gives an empty one; other columns are not read.
+    The network's weights do not depend on order or layout, and scores only by the rounding of 32-bit products.  An empty table gives an
+    empty one; other columns are not read.
     """
     ids, shares = entries(docs, id_col, text_col)
     ids = written(ids, "entries")
-    w = train(ids, rates, batch=batch)
+    w = train(deal(ids, shard_tokens), rates, batch=batch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in b.column(2)]
             sizes = np.array([len(x) for x in found], np.int64)
             scores = np.array(score_ids(w, found), np.float64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), pa.array(scores)], names=["doc_id", "row", "n_tokens", "network"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), b.column(3), pa.array(scores)], names=["doc_id", "row", "n_tokens", "known", "network"])
 
-    schema = ids.select("doc_id", "row").schema.add("n_tokens", "long").add("network", "double")
-    scored = ids.select("doc_id", "row", "ids").mapInArrow(run, schema)
+    schema = ids.select("doc_id", "row").schema.add("n_tokens", "long").add("known", "long").add("network", "double")
+    scored = ids.select("doc_id", "row", "ids", "share").mapInArrow(run, schema)
     rare = ids.select("row", F.explode("rare").alias("h")).join(shares, "h").groupBy("row").agg(F.sum("share").alias("share"))
-    pll = F.col("network") + F.coalesce(F.col("share"), F.lit(0)) / SHARE_UNITS
+    pll = F.col("network") + (F.col("known") + F.coalesce(F.col("share"), F.lit(0))) / SHARE_UNITS
     out = scored.join(rare, "row", "left").select("doc_id", "n_tokens", pll.alias("pll"))
     return out.withColumn("mean_pll", F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")))

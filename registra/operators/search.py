@@ -93,6 +93,7 @@ def ranked(df: DataFrame, doc: str, attributes: Sequence[str], queries: DataFram
     once = written(index.join(found, "token").groupBy(doc, "word").agg(F.min(F.struct("typos", "attribute", "pos")).alias("b")), "best")
     matched = once.select(doc, "word").join(words.select(query, "word"), "word").groupBy(query, doc).agg(F.count("*").alias("n"))
     first = matched.withColumn("r", F.rank().over(Window.partitionBy(query).orderBy(F.desc("n")))).where(F.col("r") <= top).select(query, doc)
+    first = small_or_shuffled(written(first, "first"))
     best = once.join(words, "word").join(first, [query, doc], "left_semi")
     follow = Window.partitionBy(query, doc).orderBy("nth", "word")
     gap = F.least(F.abs(F.col("b.pos") - F.lag("b.pos").over(follow)), F.lit(FARTHEST))
