@@ -30,9 +30,9 @@ from registra.llm.common import written
 
 #: Characters of a chunk and of the overlap of two chunks, and the same for the chunks that are dealt out.
 CHUNK, OVERLAP = 4_096, 256
-DEALT, DEALT_OVERLAP = 65_536, 1_024
+DEALT, DEALT_OVERLAP = 16_384, 1_024
 #: Characters above which a text's chunks are dealt out.
-DEAL_ABOVE = 262_144
+DEAL_ABOVE = 65_536
 #: A match that ends this close to a chunk's end may be cut short ('re needs two characters after the quote).
 LOOKAHEAD = 2
 

@@ -7,6 +7,8 @@ import random
 import struct
 import zlib
 from collections import Counter, defaultdict
+from functools import reduce
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ def test_simhash_whole_table(spark, sf_dir):
     assert order(queries.op7_simhash_anchors(spark, sf_dir).collect()) == brute_near_duplicates([tuple(r) for r in rows])
 
 
-@pytest.mark.parametrize("split_above", [10**9, 3])
+@pytest.mark.parametrize("split_above", [10**9, 40, 3])
 def test_anchors_lose_no_link(spark, split_above):
     rng = random.Random(7)
     fps = set()
@@ -59,12 +61,69 @@ def test_anchors_lose_no_link(spark, split_above):
             for b in rng.sample(range(64), rng.choice([1, 2, 3, 4])):
                 x ^= 1 << b
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
-    edges = simhash.links(spark.createDataFrame(signed, "fp long"), split_above=split_above)
+    edges = simhash.links(spark.createDataFrame([(*f, *f) for f in signed], "node long, l0 long"), split_above=split_above)
     got = {r.node: r.root for r in components.connected_components(edges).collect()}
     want = odd.components({s[0] for s in signed}, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 3)
     assert {n: got.get(n, n) for n in want} == want
 
 
+def anchors_near(x):
+    """Brute force: the words of the perfect code on 31 bits within 2 of x."""
+    syndrome = lambda w: reduce(xor, (p for p in range(1, 32) if w >> (p - 1) & 1), 0)
+    flips = [0, *[1 << i for i in range(31)], *[1 << i | 1 << j for i in range(31) for j in range(i)]]
+    return {x ^ f for f in flips if syndrome(x ^ f) == 0}
+
+
+def meet(a, b):
+    """Whether two fingerprints (lists of lanes) have an anchor within 2 of both in some half."""
+    halves = lambda f: [h & 0x7FFFFFFF for x in f for h in (x, x >> 32)]
+    return any((x ^ y).bit_count() <= 2 or ((x ^ y).bit_count() <= 4 and anchors_near(x) & anchors_near(y)) for x, y in zip(halves(a), halves(b), strict=True))
+
+
+def apart(a, b):
+    return sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True))
+
+
+@pytest.mark.parametrize("split_above", [10**9, 6])
+def test_wide_anchors_link_what_meets(spark, split_above):
+    rng = random.Random(9)
+    fps = []
+    for _ in range(12):
+        x = [rng.getrandbits(64), rng.getrandbits(64)]
+        for _ in range(8):
+            fps.append(list(x))
+            for b in rng.sample(range(128), rng.choice([2, 6, 11, 16])):
+                x[b // 64] ^= 1 << b % 64
+    rows = [(i, *[v - (1 << 64) if v >> 63 else v for v in f]) for i, f in enumerate(fps)]
+    edges = simhash.links(spark.createDataFrame(rows, "node long, l0 long, l1 long"), 14, split_above, lanes=2)
+    got = {r.node: r.root for r in components.connected_components(edges).collect()}
+    want = odd.components(set(range(len(fps))), lambda a, b: apart(fps[a], fps[b]) <= 14 and meet(fps[a], fps[b]))
+    assert {n: got.get(n, n) for n in want} == want
+    sure = odd.components(set(range(len(fps))), lambda a, b: apart(fps[a], fps[b]) <= 11)
+    assert all(want[n] == want[r] for n, r in sure.items()) and len(set(want.values())) > 12
+
+
+def test_large_groups_are_linked_without_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, compared = 3_000, []
+    centre = rng.integers(-(2**62), 2**62, 2)
+    flips = np.zeros((n, 2), np.int64)
+    for _ in range(5):
+        flips[np.arange(n), rng.integers(0, 2, n)] ^= np.int64(1) << rng.integers(0, 62, n)
+    rows = np.concatenate([centre ^ flips, rng.integers(-(2**62), 2**62, (50, 2))])
+    key = np.concatenate([np.full(n, 7), np.full(25, 7), np.arange(25) + 8])
+    batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.zeros(n + 50, bool)), pa.array(np.arange(n + 50)), pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["key", "home", "node", "l0", "l1"])
+    count = np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: (compared.append(len(x)), count(x))[1])
+    parts = [batch.slice(0, 1_000), batch.slice(1_000)]
+    edges = [(u, v) for b in simhash._compare(iter(parts), 20, True) for u, v in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert len(edges) == n - 1 and {v for _, v in edges} == {0} and {u for u, _ in edges} == set(range(1, n))
+    alone = batch.slice(0, n)
+    compared.clear()
+    assert sum(b.num_rows for b in simhash._compare(iter([alone]), 20, True)) == n - 1
+    assert sum(compared) < 2 * n * 40  # two lanes, and far fewer than n * n / 2 pairs
+
+
 def test_one_of_each_keeps_columns_and_clean_rows(spark):
     docs = odd.documents(spark)
     kept = simhash.one_of_each(docs)
@@ -103,6 +162,15 @@ def test_line_dedup(spark):
     assert lines.drop_boilerplate(odd.none_of(spark), F.col("source")).count() == 0
     kept = lines.drop_boilerplate(odd.documents(spark), F.col("source"), min_pages=2, ratio=0.5, dropped_col="n").collect()
     assert len(kept) == 16 and all(r.n >= 0 for r in kept)
+    clash = lines.drop_boilerplate(docs, F.col("host"), ratio=0.3, min_pages=2, dropped_col="LINE")
+    assert clash.columns == ["doc_id", "text", "host", "_lines", "LINE"] and clash.agg(F.sum("LINE")).first()[0] > 5
+
+
+def test_line_dedup_by_hosts_of_urls(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    got = lines.drop_boilerplate(pages, F.parse_url("url", F.lit("HOST")), "html", ratio=0.3, min_pages=2)
+    rows = [(r.page_id, r.html, r.host) for r in pages.withColumn("host", F.parse_url("url", F.lit("HOST"))).collect()]
+    assert order(got.select("page_id", "html").collect()) == order(brute_lines(rows, 0.3, 2))
 
 
 def brute_share(children, budget):
@@ -124,8 +192,17 @@ def brute_share(children, budget):
     return share
 
 
-@pytest.mark.parametrize("share,epochs", [(0.5, 2), (1.7, 2), (0.0, 1), (1.0, 1), (5.0, 3)])
-def test_mixing(spark, share, epochs):
+def test_mixing_keeps_columns_with_the_names_of_its_results(spark):
+    docs = spark.createDataFrame([(i, "abcd" * 9, "en", "own", "mine") for i in range(20)], "doc_id long, text string, lang string, tokens string, EPOCH string")
+    got = mixing.mix(docs, [("lang", F.col("lang"), F.lit(1)), ("kind", F.col("tokens"), F.lit(1))])
+    assert got.columns == [*docs.columns, "kind", "epoch_", "tokens_", "leaf_budget"]
+    assert {(r.tokens, r.EPOCH, r.kind, r.epoch_, r.tokens_) for r in got.collect()} == {("own", "mine", "own", 0, 9)}
+    assert mixing.mix(docs.limit(0), [("lang", F.col("lang"), F.lit(1))]).count() == 0
+
+
+@pytest.mark.parametrize("share,epochs,edge", [(0.5, 2, 1), (1.7, 2, 64), (0.0, 1, 64), (1.0, 1, 64), (5.0, 3, 2)])
+def test_mixing(spark, monkeypatch, share, epochs, edge):
+    monkeypatch.setattr(mixing, "EDGE_ROWS", edge)
     rng = random.Random(5)
     rows = [(i, "y" * rng.choice([0, 5, 40, 400]), rng.choice(["en", "fr", None]), rng.choice(["a", "b", "c"])) for i in range(120)]
     rows += [(3, rows[3][1], rows[3][2], rows[3][3]), (None, "yyyy", "en", "a"), (200, None, "fr", "a")]
@@ -178,6 +255,30 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.classify(odd.documents(spark), langid.fit(odd.none_of(spark))).collect()} == {"und"}
 
 
+def test_held_out_rows_never_reach_the_model(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    out = langid.held_out(F.col("doc_id"))
+    changed = docs.withColumn("lang", F.when(out, F.lit("xx")).otherwise(F.col("lang"))).withColumn("text", F.when(out, F.reverse("text")).otherwise(F.col("text")))
+    a, b = langid.fit(docs, rows=60), langid.fit(changed, rows=60)
+    assert a.langs == b.langs and all((getattr(a, n) == getattr(b, n)).all() for n in ("embed", "kernel", "bias", "dense", "offset"))
+
+
+def test_scores_of_whole_texts_equal_a_plain_loop(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs, rows=60)
+    texts = ["a", "été " * 3, "The quick brown fox. " * 40, "x" * langid.WINDOW, "y" * (langid.WINDOW + 1), "\u65e5\u672c" * 200]
+    got = langid.classify(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).collect()
+    for r in got:
+        data = np.concatenate([np.frombuffer(r.text.encode(), np.uint8), np.zeros(2 * langid.WINDOW, np.uint8)])
+        n, total = len(r.text.encode()), np.zeros(len(model.langs))
+        for start in range(0, n, langid.WINDOW):
+            window = data[start : start + langid.WINDOW + langid.SPAN - 1]
+            conv = np.array([sum(model.embed[window[p + j]] @ model.kernel[j] for j in range(langid.SPAN)) for p in range(langid.WINDOW)]) + model.bias
+            z = np.maximum(conv.max(0), 0) @ model.dense + model.offset
+            total += np.exp(z - z.max()) / np.exp(z - z.max()).sum() * (min(n, start + langid.WINDOW) - start)
+        assert r.lang_pred == model.langs[int(total.argmax())] and abs(r.score - total.max() / n) < 1e-3
+
+
 def test_network_tables_equal_the_convolution():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 256, (70, langid.WINDOW + langid.SPAN - 1)).astype(np.uint8)
@@ -203,7 +304,8 @@ def test_token_ids(spark):
     library = Tokenizer.from_file(path)
     rows = [(r.doc_id, r.text) for r in odd.documents(spark).collect()] + [(-4, "a\x1cb <|endoftext|> é ́x"), (99, "Σίσυφος 'RE don't it")]
     want, start = {}, 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, len(library.encode(r[1] or "", add_special_tokens=False).ids))):
+    crc = lambda t: zlib.crc32(np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u2").tobytes())
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, crc(r[1]))):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
         want.setdefault(i, []).append((start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
         start += len(ids)
