@@ -11,7 +11,7 @@ Words are lower-cased text between ASCII white space, and all words of the corpu
 most frequent have entries of their own in the network; the others share hashed entries, and a word's part
 of its entry is its part of the entry's tokens: log p(word) = log p(entry | both sides) + log(n(word) /
 n(entry)).  These counts are a table that grows with the corpus.  The parts of the TABLE_WORDS most frequent words are
-known to every task; those of all other words are joined, never collected.
+known to every task, by their hashes; those of all other words are joined, never collected.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ PAD = VOCABULARY
 WINDOW, EMBED, HIDDEN = 2, 16, 32
 PLACES = [o for o in range(-WINDOW, WINDOW + 1) if o]
 RATES, BATCH, SEED = (6e-3, 2e-3), 8_192, 3
-#: Tokens scored at once, and words whose parts of their entries every task knows.
-BLOCK, TABLE_WORDS = 32_768, 100_000
+#: Tokens scored at once, and words whose parts of their entries every task knows (18 bytes each).
+BLOCK, TABLE_WORDS = 32_768, 1_000_000
 #: Tokens of a training shard, and bytes of text whose distinct words are looked up together.
 SHARD_TOKENS, TEXT_BYTES = 4_000_000, 8 << 20
 #: Fixed-point units of shares and of summed weights.
@@ -69,9 +70,28 @@ def shaped(v: np.ndarray) -> Weights:
     return {k: p.reshape(s).astype(np.float32) for (k, s), p in zip(SHAPES.items(), np.split(v, ends[:-1]), strict=True)}
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _softmax_parts(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(z - max) of each row, made in place, and max + log(sum), the log of the sum of exp(z)."""
+    most = z.max(1, keepdims=True)
+    z -= most
+    np.exp(z, out=z)
+    total = z.sum(1, keepdims=True)
+    return z / total, (most + np.log(total))[:, 0]
+
+
+def _hidden(w: Weights, folded: np.ndarray, context: np.ndarray) -> np.ndarray:
+    hidden = folded[0][context[:, 0]]
+    for j in range(1, len(PLACES)):
+        hidden += folded[j][context[:, j]]
+    hidden += w["bias"]
+    return np.maximum(hidden, 0, out=hidden)
+
+
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """An order of the targets by class, and where the classes end in it."""
+    group = (target // CLASS_WORDS).astype(np.int16)
+    order = np.argsort(group, kind="stable")
+    return order, np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
 
 
 def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -81,19 +101,22 @@ def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def log_probabilities(w: Weights, folded: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log p(target | both sides); ``folded`` is ``fold(w)``."""
-    hidden = folded[0][context[:, 0]]
-    for j in range(1, len(PLACES)):
-        hidden += folded[j][context[:, j]]
-    hidden = np.maximum(hidden + w["bias"], 0)
-    group, word = target // CLASS_WORDS, target % CLASS_WORDS
-    out = _log_softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(target)), group]
-    order = np.argsort(group.astype(np.int16), kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    """log p(target | both sides); ``folded`` is ``fold(w)``.  Rows are brought in the order of their classes once."""
+    order, ends = _by_class(target)
+    hidden = _hidden(w, folded, context[order])
+    group, word = target[order] // CLASS_WORDS, target[order] % CLASS_WORDS
+    n = np.arange(len(target))
+    logits = hidden @ w["to_class"] + w["class_bias"]
+    score = logits[n, group]
+    score -= _softmax_parts(logits)[1]
     for c in range(CLASSES):
-        rows = order[ends[c] : ends[c + 1]]
-        if len(rows):
-            out[rows] += _log_softmax(hidden[rows] @ w["to_word"][c] + w["word_bias"][c])[np.arange(len(rows)), word[rows]]
+        rows = slice(ends[c], ends[c + 1])
+        if ends[c] < ends[c + 1]:
+            logits = hidden[rows] @ w["to_word"][c] + w["word_bias"][c]
+            score[rows] += logits[n[: len(logits)], word[rows]]
+            score[rows] -= _softmax_parts(logits)[1]
+    out = np.empty_like(score)
+    out[order] = score
     return out
 
 
@@ -105,29 +128,24 @@ def fold(w: Weights) -> np.ndarray:
 def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
     """Of the mean negative log-probability."""
     n = len(target)
-    folded = fold(w)
-    hidden = folded[0][context[:, 0]]
-    for j in range(1, len(PLACES)):
-        hidden += folded[j][context[:, j]]
-    hidden = np.maximum(hidden + w["bias"], 0)
-    group, word = target // CLASS_WORDS, target % CLASS_WORDS
-    d_class = np.exp(_log_softmax(hidden @ w["to_class"] + w["class_bias"]))
-    d_class[np.arange(n), group] -= 1
-    d_class /= n
-    g = {"to_class": hidden.T @ d_class, "class_bias": d_class.sum(0), "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
+    order, ends = _by_class(target)
+    context = context[order]
+    group, word = target[order] // CLASS_WORDS, target[order] % CLASS_WORDS
+    hidden, at = _hidden(w, fold(w), context), np.arange(n)
+    d_class = _softmax_parts(hidden @ w["to_class"] + w["class_bias"])[0]
+    d_class[at, group] -= 1
+    g = {"to_class": hidden.T @ d_class / n, "class_bias": d_class.sum(0) / n, "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
     d_hidden = d_class @ w["to_class"].T
-    order = np.argsort(group.astype(np.int16), kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
-        rows = order[ends[c] : ends[c + 1]]
-        if len(rows):
+        rows = slice(ends[c], ends[c + 1])
+        if ends[c] < ends[c + 1]:
             h = hidden[rows]
-            d = np.exp(_log_softmax(h @ w["to_word"][c] + w["word_bias"][c]))
-            d[np.arange(len(rows)), word[rows]] -= 1
-            d /= n
-            g["to_word"][c], g["word_bias"][c] = h.T @ d, d.sum(0)
+            d = _softmax_parts(h @ w["to_word"][c] + w["word_bias"][c])[0]
+            d[at[: len(d)], word[rows]] -= 1
+            g["to_word"][c], g["word_bias"][c] = h.T @ d / n, d.sum(0) / n
             d_hidden[rows] += d @ w["to_word"][c].T
     d_hidden *= hidden > 0
+    d_hidden /= n
     g["bias"] = d_hidden.sum(0)
     g["mix"], g["embed"] = np.zeros_like(w["mix"]), np.zeros_like(w["embed"])
     for p in range(len(PLACES)):  # what repeated words add is summed before it is multiplied
@@ -160,12 +178,25 @@ class Adam:
             self.w[k] = (self.w[k] - self.rate * (self.m[k] / (1 - 0.9**self.step)) / (np.sqrt(self.v[k] / (1 - 0.999**self.step)) + 1e-8)).astype(np.float32)
 
 
-def table_of(counts: DataFrame) -> tuple[dict[str, tuple[int, int | None]], DataFrame]:
-    """Entry and share of the most frequent words of (word, n), and (h, share) of all others.
+class Table(NamedTuple):
+    """Entries and shares of words by their XXH64, in its order.
 
     A share is the log of a word's part of its hashed entry, in whole numbers of 1 / SHARE_UNITS, so that sums do not
-    depend on order; it is None for words with an entry of their own.  Ties in frequency go by name.
+    depend on order; it is 0 for words with an entry of their own.
     """
+
+    hashes: np.ndarray
+    entries: np.ndarray
+    shares: np.ndarray
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where hashes stand, and which of them do."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        return at, self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+
+
+def table_of(counts: DataFrame) -> tuple[Table, DataFrame]:
+    """The most frequent words of (word, n), ties by name, and (h, share) of all others."""
     # Classes of frequency, a sixteenth of an octave each, are counted first; only those that fit as a whole are collected.
     octave = F.floor(16 * F.log2("n")).cast("int")
     least, held = None, 0
@@ -174,22 +205,27 @@ def table_of(counts: DataFrame) -> tuple[dict[str, tuple[int, int | None]], Data
         if held > TABLE_WORDS:
             break
         least = r["o"]
-    first = [] if least is None else sorted(counts.where(octave >= least).select("word", "n").collect(), key=lambda r: (-r[1], r[0]))
-    if len(first) < VOCABULARY - HASHED:
-        first = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - HASHED).collect()
-    words_ = [r[0] for r in first]
-    own, known = words_[: VOCABULARY - HASHED], words_[VOCABULARY - HASHED :]
-    # TABLE_WORDS words (or VOCABULARY, if these are more) and HASHED entries at most are broadcast.
+    own = [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - HASHED).collect()]
+    # VOCABULARY - HASHED words and HASHED entries are broadcast.
     spark = counts.sparkSession
     rare = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in own], "word string")), "word", "left_anti").withColumn("entry", F.expr(f"crc32(CAST(word AS BINARY)) % {HASHED}"))
     totals = rare.groupBy("entry").agg(F.sum("n").alias("total"))
     share = F.round((F.log("n") - F.log("total")) * SHARE_UNITS).cast("long")
-    shares = rare.join(F.broadcast(totals), "entry").select("word", share.alias("share"))
-    near = F.broadcast(spark.createDataFrame([(w,) for w in known], "word string"))
-    table: dict[str, tuple[int, int | None]] = {w: (i, None) for i, w in enumerate(own)}
     # Hashed entries lie among the rare words, in the last classes.
-    table |= {r[0]: (hashed_entry(r[0]), r[1]) for r in shares.join(near, "word", "left_semi").collect()}
-    return table, shares.join(near, "word", "left_anti").select(F.xxhash64("word").alias("h"), "share")
+    shares = rare.join(F.broadcast(totals), "entry").select(F.xxhash64("word").alias("h"), (F.col("entry") + (VOCABULARY - HASHED)).cast("int").alias("entry"), share.alias("share"), octave.alias("o"))
+    known = F.lit(False) if least is None else F.col("o") >= least
+    near = shares.where(known).select("h", "entry", "share").toArrow()  # TABLE_WORDS at most
+    h = np.concatenate([np.array([digest(w) for w in own], np.int64), near.column("h").to_numpy()])
+    entry = np.concatenate([np.arange(len(own)), near.column("entry").to_numpy()]).astype("<u2")
+    part = np.concatenate([np.zeros(len(own), np.int64), near.column("share").to_numpy()])
+    order = np.argsort(h, kind="stable")
+    return Table(h[order], entry[order], part[order]), shares.where(~known).select("h", "share")
+
+
+def digest(word: str) -> int:
+    """A word's hash, as Spark's xxhash64."""
+    h = xxhash.xxh64_intdigest(word, 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def hashed_entry(word: str) -> int:
@@ -212,25 +248,23 @@ def entries(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
             lists = pc.ascii_split_whitespace(b.column(2))
             coded = lists.flatten().dictionary_encode()
             found = coded.dictionary.to_pylist()
-            entry, share, h = np.zeros(len(found), "<u2"), np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
-            outside = np.zeros(len(found), bool)
-            for i, w in enumerate(found):
-                e = table.get(w)
-                if e is not None:
-                    entry[i], share[i] = e[0], e[1] or 0
-                else:
-                    entry[i], outside[i] = hashed_entry(w), True
-                    h[i] = np.uint64(xxhash.xxh64_intdigest(w, 42)).view(np.int64)  # as Spark's xxhash64
+            hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in found), np.uint64, len(found)).view(np.int64)
+            place, known = table.find(hashes)
+            entry = np.zeros(len(found), "<u2")
+            entry[known] = table.entries[place[known]]
+            share = np.where(known, table.shares[place], 0) if len(table.shares) else np.zeros(len(found), np.int64)
+            for i in np.flatnonzero(~known).tolist():
+                entry[i] = hashed_entry(found[i])
             at = coded.indices.to_numpy()
             real = np.array([w != "" for w in found], bool)[at]  # white space at the ends gives empty words
             upto = np.concatenate([[0], np.cumsum(real)])
             ends = upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
             at = at[real]
             sums = np.concatenate([[0], np.cumsum(share[at])])
-            rare = outside[at]
+            rare = ~known[at]
             rare_ends = np.concatenate([[0], np.cumsum(rare)])[ends].astype(np.int32)
             ids = pa.BinaryArray.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(entry[at]))])
-            arrays = [b.column(0), b.column(1), ids, pa.array(np.diff(sums[ends])), pa.ListArray.from_arrays(pa.array(rare_ends), pa.array(h[at[rare]]))]
+            arrays = [b.column(0), b.column(1), ids, pa.array(np.diff(sums[ends])), pa.ListArray.from_arrays(pa.array(rare_ends), pa.array(hashes[at[rare]]))]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "row", "ids", "share", "rare"])
 
     schema = rows.select("doc_id", "row").schema.add("ids", "binary").add("share", "long").add("rare", ArrayType(LongType()))
