@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, forest, langid, lines, lm, mixing, simhash, tokenids, voronoi, warc
+from registra.llm import bpe, forest, langid, lines, lm, mixing, partcodes, projections, simhash, tokenids, voronoi, warc
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -85,8 +85,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(tables(spark, sf_dir, "documents"), bpe_path(), keep=["doc_id"])
 
 
+def op11_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_duplicate_vectors(tables(spark, sf_dir, "embeddings"))
+
+
+def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = partcodes.compress(tables(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_forest, op2_pseudo_likelihood, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe)
+    f.__name__: f for f in (op1_prefix_forest, op2_pseudo_likelihood, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe, op11_projection_passes, op12_part_codes)
 }
 
 _OP8 = f"""
