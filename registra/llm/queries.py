@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, forest, langid, lines, lm, mixing, partcodes, projections, simhash, tokenids, voronoi, warc
+from registra.llm import alignment, bpe, forest, langid, lines, lm, mixing, partcodes, projections, simhash, tokenids, voronoi, warc
 from registra.llm.common import tables
 
 #: The mixing tree: domain, language and source, with integer weights; others weigh 1.
@@ -94,8 +94,13 @@ def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(tables(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_forest, op2_pseudo_likelihood, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe, op11_projection_passes, op12_part_codes)
+    f.__name__: f for f in (op1_prefix_forest, op2_pseudo_likelihood, op3_mix_sources, op4_language_id, op5_warc, op6_voronoi_top_k, op7_simhash_anchors, op8_line_dedup, op9_token_ids, op10_byte_bpe, op11_projection_passes, op12_part_codes, op13_token_alignment)
 }
 
 _OP8 = f"""
