@@ -43,7 +43,8 @@ PART_BYTES = 1 << 20
 TABLE_PAIRS = 1_000_000
 #: Distinct pairs that a task gathers before it gives their counts away.
 HELD_PAIRS = 2_000_000
-_CUT = re.compile(r"(?<=\S) ")
+#: Where a piece may begin; not with the last blank of a text, as a piece of one blank encodes to nothing.
+_CUT = re.compile(r"(?<=\S) (?=[\s\S])")
 BLOCK = "start long, n_a long, n_b long, n_groups long, groups string, links binary, counts binary"
 
 
