@@ -258,7 +258,12 @@ def one_of_each(
     Rows that repeat such an id are reduced to the one whose JSON form is smallest.  Rows without an id can't be named and
     all stay.  Texts are shuffled only if the ids that go or are repeated are too many to broadcast.
     """
-    found = written(near_duplicates(docs, id_col, text_col, max_bits, words, lanes).where("doc_id is not null"), "members")
+    return firsts(docs, near_duplicates(docs, id_col, text_col, max_bits, words, lanes), id_col)
+
+
+def firsts(docs: DataFrame, members: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``one_of_each`` keeps, by the components in ``members`` (doc_id, component_id)."""
+    found = written(members.where("doc_id is not null"), "members")
     ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
     odd = written(ids.where("n > 1 or not stays").select(F.col("doc_id").alias("_odd"), "stays"), "odd")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])

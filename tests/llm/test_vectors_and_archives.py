@@ -14,10 +14,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from registra.llm import forest, queries, shards, simhash, vectors, voronoi, warc
+from registra.llm import forest, neartexts, queries, shards, vectors, voronoi, warc
 from registra.llm.common import fresh_path, shared_dir
 from tests.llm import odd
-from tests.llm.test_texts import apart, meet
 
 SCHEMA = "vec_id long, embedding array<float>, v string, rep long, part int"
 
@@ -243,9 +242,9 @@ def test_pipeline_stages(spark, sf_dir):
         if name in ("language_id", "line_dedup"):
             assert docs.count() == n
         if name == "near_dedup":
-            fps = {r.doc_id: simhash.fingerprint(r.text, 5, lanes=4) for r in given}
-            near = lambda a, b: apart(fps[a], fps[b]) <= 39 and meet(fps[a], fps[b])
-            assert simhash.bits_for(0.8, 4) == 39 and {r.doc_id for r in docs.collect()} == set(odd.components(set(fps), near).values())
+            sets = {r.doc_id: neartexts.shingles(r.text) for r in given}
+            near = lambda a, b: neartexts.jaccard(sets[a], sets[b]) >= 0.8
+            assert {r.doc_id for r in docs.collect()} == set(odd.components(set(sets), near).values())
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert last.count() == docs.count() and {"doc_id", "n_tokens", "ids_sha256"} <= set(last.columns)
 
