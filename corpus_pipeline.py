@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import bpe, langid, lines, mixing, queries, simhash
+from registra.llm import bpe, langid, lines, mixing, neartexts, queries
 from registra.llm.common import tables, written
 
 #: A document whose best language gets less than this is rejected, as is one without a letter.
 MIN_SCORE = 0.3
-#: Near-duplicates share this part of their five-word shingles, by fingerprints of four times 64 bits.
-SIMILARITY, SHINGLE_WORDS, LANES = 0.8, 5, 4
+#: Near-duplicates share this part of their five-word shingles.
+SIMILARITY, SHINGLE_WORDS = 0.8, 5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,8 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of each SimHash component."""
-    return simhash.one_of_each(docs, max_bits=simhash.bits_for(SIMILARITY, LANES), words=SHINGLE_WORDS, lanes=LANES)
+    """Keep the first document of each component of verified pairs that meet at SimHash anchors."""
+    return neartexts.one_of_each(docs, similarity=SIMILARITY, words=SHINGLE_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
