@@ -1,53 +1,22 @@
-"""Full-text search: an inverted index as a table, typo-tolerant matching, ranking, facets and highlights."""
+"""Full-text search: ranking by a written index, filters, sort, facets over all hits, highlights and snippets."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.shared import small_or_shuffled, written
-
-SPLIT = r"[^\p{L}\p{N}]+"
-#: Shortest words that may differ by one and by two characters, and the largest distance that counts.
-ONE_TYPO, TWO_TYPOS, FARTHEST = 5, 9, 8
-
-
-def tokens(df: DataFrame, doc: str, attributes: Sequence[str]) -> DataFrame:
-    """(doc, attribute, pos, token): the inverted index; attributes in order of weight, 0 first."""
-    lists = [F.struct(F.lit(i).alias("attribute"), F.split(F.lower(F.col(a)), SPLIT).alias("words")) for i, a in enumerate(attributes)]
-    each = df.select(F.col(doc), F.explode(F.array(*lists)).alias("a"))
-    placed = each.select(doc, "a.attribute", F.posexplode("a.words").alias("pos", "token"))
-    return placed.where("token <> ''")
-
-
-def query_words(queries: DataFrame, query: str, text: str) -> DataFrame:
-    """(query, word, nth, words): distinct words of each query with their first place."""
-    rows = queries.select(F.col(query), F.posexplode(F.split(F.lower(F.col(text)), SPLIT)).alias("nth", "word")).where("word <> ''")
-    first = rows.groupBy(query, "word").agg(F.min("nth").alias("nth"))
-    return first
-
-
-def matches(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
-    """(word, token, typos) of the tokens that a word matches.
-
-    A token matches if it is the word, or begins alike and is within the typos that the word's length allows.  A word
-    meets the tokens of the same first letter and of each length that is near enough.
-    """
-    plain = F.col("word").rlike("^[a-z0-9]+$")
-    allowed = F.when(plain & (F.length("word") >= TWO_TYPOS), 2).when(plain & (F.length("word") >= ONE_TYPO), 1).otherwise(0)
-    own = words.select("word").distinct().withColumn("allowed", allowed).withColumn("first", F.substring("word", 1, 1))
-    sized = own.withColumn("size", F.explode(F.sequence(F.length("word") - F.col("allowed"), F.length("word") + F.col("allowed"))))
-    near = vocabulary.withColumn("first", F.substring("token", 1, 1)).withColumn("size", F.length("token")).join(sized, ["first", "size"])
-    near = near.where((F.col("word") == F.col("token")) | ((F.col("allowed") > 0) & F.col("token").rlike("^[a-z0-9]+$")))
-    typos = F.when(F.col("word") == F.col("token"), 0).otherwise(F.levenshtein("word", "token"))
-    return near.withColumn("typos", typos).where(F.col("typos") <= F.col("allowed")).select("word", "token", "typos")
+from registra.operators import index
+from registra.operators.index import FARTHEST, ONE_TYPO, SPLIT, TWO_TYPOS, Hits, tokens
 
+__all__ = ["FARTHEST", "ONE_TYPO", "SPLIT", "TWO_TYPOS", "tokens"]
 
 #: Fields that a search may be sorted by.
 SORT_FIELDS = ("publication_date", "title_number", "identifier", "document_number")
+#: Fields that facets may be asked for.
+FACET_FIELDS = ("source", "title_number", "document_type", "agency", "status", "granularity", "publication_date")
 
 
 def filtered(df: DataFrame, source: str | None = None, title_number: int | None = None, document_type: str | None = None, agency: str | None = None, status: str | None = None, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
@@ -67,52 +36,58 @@ def filtered(df: DataFrame, source: str | None = None, title_number: int | None
     return df
 
 
-def sorted_by(hits: DataFrame, query: str, doc: str, sort: str | None) -> DataFrame:
-    """``hits`` of ``ranked`` with ``rank`` by a field ('-' in front: descending) instead of relevance; other fields leave it as it is."""
+def sort_order(sort: str | None) -> Column | None:
+    """The order of a sort field ('-' in front: descending), nulls last; None for relevance and for fields that may not be sorted by."""
     field = (sort or "").removeprefix("-")
     if field not in SORT_FIELDS:
-        return hits
-    order = F.col(field).desc_nulls_last() if (sort or "").startswith("-") else F.col(field).asc_nulls_last()
-    return hits.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy(order, doc)).cast("long"))
+        return None
+    return F.col(field).desc_nulls_last() if (sort or "").startswith("-") else F.col(field).asc_nulls_last()
+
+
+def ranked(df: DataFrame, doc: str, attributes: Sequence[str], queries: DataFrame, query: str, text: str, top: int | None, sort: str | None = None) -> DataFrame:
+    """The ``top`` documents of each query (None: all) with rank and criteria, by an index of ``df``; see ``index.search``.
+
+    A sort field of ``df`` ranks after the attribute and before exact words, ahead of any cut.
+    """
+    order = sort_order(sort)
+    return index.search(index.built(df, doc, attributes), queries, query, text, top, None if order is None else df, order).hits
+
+
+def allowed_facets(asked: str | None) -> list[str]:
+    """The facets of a comma-separated list that may be asked for; by default source and status."""
+    if asked is None:
+        return ["source", "status"]
+    return [f for f in (part.strip() for part in asked.split(",")) if f in FACET_FIELDS]
+
+
+def facets(hits: DataFrame, fields: Sequence[str], query: str | None = None) -> DataFrame:
+    """(query, facet, value, n) over all hits, in one pass by grouping sets; without ``query`` over all together."""
+    key = [query] if query else []
+    if not fields:
+        return hits.limit(0).select(*key, F.lit("").alias("facet"), F.lit("").alias("value"), F.lit(0).cast("long").alias("n"))
+    # A field of its own for each set, so that a null value is told from a field that is not of the set.
+    cols = [F.struct(F.col(f).cast("string").alias("value")).alias(f"_{f}") for f in fields]
+    each = hits.select(*key, *cols).groupingSets([[*key, f"_{f}"] for f in fields], *key, *[f"_{f}" for f in fields]).agg(F.count("*").alias("n"))
+    named = [F.when(F.col(f"_{f}").isNotNull(), F.struct(F.lit(f).alias("facet"), F.col(f"_{f}.value").alias("value"))) for f in fields]
+    return each.select(*key, F.coalesce(*named).alias("p"), "n").select(*key, "p.facet", "p.value", "n")
 
 
-def ranked(df: DataFrame, doc: str, attributes: Sequence[str], queries: DataFrame, query: str, text: str, top: int) -> DataFrame:
-    """The ``top`` documents of each query with rank and criteria.
+def snippets(found: Hits, df: DataFrame, doc: str, text: str, query: str, attribute: int, words: int) -> DataFrame:
+    """(query, doc, snippet): ``words`` words of each hit around the first that matched in ``text``, matched ones between <mark> and </mark>.
 
-    Criteria in order: more words matched, fewer typos, shorter distance of words that follow each other in
-    the query, heavier attribute, more exact words, smaller id.  The words matched decide first, so the other criteria are
-    found only for the documents that have as many as the last of the ``top``.
+    A word is marked if the query matches it, typos included.  A hit that matches in other attributes only begins with the text.  ``attribute`` is
+    the place of ``text`` among the attributes of the index.
     """
-    index = tokens(df, doc, attributes)
-    words = written(query_words(queries, query, text), "words")
-    # Once counted, a small side keeps the index from being shuffled.
-    found = small_or_shuffled(written(matches(index.select("token").distinct(), words), "matches"))
-    words = small_or_shuffled(words)
-    # The best occurrence of each word in each document: fewest typos, then first attribute and place.  It does
-    # not depend on the query, so it is found before words fan out to all queries that have them.
-    once = written(index.join(found, "token").groupBy(doc, "word").agg(F.min(F.struct("typos", "attribute", "pos")).alias("b")), "best")
-    matched = once.select(doc, "word").join(words.select(query, "word"), "word").groupBy(query, doc).agg(F.count("*").alias("n"))
-    first = matched.withColumn("r", F.rank().over(Window.partitionBy(query).orderBy(F.desc("n")))).where(F.col("r") <= top).select(query, doc)
-    first = small_or_shuffled(written(first, "first"))
-    best = once.join(words, "word").join(first, [query, doc], "left_semi")
-    follow = Window.partitionBy(query, doc).orderBy("nth", "word")
-    gap = F.least(F.abs(F.col("b.pos") - F.lag("b.pos").over(follow)), F.lit(FARTHEST))
-    scored = best.withColumn("gap", F.coalesce(gap, F.lit(0))).groupBy(query, doc).agg(
-        F.count("*").alias("words"),
-        F.sum("b.typos").cast("long").alias("typos"),
-        F.sum("gap").cast("long").alias("proximity"),
-        F.min("b.attribute").cast("long").alias("attribute"),
-        F.count_if(F.col("b.typos") == 0).alias("exact"),
-    )
-    order = [F.desc("words"), "typos", "proximity", "attribute", F.desc("exact"), doc]
-    rank = F.row_number().over(Window.partitionBy(query).orderBy(*order))
-    return scored.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top)
-
-
-def facets(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(facet, value, n) over all hits, in one pass."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).cast("string").alias("value")) for f in fields])
-    return hits.select(F.explode(pairs).alias("p")).groupBy("p.facet", "p.value").agg(F.count("*").alias("n"))
+    first = F.min(F.when(F.col("attribute") == attribute, F.col("pos"))).alias("first")
+    places = found.occurrences.groupBy(query, F.col("doc").alias(doc)).agg(first)
+    marked = found.tokens.groupBy(query).agg(F.collect_set("token").alias("tokens"))
+    rows = found.hits.select(query, doc).join(places, [query, doc]).join(marked, query).join(df.select(doc, F.col(text).alias("_text")), doc)
+    # A piece is a word and what stands between it and the next one; a text that begins with something else has that as its first piece.
+    pieces = F.split("_text", r"(?<=[^\p{L}\p{N}])(?=[\p{L}\p{N}])")
+    start = F.greatest(F.coalesce("first", F.lit(0)) - words // 2, F.lit(0)) + 1
+    word = lambda p: F.regexp_extract(p, r"^[\p{L}\p{N}]+", 0)
+    mark = lambda p: F.when(F.array_contains("tokens", F.lower(word(p))), F.regexp_replace(p, r"^([\p{L}\p{N}]+)", "<mark>$1</mark>")).otherwise(p)
+    return rows.select(query, doc, F.array_join(F.transform(F.slice(pieces, start, words), mark), "").alias("snippet"))
 
 
 def highlighted(text: Column, words: Sequence[str]) -> Column:

@@ -215,15 +215,16 @@ def chapter_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.chapter_texts(_statutes(spark, sf_dir)).select("chapter_identifier", "markdown")
 
 
-@CATALOG.add(_HITS.replace("FROM documents", "FROM (SELECT * FROM documents WHERE lang = 'en' AND doc_id % 31 >= 10 AND doc_id % 31 <= 20)") + """
-SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY doc_id % 31 DESC, doc_id) AS rank FROM r WHERE rank <= 10""")
+_FILTERED = _HITS.replace("FROM documents", "FROM (SELECT * FROM documents WHERE lang = 'en' AND doc_id % 31 >= 10 AND doc_id % 31 <= 20)")
+
+
+@CATALOG.add(_FILTERED.replace("attribute, exact DESC", "attribute, doc_id % 31 DESC, exact DESC") + " SELECT item_id, doc_id, rank FROM r WHERE rank <= 10")
 def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.expr("concat('2026-01-', lpad(doc_id % 31 + 1, 2, '0'))")
     docs = table(spark, sf_dir, "documents").withColumn("publication_date", day).withColumn("status", F.col("lang"))
     picked = search.filtered(docs, status='e"n\\', date_from="2026-01-11", date_to="2026-01-21")
-    hits = search.ranked(picked, "doc_id", ["source", "text"], table(spark, sf_dir, "benchmark"), "item_id", "text", 10)
-    dated = hits.join(docs.select("doc_id", "publication_date"), "doc_id")
-    return search.sorted_by(dated, "item_id", "doc_id", "-publication_date").select("item_id", "doc_id", "rank")
+    hits = search.ranked(picked, "doc_id", ["source", "text"], table(spark, sf_dir, "benchmark"), "item_id", "text", 10, "-publication_date")
+    return hits.select("item_id", "doc_id", "rank")
 
 
 @CATALOG.add("""
