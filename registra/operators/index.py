@@ -33,10 +33,16 @@ PLAIN = "^[a-z0-9]+$"
 KEY_LETTERS = 6
 #: Documents of a block, and folders of postings by token.
 BLOCK_DOCS, BUCKETS = 256, 16
+#: Bits of a place within its attribute.
+POS_BITS = 40
 #: Documents of the rarest words that are looked at for a first bound, and how much more than needed is read of postings to rule out more.
 SEED_DOCS, MORE = 2_000, 2.0
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).cast("int")
+
+
 def allowed(word: Column) -> Column:
     """How many typos a word may have."""
     return F.when(word.rlike(PLAIN) & (F.length(word) >= TWO_TYPOS), 2).when(word.rlike(PLAIN) & (F.length(word) >= ONE_TYPO), 1).otherwise(0)
@@ -91,13 +97,13 @@ def _segment(fresh: DataFrame, base: str, segment: int, doc: str, attributes: Se
     """Write the postings of ``fresh``, the terms and the keys of tokens that are not in ``known``."""
     blocks = max(1, -(-fresh.count() // BLOCK_DOCS))
     block = F.pmod(F.xxhash64(doc), F.lit(blocks)).cast("int").alias("block")
-    # One shuffle serves both groupings; a frequent token is spread over its blocks.
-    placed = tokens(fresh, doc, attributes, block).repartition("token", "block")
-    first = placed.groupBy("token", "block", doc).agg(F.min(F.struct("attribute", "pos")).alias("at"))
-    entry = F.struct(F.col(doc).alias("doc"), F.col("at.attribute").alias("attribute"), F.col("at.pos").alias("pos"))
-    lists = first.groupBy("token", "block").agg(F.collect_list(entry).alias("docs")).withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).cast("int"))
+    # One shuffle serves both groupings and the folders; a frequent token is spread over its blocks.
+    placed = tokens(fresh, doc, attributes, block).withColumn("bucket", _bucket()).repartition("bucket", "block")
+    at = F.min(F.shiftleft(F.col("attribute").cast("long"), POS_BITS) + F.col("pos"))  # a number, which sorts as its parts do
+    first = placed.groupBy("bucket", "block", "token", doc).agg(at.alias("at"))
+    lists = first.groupBy("bucket", "block", "token").agg(F.collect_list(F.struct(F.col(doc).alias("doc"), "at")).alias("docs"))
     path = f"{base}/postings/segment={segment}"
-    lists.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token", "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    lists.sortWithinPartitions("bucket", "token", "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
     spark = fresh.sparkSession
     terms = spark.read.parquet(path).groupBy("token").agg(F.sum(F.size("docs")).alias("docs"))
     terms.write.mode("overwrite").parquet(f"{base}/terms/segment={segment}")
@@ -187,9 +193,9 @@ def merge(spark: SparkSession, base: str) -> None:
     n = max(1, -(-live.count() // BLOCK_DOCS))
     each = spark.read.parquet(f"{base}/postings").where(F.col("segment").isin(*segments)).select("segment", "bucket", "token", F.explode("docs").alias("d"))
     kept = each.join(live.select(F.col("doc").alias("_doc"), "segment"), (F.col("d.doc") == F.col("_doc")) & (each["segment"] == live["segment"]), "left_semi")
-    lists = kept.groupBy("bucket", "token", F.pmod(F.xxhash64("d.doc"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list("d").alias("docs"))
+    lists = kept.groupBy("bucket", F.pmod(F.xxhash64("d.doc"), F.lit(n)).cast("int").alias("block"), "token").agg(F.collect_list("d").alias("docs"))
     path = f"{base}/postings/segment={segment}"
-    lists.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token", "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    lists.sortWithinPartitions("bucket", "token", "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
     spark.read.parquet(path).groupBy("token").agg(F.sum(F.size("docs")).alias("docs")).write.mode("overwrite").parquet(f"{base}/terms/segment={segment}")
     _write_keys(spark.read.parquet(f"{base}/terms/segment={segment}"), base, segment, None)
     live.select("doc", "digest", F.lit(False).alias("gone")).write.mode("overwrite").parquet(f"{base}/docs/segment={segment}")
@@ -221,15 +227,20 @@ def built(df: DataFrame, doc: str, attributes: Sequence[str]) -> Index:
 # Searching
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, marked for broadcast if it is small; rows are of ids, words and numbers, some 50 bytes."""
+    return small_or_shuffled(written(df, name))
+
+
 def matches(index: Index, words: DataFrame) -> DataFrame:
     """(word, token, typos, docs) of the tokens that a word matches.
 
     A token matches if it is the word, or begins alike and is within the typos that the word's length allows.
     """
-    own = words.select("word").distinct().withColumn("allowed", allowed(F.col("word")))
-    same = index.terms.join(small_or_shuffled(written(own, "own")).withColumnRenamed("word", "token"), "token").select(F.col("token").alias("word"), "token", F.lit(0).alias("typos"), "docs")
-    asked = written(own.where("allowed > 0").select("word", "allowed", F.explode(keys("word", F.col("allowed"))).alias("key")), "asked")
-    met = index.keys.join(small_or_shuffled(asked), "key").where("word <> token").select("word", "token", "allowed").distinct()
+    own = _kept(words.select("word").distinct().withColumn("allowed", allowed(F.col("word"))), "own")
+    same = index.terms.join(own.withColumnRenamed("word", "token"), "token").select(F.col("token").alias("word"), "token", F.lit(0).alias("typos"), "docs")
+    asked = _kept(own.where("allowed > 0").select("word", "allowed", F.explode(keys("word", F.col("allowed"))).alias("key")), "asked")
+    met = index.keys.join(asked, "key").where("word <> token").select("word", "token", "allowed").distinct()
     near = met.withColumn("typos", F.levenshtein("word", "token")).where("typos <= allowed")
     return same.unionByName(near.select("word", "token", "typos").join(index.terms, "token").select("word", "token", "typos", "docs"))
 
@@ -245,36 +256,29 @@ def _with_segment(index: Index) -> DataFrame:
     return index.postings if "segment" in index.postings.columns else index.postings.withColumn("segment", F.lit(0))
 
 
-def _of_buckets(index: Index, asked: DataFrame) -> DataFrame:
-    """The postings in the folders of the tokens that are asked for."""
-    buckets = [r[0] for r in asked.select(F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).cast("int")).distinct().collect()]  # BUCKETS at most
-    return _with_segment(index).where(F.col("bucket").isin(*buckets))
-
-
 def _listed(index: Index, asked: DataFrame, query: str, among: DataFrame | None) -> DataFrame:
-    """(query, nth, doc, segment, block, typos, attribute, pos) of all postings of the tokens in ``asked`` (query, nth, token, typos)."""
-    rows = _of_buckets(index, asked).join(small_or_shuffled(asked), "token").select(query, "nth", "typos", "segment", "block", F.explode("docs").alias("d"))
-    return _live(index, rows.select(query, "nth", "typos", "segment", "block", "d.doc", "d.attribute", "d.pos"), among)
+    """(query, nth, doc, segment, block, typos, at) of all postings of the tokens in ``asked`` (query, nth, token, typos)."""
+    rows = _with_segment(index).join(asked, "token").select(query, "nth", "typos", "segment", "block", F.explode("docs").alias("d"))
+    return _live(index, rows.select(query, "nth", "typos", "segment", "block", "d.doc", "d.at"), among)
 
 
 def _requests(places: DataFrame, asked: DataFrame, query: str) -> DataFrame:
     """(token, segment, block, query, nth, typos, wanted): blocks to read for the documents in ``places`` (query, segment, block, doc)."""
     blocks = places.groupBy(query, "segment", "block").agg(F.collect_set("doc").alias("wanted"))
-    return blocks.join(small_or_shuffled(asked), query)
+    return blocks.join(asked, query)
 
 
 def _probed(index: Index, requests: DataFrame, query: str) -> DataFrame:
-    """As ``_listed``, of the requested blocks and documents only; ``requests`` is a written table."""
-    at = ["token", "segment", "block"]
-    rows = _of_buckets(index, requests).join(small_or_shuffled(requests), at)
+    """As ``_listed``, of the requested blocks and documents only."""
+    rows = _with_segment(index).join(requests, ["token", "segment", "block"])
     hits = F.filter("docs", lambda d: F.array_contains("wanted", d["doc"]))
     rows = rows.select(query, "nth", "typos", "segment", "block", F.explode(hits).alias("d"))
-    return rows.select(query, "nth", "typos", "segment", "block", "d.doc", "d.attribute", "d.pos")
+    return rows.select(query, "nth", "typos", "segment", "block", "d.doc", "d.at")
 
 
 def _sizes(index: Index, requests: DataFrame, query: str) -> DataFrame:
     """(query, n): postings in the requested blocks."""
-    rows = _with_segment(index).select("token", "segment", "block", F.size("docs").alias("n")).join(small_or_shuffled(requests), ["token", "segment", "block"])
+    rows = _with_segment(index).select("token", "segment", "block", F.size("docs").alias("n")).join(requests, ["token", "segment", "block"])
     return rows.groupBy(query).agg(F.sum("n").alias("n"))
 
 
@@ -290,12 +294,18 @@ def _asked(index: Index, queries: DataFrame, query: str, text: str) -> DataFrame
     nth names the word within its query, upto is the number of documents of this word and all rarer ones.
     """
     words = written(query_words(queries, query, text), "words")
-    found = written(matches(index, words), "matches")
+    found = _kept(matches(index, words), "matches")
     of_word = found.groupBy("word").agg(F.sum("docs").alias("n"))
     rare = Window.partitionBy(query).orderBy("n", "word")
-    placed = words.join(small_or_shuffled(of_word), "word").select(query, "nth", "word", F.row_number().over(rare).alias("r"), F.sum("n").over(rare.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
+    placed = words.join(of_word, "word").select(query, "nth", "word", F.row_number().over(rare).alias("r"), F.sum("n").over(rare.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
     placed = placed.withColumn("words", F.count("*").over(Window.partitionBy(query)))
-    return written(placed.join(small_or_shuffled(found), "word"), "asked")
+    return written(placed.join(found, "word"), "asked")
+
+
+def _reduced(index: Index, asked: DataFrame) -> Index:
+    """The index with the folders of the tokens that are asked for only."""
+    buckets = [r[0] for r in asked.select(_bucket()).distinct().collect()]  # BUCKETS at most
+    return index if len(buckets) == BUCKETS else index._replace(postings=index.postings.where(F.col("bucket").isin(*buckets)))
 
 
 def _first(index: Index, asked: DataFrame, query: str, top: int, among: DataFrame | None) -> tuple[DataFrame, list[DataFrame]]:
@@ -307,28 +317,29 @@ def _first(index: Index, asked: DataFrame, query: str, top: int, among: DataFram
     by_n = Window.partitionBy(query).orderBy(F.desc("n"))
     n_words = F.count_distinct("nth").alias("n")
     # A first bound: of the documents of the rarest words, those that match most of these, and how many words they match in all.
-    seeds = asked.where((F.col("r") == 1) | (F.col("upto") <= SEED_DOCS))
-    some = _listed(index, seeds.select(*short), query, among).groupBy(*place).agg(n_words)
+    tokens_of = small_or_shuffled(asked).select(*short)
+    seeds = _kept(asked.where((F.col("r") == 1) | (F.col("upto") <= SEED_DOCS)).select(*short), "seeds")
+    some = _listed(index, seeds, query, among).groupBy(*place).agg(n_words)
     some = some.withColumn("k", F.row_number().over(by_n)).where(F.col("k") <= 2 * min(top, SEED_DOCS)).drop("k", "n")
-    requests = written(_requests(some, asked.select(*short), query), "requests")
+    requests = _kept(_requests(some, tokens_of, query), "requests")
     full = _probed(index, requests, query).groupBy(*place).agg(n_words)
     bound = full.withColumn("k", F.row_number().over(by_n)).where(F.col("k") == top).select(query, F.col("n").alias("bound"))
-    bound = written(bound, "bound")
+    bound = _kept(bound, "bound")
     # Of the rarest words - bound + 1 + more words, a document that is not ruled out matches 1 + more.
-    limits = asked.select(query, "nth", "r", "words", "upto").distinct().join(small_or_shuffled(bound), query, "left").withColumn("bound", F.coalesce("bound", F.lit(0)))
+    limits = asked.select(query, "nth", "r", "words", "upto").distinct().join(bound, query, "left").withColumn("bound", F.coalesce("bound", F.lit(0)))
     needed = F.least("words", F.greatest(F.col("words") - F.col("bound") + 1, F.lit(1)))
     limits = limits.withColumn("needed", needed)
     base = limits.groupBy(query, "words", "bound", "needed").agg(F.max(F.when(F.col("r") == F.col("needed"), F.col("upto"))).alias("least"))
     limits = limits.join(base.select(query, "least"), query)
     read = limits.groupBy(query, "words", "bound").agg(F.max(F.when((F.col("r") <= F.col("needed")) | (F.col("upto") <= F.col("least") * MORE), F.col("r"))).alias("read"))
-    read = written(read, "read")
-    parts = asked.join(small_or_shuffled(read.select(query, "read", "bound")), query)
-    rare = written(parts.where("r <= read").select(*short, "docs"), "rare")
-    often = written(parts.where("r > read").select(*short), "often")
+    read = _kept(read, "read")
+    parts = asked.join(read.select(query, "read"), query)
+    rare = _kept(parts.where("r <= read").select(*short, "docs"), "rare")
+    often = _kept(parts.where("r > read").select(*short), "often")
     counts = _listed(index, rare.drop("docs"), query, among).groupBy(*place).agg(n_words)
-    left = counts.join(small_or_shuffled(read), query).where(F.col("n") >= F.col("bound") - (F.col("words") - F.col("read"))).select(*place, "n")
+    left = counts.join(read, query).where(F.col("n") >= F.col("bound") - (F.col("words") - F.col("read"))).select(*place, "n")
     left = written(left, "left")
-    more = written(_requests(left, often, query), "requests")
+    more = _kept(_requests(left, often, query), "requests")
     rest = _probed(index, more, query).groupBy(*place).agg(n_words).withColumnRenamed("n", "m")
     all_ = left.join(rest, place, "left").select(*place, (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"))
     first = written(all_.withColumn("k", F.rank().over(by_n)).where(F.col("k") <= top).drop("k"), "first")
@@ -352,9 +363,10 @@ def occurrences(index: Index, asked: DataFrame, first: DataFrame, query: str) ->
 
     Fewest typos first, then the first attribute and place.
     """
-    requests = written(_requests(first, asked.select("nth", "token", "typos", query), query), "requests")
-    best = F.min(F.struct("typos", "attribute", "pos")).alias("b")
-    return _probed(index, requests, query).groupBy(query, "doc", "nth").agg(best).select(query, "doc", "nth", "b.*")
+    requests = _kept(_requests(first, small_or_shuffled(asked).select("nth", "token", "typos", query), query), "requests")
+    found = _probed(index, requests, query).groupBy(query, "doc", "nth").agg(F.min(F.struct("typos", "at")).alias("b"))
+    pos = F.col("b.at").bitwiseAND(F.lit((1 << POS_BITS) - 1))
+    return found.select(query, "doc", "nth", "b.typos", F.shiftright("b.at", POS_BITS).alias("attribute"), pos.alias("pos"))
 
 
 def search(index: Index, queries: DataFrame, query: str, text: str, top: int | None, among: DataFrame | None = None, sort: Column | None = None) -> Hits:
@@ -364,6 +376,7 @@ def search(index: Index, queries: DataFrame, query: str, text: str, top: int | N
     attribute, ``sort``, more exact words, smaller id.  ``among`` has the documents that may be found and the columns that ``sort`` is over.
     """
     asked = _asked(index, queries, query, text)
+    index = _reduced(index, asked)
     allowed_docs = None if among is None else written(among.select(F.col(index.doc).alias("doc")).distinct(), "among")
     if top is None:
         first, reads = written(_every(index, asked, query, allowed_docs), "first"), [asked.groupBy(query).agg(F.sum("docs").alias("n"))]
