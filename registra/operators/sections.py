@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from registra.functions import dates, identifiers
 from registra.functions.text import quoted_block
 from registra.operators import markdown, relations
-from registra.shared import written
+from registra.shared import small_or_shuffled, written
 from registra.sources import xml as markup
 
 #: From the largest level down; those after the section are numbered inside its text.
@@ -25,6 +25,10 @@ BIG = ("title", "appendix", "subtitle", "chapter", "subchapter", "division", "pa
 SMALL = ("subsection", "paragraph", "subparagraph", "clause", "subclause", "item", "subitem")
 
 
+#: The mark of what stands for a footnote, whatever element says so.
+NOTE_MARK = "footnoteRef"
+
+
 @dataclass(frozen=True)
 class Dialect:
     """Which elements play which part."""
@@ -41,9 +45,15 @@ class Dialect:
     credits: Sequence[str] = ("sourceCredit",)
     quoted: Sequence[str] = ("quotedContent",)
     skipped: Sequence[str] = ("toc", "meta")
-    marks: dict[str, str] = field(default_factory=lambda: {"b": "bold", "term": "bold", "i": "italic", "sup": "sup", "sub": "sub"})
+    marks: dict[str, str] = field(default_factory=lambda: {"b": "bold", "term": "bold", "i": "italic", "sup": "sup", "sub": "sub", NOTE_MARK: "footnoteRef"})
+    refs: dict[str, str] = field(default_factory=lambda: {"ref": "href"})  # element to the attribute that says where it leads
+    note_ref: tuple[str, str] | None = None  # attribute and value by which a reference is the mark of a footnote
+    sup: str | None = None  # element that is the mark of a footnote inside notes, and where ``sup_mark`` follows it
+    sup_mark: str | None = None
+    labels: dict[str, tuple[str, str]] = field(default_factory=dict)  # element to the attributes with title and part of its bold label
+    credit_label: str = ""
     codes: dict[str, str] = field(default_factory=dict)  # attribute T of an inline element to how it is shown, before marks
-    fields: Sequence[str] = ()  # elements whose texts are asked for as columns, skipped or not
+    fields: Sequence[str] = ()  # elements whose texts are asked for as columns, skipped or not, unless they are inside ``labels``
     title_attr: str | None = None  # attribute whose beginning, up to a colon, is a title's number
     tables: Sequence[str] = ("xhtml:table", "table", "layout")
     rows: Sequence[str] = ("xhtml:tr", "tr", "row", "header", "tocItem")
@@ -56,7 +66,7 @@ class Dialect:
 ECFR_CODES = {"01": "bold", "02": "italic", "03": "bold", "04": "italic", "05": "italic", "51": "sub", "52": "sub", "54": "sub", "7462": "italic"}
 FR_CODES = {"01": "bold", "02": "italic", "03": "italic", "04": "italic", "05": "italic", "51": "sub", "52": "sub", "54": "sub", "7462": "italic"}
 #: Element names of the three sources.
-USLM = Dialect("usc", {n: n for n in (*BIG, *SMALL)} | {"compiledAct": "chapter", "reorganizationPlan": "chapter"})
+USLM = Dialect("usc", {n: n for n in (*BIG, *SMALL)} | {"compiledAct": "chapter", "reorganizationPlan": "chapter"}, note_ref=("class", "footnoteRef"), credit_label="---\n\n**Source Credit**: ")
 ECFR = Dialect(
     "ecfr",
     {"TITLE": "title", "SUBTITLE": "subtitle", "CHAPTER": "chapter", "SUBCHAP": "subchapter", "PART": "part", "SUBPART": "subpart", "SUBJGRP": "subpart", "SECTION": "section", "APPENDIX": "appendix"},
@@ -65,12 +75,13 @@ ECFR = Dialect(
     numbers=(),
     headings=("HEAD",),
     title_attr="NODE",
-    blocks=("P", "FP", "PSPACE", "FP-1", "FP-2", "FP-DASH", "FP1-2", "FRP"),
-    notes={"AUTH": "authority", "SOURCE": "source", "EDNOTE": "editorial", "NOTE": "general", "EFFDNOT": "effectiveDate", "CROSSREF": "crossReference"},
+    blocks=("P", "FP", "PSPACE", "FP-1", "FP-2", "FP-DASH", "FP1-2", "FRP", "HD1", "HD2", "HD3"),
+    notes={"AUTH": "authority", "SOURCE": "source", "EDNOTE": "editorial", "NOTE": "general", "EFFDNOT": "effectiveDate", "CROSSREF": "crossReference", "APPRO": "approval", "SECAUTH": "sectionAuthority", "FTNT": "footnote"},
     credits=("CITA",),
     quoted=("EXTRACT",),
-    skipped=("HED", "XREF", "CFRTOC", "HEADER"),
-    marks={"I": "italic", "E": "italic", "B": "bold", "SU": "sup"},
+    skipped=("HED", "CFRTOC", "HEADER", "PTHD", "CHAPTI", "SECHD", "SUBJECT", "RESERVED", "PG", "STARS", "AMDDATE", "VOLUME"),
+    marks={"I": "italic", "E": "italic", "B": "bold", "SU": "sup", "FTREF": "footnoteRef", "HD1": "bold", "HD2": "bold", "HD3": "bold"},
+    refs={"XREF": "ID"},
     codes=ECFR_CODES,
     tables=("TABLE",),
     rows=("TR",),
@@ -84,12 +95,16 @@ FR = Dialect(
     identifier_attr=None,
     numbers=(),
     headings=("SUBJECT", "HD"),
-    blocks=("P", "FP", "FP-1", "FP-2", "FRP", "AMDPAR", "SECTNO", "NAME", "DATED", "ACT", "AGY", "SUM", "DATES", "ADD", "FURINF"),
+    blocks=("P", "FP", "FP-1", "FP-2", "FRP", "AMDPAR", "SECTNO", "NAME", "DATED", "ACT", "AGY", "SUM", "DATES", "ADD", "FURINF", "SUBAGY"),
     notes={"AUTH": "authority", "FTNT": "footnote", "SIG": "signature"},
     credits=(),
     quoted=("EXTRACT",),
     skipped=("PRTPAGE", "GPH", "BILCOD", "TTITLE", "FRDOC", "CNTNTS"),
-    marks={"I": "italic", "B": "bold", "E": "italic", "SU": "sup"},
+    marks={"I": "italic", "B": "bold", "E": "italic", "SU": "sup", NOTE_MARK: "footnoteRef"},
+    refs={},
+    sup="SU",
+    sup_mark="FTREF",
+    labels={"REGTEXT": ("TITLE", "PART")},
     codes=FR_CODES,
     fields=("AGENCY", "SUBAGY", "SUBJECT", "CFR", "RIN", "FRDOC"),
     tables=("GPOTABLE",),
@@ -107,6 +122,8 @@ _COLUMNS = {
     # Of texts: the last level that was opened, and what they lie in.
     "last_level": pa.int64(), "note": pa.int64(), "topic": pa.string(), "role": pa.string(), "in_num": pa.bool_(), "num_value": pa.string(), "head": pa.int64(), "credit": pa.bool_(),
     "table": pa.int64(), "row": pa.int64(), "row_name": pa.string(), "cell": pa.int64(), "cell_name": pa.string(), "mark": pa.string(), "code": pa.string(), "field": pa.string(), "field_seq": pa.int64(),
+    # Of texts at the ends of a reference, which are empty until it is known where it leads.
+    "href": pa.string(), "edge": pa.string(),
 }
 _ARROW = pa.schema(list(_COLUMNS.items()))
 _SQL = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<long>"}
@@ -129,64 +146,150 @@ class _Inside:
     cell: tuple = (None, None)
     mark: tuple = (None, None)
     field: tuple = (None, None)
+    flat: bool = False  # in a quote inside a sentence: plain text
+    label: bool = False
 
 
 def _rows_of(text: str, d: Dialect) -> Iterator[tuple]:
     """Rows of one document, without its key; a malformed one ends where its error is."""
-    named = {kind: set(names) for kind, names in (("skipped", d.skipped), ("quoted", d.quoted), ("note", d.notes), ("num", d.numbers), ("head", d.headings), ("credit", d.credits), ("table", d.tables), ("row", d.rows), ("cell", d.cells), ("mark", d.marks), ("field", d.fields))}
-    borders = set().union(d.numbers, d.headings, d.blocks, d.notes, d.credits, d.quoted)
-    stack: list[tuple[_Inside, bool]] = [(_Inside(), False)]
-    block, last = 0, None
-    for seq, (kind, name, attrs, data) in enumerate(markup.parse(text)):
-        now = stack[-1][0]
+    reader = Reader(d)
+    for seq, event in enumerate(markup.parse(text)):
+        yield from reader.rows(seq, *event)
+    yield from reader.rest()
+
+
+class Reader:
+    """Turns events into rows; what it needs to know of those before is the stack of open elements and the block."""
+
+    def __init__(self, d: Dialect):
+        self.d = d
+        kinds = (("skipped", d.skipped), ("quoted", d.quoted), ("note", d.notes), ("num", d.numbers), ("head", d.headings), ("credit", d.credits), ("table", d.tables), ("row", d.rows), ("cell", d.cells), ("mark", d.marks), ("field", d.fields))
+        self.named = {kind: set(names) for kind, names in kinds}
+        self.borders = set().union(d.numbers, d.headings, d.blocks, d.notes, d.credits, d.quoted, d.labels)
+        # A quote inside one of these is part of a sentence.
+        self.sentences = set().union(d.blocks, d.credits, d.marks, d.refs)
+        # What an element lies in, whether it begins a block, its name, and the row that its end makes.
+        self.stack: list[tuple[_Inside, bool, str | None, tuple | None]] = [(_Inside(), False, None, None)]
+        self.block, self.last = 0, None
+        # Rows since a superscript that a mark may follow, and which of them are its own.
+        self.held: list[list] = []
+        self.own: list[int] = []
+
+    def _text(self, seq: int, now: _Inside, data: str, mark: tuple = (None, None), href: str | None = None, edge: str | None = None) -> list:
+        return [seq, "text", data, now.gone, self.block, now.quoted, None, None, None, None, None, list(now.above), self.last, *now.note, *now.num, now.head, now.credit, now.table, *now.row, *now.cell, *mark, *now.field, href, edge]
+
+    def rest(self) -> list[list]:
+        out, self.held, self.own = self.held, [], []
+        return out
+
+    def _marked(self) -> None:
+        """The superscript that was held is the mark of a footnote."""
+        for i in self.own:
+            row = self.held[i]
+            row[-6], row[-5] = NOTE_MARK, None
+
+    def rows(self, seq: int, kind: str, name: str | None, attrs: dict[str, str], data: str | None) -> Iterator[list]:
         if kind == "text":
-            if not now.gone or now.field[0] is not None:
-                yield (seq, "text", data, now.gone, block, now.quoted, None, None, None, None, None, list(now.above), last, *now.note, *now.num, now.head, now.credit, now.table, *now.row, *now.cell, *now.mark, *now.field)
+            now = self.stack[-1][0]
+            if now.gone and now.field[0] is None:
+                return
+            row = self._text(seq, now, data, (None, None) if now.flat else now.mark)
+            if self.d.sup_mark and now.mark[0] == self.d.sup:
+                if not self.own or self.stack[-1][2] != self.d.sup:
+                    yield from self.rest()
+                self.own.append(len(self.held))
+                self.held.append(row)
+            elif self.held:
+                self.held.append(row)
+            else:
+                yield row
         elif kind == "open":
-            new: dict = {}
-            if name in named["skipped"]:
-                new["gone"] = True
-            if name in named["quoted"]:
-                new["quoted"] = True
-            free = not (now.gone or now.quoted or new)
-            level = d.levels.get(attrs.get(d.level_attr) if d.level_attr else name) if free else None
-            if level is not None:
-                last = seq
-                if level in BIG:
-                    i = BIG.index(level)
-                    new["above"] = (*now.above[:i], seq, *now.above[i + 1 :])
-            if name in named["note"]:
-                new["note"] = (seq, attrs.get("topic"), attrs.get("role"))
-            if name in named["num"]:
-                new["num"] = (True, attrs.get("value"))
-            if name in named["head"]:
-                new["head"] = seq
-            if name in named["credit"]:
-                new["credit"] = True
-            if name in named["row"]:
-                new["row"] = (seq, name)
-            if name in named["cell"]:
-                new["cell"] = (seq, name)
-            if name in named["mark"]:
-                new["mark"] = (name, attrs.get("T"))
-            if name in named["field"]:
-                new["field"] = (name, seq)
-            table = name in named["table"]
-            if table:
-                new["table"] = seq
-            border = table or ((level is not None or name in borders) and now.table is None)
-            border = border and not (now.gone or new.get("gone"))
-            block += border
-            inside = _Inside(**{**now.__dict__, **new}) if new else now
-            stack.append((inside, border))
-            if level is not None:
-                number = attrs.get(d.number_attr) if d.number_attr else None
-                if level == "title" and d.title_attr:  # there N is the number of a volume
-                    number = attrs.get(d.title_attr, "").partition(":")[0] or number
-                identifier = attrs.get(d.identifier_attr) if d.identifier_attr else None
-                yield (seq, "open", None, False, block, False, level, name, identifier, number, attrs.get("status"), list(inside.above), last, *(None,) * 3, False, None, None, False, *(None,) * 9)
+            yield from self._opened(seq, name, attrs)
         elif kind == "close":
-            block += stack.pop()[1]
+            now, border, _, ending = self.stack.pop()
+            if border:
+                yield from self.rest()
+            self.block += border
+            if ending is not None:
+                row = self._text(seq, self.stack[-1][0], *ending)
+                if self.held:
+                    self.held.append(row)
+                else:
+                    yield row
+
+    def _opened(self, seq: int, name: str, attrs: dict[str, str]) -> Iterator[list]:
+        d, named = self.d, self.named
+        now, _, parent, _ = self.stack[-1]
+        ending = None
+        if name == d.sup_mark:
+            self._marked()
+            yield from self.rest()
+        if now.flat or (name in named["quoted"] and parent in self.sentences and not now.gone):
+            if not now.flat:
+                yield from self.rest()
+                yield self._text(seq, now, '"')
+                ending = ('"',)
+                now = _Inside(**{**now.__dict__, "flat": True})
+            self.stack.append((now, False, name, ending))
+            return
+        new: dict = {}
+        if name in named["skipped"]:
+            new["gone"] = True
+        if name in named["quoted"]:
+            new["quoted"] = True
+        free = not (now.gone or now.quoted or new)
+        level = d.levels.get(attrs.get(d.level_attr) if d.level_attr else name) if free else None
+        if level is not None:
+            self.last = seq
+            if level in BIG:
+                i = BIG.index(level)
+                new["above"] = (*now.above[:i], seq, *now.above[i + 1 :])
+        if name in named["note"]:
+            new["note"] = (seq, attrs.get("topic"), attrs.get("role"))
+        if name in named["num"]:
+            new["num"] = (True, attrs.get("value"))
+        if name in named["head"]:
+            new["head"] = seq
+        if name in named["credit"]:
+            new["credit"] = True
+        if name in named["row"]:
+            new["row"] = (seq, name)
+        if name in named["cell"]:
+            new["cell"] = (seq, name)
+        if name in named["mark"]:
+            new["mark"] = (NOTE_MARK, None) if name == d.sup and now.note[0] is not None else (name, attrs.get("T"))
+        if name in named["field"] and not now.label:
+            new["field"] = (name, seq)
+        table = name in named["table"]
+        if table:
+            new["table"] = seq
+        if name in d.labels:
+            new["label"] = True
+        border = table or ((level is not None or name in self.borders) and now.table is None)
+        border = border and not (now.gone or new.get("gone"))
+        if border:
+            yield from self.rest()
+        self.block += border
+        if name in d.refs and not now.gone:
+            if d.note_ref and attrs.get(d.note_ref[0]) == d.note_ref[1]:
+                new["mark"] = (NOTE_MARK, None)
+            elif attrs.get(d.refs[name]):
+                href = attrs[d.refs[name]]
+                yield self._text(seq, now, "", href=href, edge="open")
+                ending = ("", (None, None), href, "close")
+        if name in d.labels and not now.gone:
+            title, part = (attrs.get(a, "") for a in d.labels[name])
+            if title and part:
+                yield self._text(seq, _Inside(**{**now.__dict__, "head": seq}), f"{title} CFR Part {part}")
+                self.block += 1
+        inside = _Inside(**{**now.__dict__, **new}) if new else now
+        self.stack.append((inside, border, name, ending))
+        if level is not None:
+            number = attrs.get(d.number_attr) if d.number_attr else None
+            if level == "title" and d.title_attr:  # there N is the number of a volume
+                number = attrs.get(d.title_attr, "").partition(":")[0] or number
+            identifier = attrs.get(d.identifier_attr) if d.identifier_attr else None
+            yield [seq, "open", None, False, self.block, False, level, name, identifier, number, attrs.get("status"), list(inside.above), self.last, *(None,) * 3, False, None, None, False, *(None,) * 11]
 
 
 def scan(df: DataFrame, doc: str, xml: str, d: Dialect) -> DataFrame:
@@ -243,27 +346,49 @@ def level_heads(rows: DataFrame) -> DataFrame:
     )
 
 
-def documents(rows: DataFrame, d: Dialect, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
-    """One row for each emitted level: doc, ord, identifier, number, heading, status, ancestors, markdown, source_credit, token_estimate, suffix.
+def units(rows: DataFrame, d: Dialect, emit: str = "section") -> DataFrame:
+    """One row for each emitted level: doc, ord, identifier, number, heading, status, element, ancestors, parent, suffix.
 
-    ``rows`` are those of ``scan``.  ``notes``: whether editorial, statutory and amendment notes stay; None keeps all.  ``suffix`` tells apart
-    levels that share a number inside their parent.  Without ``credits`` they are in a column alone, not in the Markdown.
+    ``suffix`` tells apart levels that share a number inside their parent.
     """
     above = [t for t in BIG if t != emit and t in d.levels.values()]
     levels = rows.where("kind = 'open'").select("doc", "seq", "level", "name", "identifier", F.col("number").alias("_number"), "status", "above")
     levels = levels.join(level_heads(rows).withColumnRenamed("level_seq", "seq"), ["doc", "seq"], "left").withColumn("number", F.coalesce("_number", "number"))
-    units = levels.where(F.col("level") == emit)
+    own = levels.where(F.col("level") == emit)
     link = F.struct(F.col("level").alias("level_type"), "identifier", "number", "heading")
     named = levels.where(F.col("level").isin(above)).select("doc", F.col("seq").alias("at"), link.alias("a"))
     places = F.array_compact(F.array(*[F.when(_unit(t).isNotNull(), F.struct(F.lit(n).alias("nth"), _unit(t).alias("at"))) for n, t in enumerate(above)])).cast("array<struct<nth:int,at:bigint>>")
-    each = units.select("doc", "seq", F.explode(places).alias("p")).select("doc", "seq", "p.nth", "p.at")
+    each = own.select("doc", "seq", F.explode(places).alias("p")).select("doc", "seq", "p.nth", "p.at")
     ancestors = each.join(named, ["doc", "at"]).groupBy("doc", "seq").agg(_in_order(F.col("a"), "nth").alias("ancestors"))
-    units = units.select("doc", "seq", "identifier", "number", "heading", "status", F.col("name").alias("element"))
-    out = units.join(ancestors, ["doc", "seq"], "left").withColumnRenamed("seq", "ord").join(_bodies(rows, d, emit, notes, credits), ["doc", "ord"], "left")
+    own = own.select("doc", "seq", "identifier", "number", "heading", "status", F.col("name").alias("element"))
+    out = own.join(ancestors, ["doc", "seq"], "left").withColumnRenamed("seq", "ord")
     parent = F.concat_ws("/", F.transform(F.coalesce("ancestors", F.array()), lambda a: F.concat_ws("-", a["level_type"], a["number"])))
-    out = out.withColumn("parent", parent).withColumn("markdown", F.coalesce("markdown", F.lit("")))
-    out = relations.duplicate_suffixes(out, ["doc", "parent"], "number", [F.col("ord")])
-    out = out.withColumn("suffix", F.when(F.col("number").isNull(), "").otherwise(F.col("suffix")))
+    out = relations.duplicate_suffixes(out.withColumn("parent", parent), ["doc", "parent"], "number", [F.col("ord")])
+    return out.withColumn("suffix", F.when(F.col("number").isNull(), "").otherwise(F.col("suffix")))
+
+
+def linked(rows: DataFrame, files: DataFrame, registry: DataFrame, emit: str = "section") -> DataFrame:
+    """``rows`` of ``scan`` with references as links: to the file of what they name, else of its section, else to the publisher's page.
+
+    ``files`` has doc, ord and file_path of the units that the references lie in, ``registry`` identifier and file_path of all
+    there is.  A reference outside of units, or one that leads nowhere, stays plain text.  Only distinct targets are resolved.
+    """
+    refs = rows.where(F.col("href").isNotNull()).withColumn("ord", _unit(emit))
+    inside = refs.select("doc", "ord", "href").distinct().join(files.select("doc", "ord", "file_path"), ["doc", "ord"])
+    urls = written(relations.resolved_links(inside, "href", registry, "file_path").where(F.col("url").isNotNull()).select("doc", "ord", "href", "url"), "urls")
+    shown = F.when(F.col("url").isNull(), "").when(F.col("edge") == "open", "[").otherwise(F.concat(F.lit("]("), "url", F.lit(")")))
+    known = refs.drop("text").join(small_or_shuffled(urls), ["doc", "ord", "href"], "left").withColumn("text", shown)
+    return rows.where(F.col("href").isNull()).unionByName(known.select(*rows.columns))
+
+
+def documents(rows: DataFrame, d: Dialect, emit: str = "section", notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
+    """One row for each emitted level: doc, ord, identifier, number, heading, status, ancestors, markdown, source_credit, token_estimate, suffix.
+
+    ``rows`` are those of ``scan``.  ``notes``: whether editorial, statutory and amendment notes stay; None keeps all.  ``suffix`` tells apart
+    levels that share a number inside their parent.  Without ``credits`` they are in a column alone, not in the Markdown.
+    """
+    out = units(rows, d, emit).join(_bodies(rows, d, emit, notes, credits), ["doc", "ord"], "left")
+    out = out.withColumn("markdown", F.coalesce("markdown", F.lit("")))
     return out.withColumn("token_estimate", F.ceil(F.length("markdown") / 4).cast("long"))
 
 
@@ -291,8 +416,11 @@ def _bodies(rows: DataFrame, d: Dialect, emit: str, notes: tuple[bool, bool, boo
         kept = relations.notes_kept(each, ["doc", "ord"], [F.col("note")], *notes).select("doc", "ord", "note")
         blocks = blocks.where("note is null").unionByName(blocks.where("note is not null").join(kept, ["doc", "ord", "note"], "left_semi"))
     bold = F.concat(F.lit("**"), F.col("t"), F.lit("**"))
-    md = F.when(F.col("part").isin("num", "head"), bold).when(F.col("quoted"), quoted_block(F.col("t"))).otherwise(F.col("t"))
+    of_note = F.concat(F.when(F.col("role") == "crossHeading", "## ").otherwise("### "), "t")
+    head_of_note = (F.col("part") == "head") & F.col("note").isNotNull()
+    md = F.when(head_of_note, of_note).when(F.col("part").isin("num", "head"), bold).when(F.col("quoted"), quoted_block(F.col("t"))).otherwise(F.col("t"))
     lines = blocks.select("doc", "ord", "block", "part", md.alias("md"), F.col("note").isNotNull().alias("in_note"), F.when(F.col("part") == "credit", F.col("t")).alias("credit"))
+    lines = lines.withColumn("md", F.when(F.col("part") == "credit", F.concat(F.lit(d.credit_label), "md")).otherwise(F.col("md")))
     lines = lines.unionByName(_tables(inside, d))
     # Numbers and headings lead the text behind them; what begins a paragraph is told from the line before in an array.
     follow = "(l.part = 'head' AND before = 'num')" + (" OR (l.part = 'text' AND before IN ('num', 'head') AND NOT l.in_note)" if d.source == "usc" else "")

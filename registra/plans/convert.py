@@ -40,7 +40,7 @@ _CODE = """
 WITH p AS (SELECT *, regexp_extract(p_brand, '([0-9]+)$', 1) AS b FROM part)
 SELECT '/us/usc/t' || b || '/s' || p_partkey AS identifier, p_partkey::VARCHAR AS number, p_name AS heading, CASE WHEN p_partkey % 9 = 0 THEN 'repealed' END AS status,
   b || ' USC § ' || p_partkey || ' - ' || p_name AS display_title, 'title ' || b || ' ' || p_brand AS ancestors, CASE WHEN p_partkey % 4 = 0 THEN '(Pub. L. 1.)' END AS source_credit,
-  'Size **' || p_size || '** is | set.' || chr(10) || chr(10) || '**(a)** **Type** ' || p_type || CASE WHEN p_partkey % 4 = 0 THEN chr(10) || chr(10) || '(Pub. L. 1.)' ELSE '' END
+  'Size **' || p_size || '** is | set.' || chr(10) || chr(10) || '**(a)** **Type** ' || p_type || CASE WHEN p_partkey % 4 = 0 THEN chr(10) || chr(10) || '---' || chr(10) || chr(10) || '**Source Credit**: (Pub. L. 1.)' ELSE '' END
   || CASE WHEN p_partkey % 3 = 0 THEN {notes} ELSE '' END AS markdown FROM p"""
 _BREAK = "chr(10) || chr(10)"
 
@@ -50,12 +50,12 @@ def _shown(docs: DataFrame) -> DataFrame:
     return docs.withColumn("ancestors", F.array_join(levels, " > ")).select("identifier", "number", "heading", "status", "display_title", "ancestors", "source_credit", "markdown")
 
 
-@CATALOG.add(_CODE.format(notes=f"{_BREAK} || '**Editorial Notes**' || {_BREAK} || '**Codification**' || {_BREAK} || 'Moved.' || {_BREAK} || '**Amendments**' || {_BREAK} || 'Struck.'"))
+@CATALOG.add(_CODE.format(notes=f"{_BREAK} || '## Editorial Notes' || {_BREAK} || '### Codification' || {_BREAK} || 'Moved.' || {_BREAK} || '### Amendments' || {_BREAK} || 'Struck.'"))
 def uslm_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(sections.code_documents(_code_rows(spark, sf_dir)))
 
 
-@CATALOG.add(_CODE.format(notes=f"{_BREAK} || '**Editorial Notes**' || {_BREAK} || '**Amendments**' || {_BREAK} || 'Struck.'"))
+@CATALOG.add(_CODE.format(notes=f"{_BREAK} || '## Editorial Notes' || {_BREAK} || '### Amendments' || {_BREAK} || 'Struck.'"))
 def uslm_amendment_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(sections.code_documents(_code_rows(spark, sf_dir), notes=(False, False, True)))
 

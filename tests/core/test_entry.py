@@ -26,7 +26,7 @@ def test_entry_loads_without_optional_parts(tmp_path, gone):
     had_llm = "registra/llm" not in gone and os.path.isdir(os.path.join(ROOT, "registra", "llm"))
     code = "import __spark_entry__ as e; q = e.queries(); print(len(q), len(e.oracle_sql().keys() - q.keys()), 'pipeline' in q)"
     out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": str(copy)}, check=True).stdout.split()
-    assert int(out[0]) == len(QUERIES) + (10 if had_llm else 0) and out[1] == "0" and out[2] == "False"
+    assert int(out[0]) == len(QUERIES) + (13 if had_llm else 0) and out[1] == "0" and out[2] == "False"
 
 
 def test_a_reference_stays_one_row_whatever_the_registry(spark):
@@ -57,9 +57,14 @@ def test_search_filters_and_sorts(spark):
     df = spark.createDataFrame([(1, "fr", 5, "EPA", "2026-01-02"), (2, "fr", 5, "EPA", "2026-02-02"), (3, "usc", 5, "x", None)], "id int, source string, title_number int, agency string, publication_date string")
     ids = lambda **k: sorted(r.id for r in search.filtered(df, **k).collect())
     assert ids() == [1, 2, 3] and ids(source="fr", agency='E"P\\A\n') == [1, 2] and ids(title_number=5, date_from="2026-01-03") == [2] and ids(date_to="2026-01-31") == [1]
-    hits = df.withColumn("q", F.lit(1)).withColumn("rank", F.col("id").cast("long"))
-    order = lambda s: [r.id for r in search.sorted_by(hits, "q", "id", s).orderBy("rank").collect()]
-    assert order("-publication_date") == [2, 1, 3] and order("publication_date") == [1, 2, 3] and order("agency") == order(None) == [1, 2, 3]
+    for bad in (None, "agency", "-agency", "relevance"):
+        assert search.sort_order(bad) is None
+    # Ten documents match alike: the newest come first whatever their ids, and those without a date last.
+    docs = spark.createDataFrame([(i, "same words", f"2026-01-{10 + i}" if i else None) for i in range(10)], "id int, t string, publication_date string")
+    queries = spark.createDataFrame([(0, "same words")], "q int, text string")
+    order = lambda s, n=5: [r.id for r in search.ranked(docs, "id", ["t"], queries, "q", "text", n, s).orderBy("rank").collect()]
+    assert order("-publication_date") == [9, 8, 7, 6, 5] and order("publication_date") == [1, 2, 3, 4, 5] and order("agency") == order(None) == [0, 1, 2, 3, 4]
+    assert order("publication_date", 10)[-1] == 0
 
 
 def test_credits_can_be_left_out_and_meta_names_titles(spark):
@@ -68,7 +73,7 @@ def test_credits_can_be_left_out_and_meta_names_titles(spark):
     rows = sections.scan(df, "k", "x", sections.USLM)
     plain = sections.code_documents(rows, credits=False, meta=sections.document_meta(xml.events(df, "k", "x"))).first()
     assert (plain.markdown, plain.source_credit, plain.display_title, plain.legal_status, plain.title_number) == ("C", "(Credit.)", "5 USC § 1 - H", "official_legal_evidence", 5)
-    assert sections.code_documents(rows).first().markdown == "C\n\n(Credit.)"
+    assert sections.code_documents(rows).first().markdown == "C\n\n---\n\n**Source Credit**: (Credit.)"
 
 
 def test_numbers_padded(spark):
