@@ -195,8 +195,6 @@ class Reader:
                 return
             row = self._text(seq, now, data, (None, None) if now.flat else now.mark)
             if self.d.sup_mark and now.mark[0] == self.d.sup:
-                if not self.own or self.stack[-1][2] != self.d.sup:
-                    yield from self.rest()
                 self.own.append(len(self.held))
                 self.held.append(row)
             elif self.held:
@@ -223,6 +221,7 @@ class Reader:
         ending = None
         if name == d.sup_mark:
             self._marked()
+        if name in (d.sup, d.sup_mark):
             yield from self.rest()
         if now.flat or (name in named["quoted"] and parent in self.sentences and not now.gone):
             if not now.flat:
@@ -336,13 +335,13 @@ def _joined(column: str = "text") -> Column:
 
 
 def level_heads(rows: DataFrame) -> DataFrame:
-    """(doc, level_seq, number, heading): of every level, from the num and heading in front of its text."""
+    """(doc, level_seq, number, shown, heading): of every level, from the num, its value or else its text, and the heading in front of its text."""
     texts = rows.where("kind = 'text' and not gone and note is null and (in_num or head is not null) and last_level is not null")
     parts = texts.groupBy("doc", F.col("last_level").alias("level_seq"), "in_num", F.when(~F.col("in_num"), F.col("head")).alias("_h"))
     of_part = parts.agg(_joined().alias("t"), F.max("num_value").alias("value"), F.min("seq").alias("at"))
     plain = ~F.col("in_num")
     return of_part.groupBy("doc", "level_seq").agg(
-        F.min(F.when(F.col("in_num"), F.coalesce("value", "t"))).alias("number"), F.min_by(F.when(plain, F.col("t")), F.when(plain, F.col("at"))).alias("heading")
+        F.min(F.when(F.col("in_num"), F.coalesce("value", "t"))).alias("number"), F.min(F.when(F.col("in_num"), F.col("t"))).alias("shown"), F.min_by(F.when(plain, F.col("t")), F.when(plain, F.col("at"))).alias("heading")
     )
 
 
@@ -353,7 +352,7 @@ def units(rows: DataFrame, d: Dialect, emit: str = "section") -> DataFrame:
     """
     above = [t for t in BIG if t != emit and t in d.levels.values()]
     levels = rows.where("kind = 'open'").select("doc", "seq", "level", "name", "identifier", F.col("number").alias("_number"), "status", "above")
-    levels = levels.join(level_heads(rows).withColumnRenamed("level_seq", "seq"), ["doc", "seq"], "left").withColumn("number", F.coalesce("_number", "number"))
+    levels = levels.join(level_heads(rows).drop("shown").withColumnRenamed("level_seq", "seq"), ["doc", "seq"], "left").withColumn("number", F.coalesce("_number", "number"))
     own = levels.where(F.col("level") == emit)
     link = F.struct(F.col("level").alias("level_type"), "identifier", "number", "heading")
     named = levels.where(F.col("level").isin(above)).select("doc", F.col("seq").alias("at"), link.alias("a"))
@@ -512,3 +511,38 @@ def plain_tokens(rows: DataFrame, emit: str = "section") -> DataFrame:
     """Dry run: token estimates of the emitted levels from their texts, nothing rendered."""
     texts = rows.where((F.col("kind") == "text") & ~F.col("gone") & _unit(emit).isNotNull())
     return texts.groupBy("doc", _unit(emit).alias("ord")).agg(F.ceil(F.sum(F.length("text")) / 4).cast("long").alias("token_estimate"))
+
+
+def composites(rows: DataFrame, d: Dialect, emit: str = "chapter", notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
+    """One row for each level of a kind above sections, with all that lies in it as one text: ``units`` and markdown, n_sections, token_estimate.
+
+    The level itself is a heading of the first level.  Below it levels and sections follow each other in the order of the
+    document, each one heading deeper than the level that it lies in; levels end at headings of the fifth level and are bold
+    beyond it, sections end at the sixth.  Text that lies in a level and in no section stands where it does in the document.  A text is
+    one row of output, as a file is; nothing else is gathered in one place.
+    """
+    if emit not in BIG or emit == "section":
+        raise ValueError(f"{emit!r} is no level above sections")
+    section = BIG.index("section")
+    heads = level_heads(rows).withColumnRenamed("level_seq", "seq").select("doc", "seq", "shown", "heading")
+    inside = rows.where((F.col("kind") == "open") & F.col("level").isin(*BIG) & _unit(emit).isNotNull()).withColumn("unit", _unit(emit))
+    # Of the levels inside one that stand open at once, each is opened after those around it.
+    depth = F.size(F.filter("above", lambda at: at > F.col("unit"))) + 1
+    levels = inside.where((F.col("seq") >= F.col("unit")) & ((F.col("level") == "section") | _unit("section").isNull()))
+    levels = levels.select("doc", "unit", "seq", "level", depth.alias("depth")).join(heads, ["doc", "seq"], "left")
+    text = F.concat_ws(" ", F.nullif("shown", F.lit("")), F.nullif("heading", F.lit("")))
+    is_section = F.col("level") == "section"
+    lead = F.when(is_section, markdown.heading(F.least("depth", F.lit(6)), text)).otherwise(markdown.heading(F.col("depth"), text, 5))
+    bodies = _bodies(rows, d, "section", notes, credits).select("doc", F.col("ord").alias("seq"), F.col("markdown").alias("body"))
+    pieces = levels.join(bodies, ["doc", "seq"], "left")
+    whole = F.when(is_section, F.concat_ws("\n\n", lead, F.nullif("body", F.lit("")))).otherwise(lead)
+    pieces = pieces.select("doc", "unit", F.col("seq").alias("at"), F.lit(0).alias("nth"), whole.alias("md"), is_section.cast("long").alias("is_section"))
+    # What lies in no section is placed behind the level that was opened last; for these texts that level takes the section's part.
+    outside = rows.where((F.col("kind") == "text") & _unit(emit).isNotNull() & _unit("section").isNull() & F.col("last_level").isNotNull())
+    slots = F.array(*[F.col("last_level") if i == section else F.col("above")[i] for i in range(len(BIG))])
+    own = _bodies(outside.withColumn("above", slots), d, "section", notes, credits)
+    where = outside.select("doc", F.col("last_level").alias("ord"), _unit(emit).alias("unit")).distinct()
+    own = own.join(where, ["doc", "ord"]).where("markdown <> ''").select("doc", "unit", F.col("ord").alias("at"), F.lit(1).alias("nth"), F.col("markdown").alias("md"), F.lit(0).cast("long").alias("is_section"))
+    gathered = pieces.unionByName(own).groupBy("doc", F.col("unit").alias("ord")).agg(F.array_join(_in_order(F.col("md"), "at", "nth"), "\n\n").alias("markdown"), F.sum("is_section").alias("n_sections"))
+    out = units(rows, d, emit).join(gathered, ["doc", "ord"], "left")
+    return out.withColumn("token_estimate", F.ceil(F.length("markdown") / 4).cast("long"))
