@@ -125,6 +125,7 @@ _COLUMNS = {
     # Of texts at the ends of a reference, which are empty until it is known where it leads.
     "href": pa.string(), "edge": pa.string(),
 }
+COLUMNS = list(_COLUMNS)
 _ARROW = pa.schema(list(_COLUMNS.items()))
 _SQL = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<long>"}
 SCAN_SCHEMA = ", ".join(f"`{n}` {_SQL[t]}" for n, t in _COLUMNS.items())

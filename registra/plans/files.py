@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.operators import convert, sections
+from registra.operators import convert, sections, split_scan
 from registra.plans.common import Catalog, table
 from registra.plans.convert import _USLM
+from registra.shared import fresh_path
+from registra.sources import files as sink
 
 CATALOG = Catalog()
 
@@ -69,3 +71,17 @@ def chapter_composites(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sections.scan(_nested(spark, sf_dir), "doc", "xml", sections.USLM)
     made = [sections.composites(rows, sections.USLM, emit).select("identifier", "n_sections", "markdown") for emit in ("chapter", "title")]
     return made[0].unionByName(made[1])
+
+
+#: Characters of the ranges that a title's file is read in.
+SPLIT = 20_000
+
+
+@CATALOG.add(f"""{_SECTIONS.format(linked="false")}
+SELECT '/us/usc/t' || b || '/s' || p_partkey AS identifier, body AS markdown FROM m""")
+def xml_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles written as files and read in ranges, whatever lies across their ends."""
+    base = fresh_path(spark, "titles")
+    titles = _nested(spark, sf_dir).select(F.concat(F.regexp_replace("doc", "[^A-Za-z0-9]", "-"), F.lit(".xml")).alias("path"), F.col("xml").alias("text"))
+    sink.write_changed(titles, base)
+    return sections.code_documents(split_scan.scan(spark, base, sections.USLM, size=SPLIT)).select("identifier", "markdown")

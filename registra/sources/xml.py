@@ -37,25 +37,32 @@ def normalised(name: str) -> str:
     return f"{{{uri}}}{local}" if prefix is None else f"{prefix}:{local}" if prefix else local
 
 
-def parse(xml: str) -> Iterator[tuple[str, str | None, dict[str, str], str | None]]:
-    """(kind, name, attributes, text); an error ends a document that is malformed or declares entities."""
-    found: list[tuple] = []
-    parser = expat.ParserCreate(encoding="utf-8", namespace_separator=" ")
-    parser.buffer_text = True
+def parser(found: list[tuple]) -> expat.XMLParserType:
+    """A parser that appends (kind, name, attributes, text) to ``found``; entity declarations are an error."""
+    out = expat.ParserCreate(encoding="utf-8", namespace_separator=" ")
+    out.buffer_text = True
+    out.buffer_size = CHARS
 
     def refuse(*_: object) -> None:
         raise ValueError("entity declarations are not read")
 
-    parser.EntityDeclHandler = refuse
-    parser.StartElementHandler = lambda n, a: found.append(("open", normalised(n), {normalised(k): v for k, v in a.items()}, None))
-    parser.EndElementHandler = lambda n: found.append(("close", normalised(n), {}, None))
-    parser.CharacterDataHandler = lambda t: found.append(("text", None, {}, t))
+    out.EntityDeclHandler = refuse
+    out.StartElementHandler = lambda n, a: found.append(("open", normalised(n), {normalised(k): v for k, v in a.items()}, None))
+    out.EndElementHandler = lambda n: found.append(("close", normalised(n), {}, None))
+    out.CharacterDataHandler = lambda t: found.append(("text", None, {}, t))
+    return out
+
+
+def parse(xml: str) -> Iterator[tuple[str, str | None, dict[str, str], str | None]]:
+    """(kind, name, attributes, text); an error ends a document that is malformed or declares entities."""
+    found: list[tuple] = []
+    reader = parser(found)
     try:
         for at in range(0, max(1, len(xml)), CHARS):
-            parser.Parse(xml[at : at + CHARS].encode("utf-8", "surrogatepass"), False)
+            reader.Parse(xml[at : at + CHARS].encode("utf-8", "surrogatepass"), False)
             yield from found
             found.clear()
-        parser.Parse(b"", True)
+        reader.Parse(b"", True)
         yield from found
     except (expat.ExpatError, ValueError) as error:
         yield from found
