@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registra.operators import relations
-from registra.shared import drop_written, written
+from registra.shared import drop_written, remove, written
 
 #: Folders of a table; an ingest rewrites those that its keys fall into.
 BUCKETS, BUCKET = 64, "_bucket"
@@ -55,9 +55,14 @@ def ingest(found: DataFrame, path: str, key: str, digest: str, prune: bool = Fal
         table, outcome = ingested(stored, fresh, key, digest, prune, order or [F.desc(digest)])
         counts = {r["outcome"]: r["count"] for r in outcome.groupBy("outcome").count().collect() if prune or r["outcome"] != "pruned"}
         if counts.keys() - {"unchanged"}:
+            buckets = lambda t: {r[0] for r in t.select(BUCKET).distinct().collect()}  # noqa: E731  BUCKETS at most
+            before = buckets(stored)
             # Written apart first, as the table can't be read while it is overwritten.
             staged = written(table, "staged")
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "static" if prune else "dynamic").partitionBy(BUCKET).parquet(path)
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+            # Folders that nothing is left in go last: a run that is stopped leaves a table, and can be repeated.
+            for bucket in before - buckets(staged):
+                remove(spark, f"{path}/{BUCKET}={bucket}")
             drop_written(staged)
     drop_written(fresh)
     return counts
