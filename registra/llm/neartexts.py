@@ -22,7 +22,7 @@ from registra.llm import simhash
 from registra.llm.common import drop_written, small_or_shuffled, text_parts, written
 from registra.llm.components import connected_components
 
-SIMILARITY, WORDS, LANES = 0.8, 5, 8
+SIMILARITY, WORDS, LANES = 0.8, 5, 6
 #: How many of the next texts at its anchor a text is paired with in the first round.
 CHAIN = 4
 #: Standard deviations of the distance of fingerprints, above the distance to be expected, that a pair may have.
