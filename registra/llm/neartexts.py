@@ -1,8 +1,8 @@
 """Near-duplicate texts: pairs that SimHash anchors bring together, verified by the Jaccard similarity of their shingles.
 
 Every fingerprint, of several lanes of 64 bits, is replicated to its anchors as in ``simhash``, with one lane that it is
-checked by.  Two rounds give pairs: in the first, each anchor pairs every text with the next few in the order
-of nodes, and the pairs that verify are contracted to components.  In the second, the anchors with more texts than that give all pairs
+checked by.  Two rounds give pairs: in the first, each anchor pairs its first text, in the order
+of nodes, with its others, and the pairs that verify are contracted to components.  In the second, the anchors with more than two texts give all pairs
 whose texts are in different components still.  So a group of copies, which its first pairs connect, never gives the
 square of its size in pairs, and no pair that matters is left out.  A pair is verified once, on the sets of shingle hashes of
 both texts, whatever anchors it met at.
@@ -23,8 +23,6 @@ from registra.llm.common import drop_written, small_or_shuffled, text_parts, wri
 from registra.llm.components import connected_components
 
 SIMILARITY, WORDS, LANES = 0.8, 5, 6
-#: How many of the next texts at its anchor a text is paired with in the first round.
-CHAIN = 4
 #: Standard deviations of the distance of fingerprints, above the distance to be expected, that a pair may have.
 DEVIATIONS = 4.0
 #: Bytes of texts whose sets are made at once.
@@ -58,38 +56,41 @@ def _anchors(nodes: DataFrame, lanes: int) -> DataFrame:
     return simhash._anchored(nodes, lanes).select(F.expr("shiftleft(CAST(part AS BIGINT), 31) | anchor").alias("key"), "node", after.alias("check"))
 
 
-def _chains(batches: Iterator[pa.RecordBatch], near: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (u, v, null) of each anchor's neighbours, and the rows (node, check, key) of anchors with more than CHAIN + 1 rows.
+def _stars(batches: Iterator[pa.RecordBatch], near: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v, null) of each anchor's first node with its others, and the rows (node, check, key) of anchors with more than two.
 
-    Rows (key, node, check) come sorted by key and node.
+    Rows (key, node, check) come sorted by key and node.  Of the anchor that goes on in the next batch two rows are kept at most.
     """
-    rest = None
-
-    def found(key: np.ndarray, node: np.ndarray, check: np.ndarray) -> Iterator[pa.RecordBatch]:
-        pairs = []
-        for step in range(1, CHAIN + 1):
-            i = np.flatnonzero(key[step:] == key[:-step]) if len(key) > step else np.zeros(0, np.int64)
-            i = i[np.bitwise_count((check[i] ^ check[i + step]).view(np.uint64)) <= near]
-            pairs.append((np.minimum(node[i], node[i + step]), np.maximum(node[i], node[i + step])))
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(first, len(key)))
-        many = np.repeat(size > CHAIN + 1, size)
-        u, v = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        keys = pa.array(np.concatenate([np.zeros(len(u), np.int64), key[many]]), mask=np.arange(len(u) + many.sum()) < len(u))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([u, node[many]])), pa.array(np.concatenate([v, check[many]])), keys], names=["u", "v", "key"])
-
+    at, first, seen = None, (0, 0), 0
+    waiting = tuple(np.zeros(0, np.int64) for _ in range(3))  # rows of this anchor while it has two or fewer
     for b in batches:
         if not b.num_rows:
             continue
-        cols = [c.to_numpy() for c in b.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-        cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last key may go on in the next batch
-        if cut:
-            yield from found(*[c[:cut] for c in cols])
-        rest = [c[cut:] for c in cols]
-    if rest is not None:
-        yield from found(*rest)
+        key, node, check = (c.to_numpy() for c in b.columns)
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(start, len(key)))
+        goes_on = at is not None and key[0] == at
+        centre, centre_check = np.repeat(node[start], size), np.repeat(check[start], size)
+        place = np.arange(len(key)) - np.repeat(start, size)
+        total = size.copy()
+        if goes_on:
+            centre[: size[0]], centre_check[: size[0]] = first
+            place[: size[0]] += seen
+            total[0] += seen
+        i = np.flatnonzero(place > 0)
+        i = i[np.bitwise_count((check[i] ^ centre_check[i]).view(np.uint64)) <= near]
+        many = np.repeat(total > 2, size)
+        rows = [node[many], check[many], key[many]]
+        if goes_on and total[0] > 2:
+            rows = [np.concatenate(x) for x in zip(waiting, rows, strict=True)]
+        keys = pa.array(np.concatenate([np.zeros(len(i), np.int64), rows[2]]), mask=np.arange(len(i) + len(rows[2])) < len(i))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([centre[i], rows[0]])), pa.array(np.concatenate([node[i], rows[1]])), keys], names=["u", "v", "key"])
+        last = slice(start[-1], None)
+        kept = [node[last], check[last], key[last]]
+        if goes_on and len(start) == 1:
+            kept = [np.concatenate(x) for x in zip(waiting, kept, strict=True)]
+        waiting = tuple(x[:0] if total[-1] > 2 else x for x in kept)
+        at, first, seen = key[-1], (centre[-1], centre_check[-1]), int(total[-1])
 
 
 def _across(batches: Iterator[pa.RecordBatch], near: int) -> Iterator[pa.RecordBatch]:
@@ -200,7 +201,7 @@ def near_duplicates(
     nodes = written(distinct.select(F.monotonically_increasing_id().alias("node"), "digest", "low", *[F.col("fp")[i].alias(f"l{i}") for i in range(lanes)]), "nodes")
     near = most_bits(similarity, 1)
     met = _anchors(nodes.drop("digest", "low"), lanes).repartition("key").sortWithinPartitions("key", "node")
-    met = written(met.mapInArrow(lambda it: _chains(it, near), "u long, v long, key long"), "met")
+    met = written(met.mapInArrow(lambda it: _stars(it, near), "u long, v long, key long"), "met")
     by_digest = texts.select(digest.alias("digest"), "text")
     pairs = written(met.where("key is null").select("u", "v").distinct(), "pairs")
     edges = _verified(pairs, nodes, by_digest, similarity, words, lanes)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from registra.llm import neartexts
@@ -60,3 +61,19 @@ def test_shingles_follow_the_fingerprint():
     assert len(neartexts.shingles("a b c d e f")) == 2 and len(neartexts.shingles("A b")) == 1 and not len(neartexts.shingles(" \n"))
     assert np.array_equal(neartexts.shingles("A  b c d E"), neartexts.shingles("a b c d e"))
     assert neartexts.most_bits(0.8, 8) == 111 and neartexts.jaccard(neartexts.shingles(""), neartexts.shingles(None)) == 1.0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1_000])
+def test_stars_in_any_batches(size):
+    rng = np.random.default_rng(4)
+    key = np.sort(rng.integers(0, 40, 150))
+    node, check = np.arange(150), rng.integers(0, 4, 150)
+    rows = pa.table({"key": key, "node": node, "check": check}).combine_chunks()
+    got = pa.Table.from_batches(list(neartexts._stars(iter(rows.to_batches(max_chunksize=size)), 1))).to_pylist()
+    pairs, many = set(), set()
+    for k in set(key.tolist()):
+        own = np.flatnonzero(key == k)
+        pairs |= {(int(own[0]), int(i)) for i in own[1:] if int(check[own[0]] ^ check[i]).bit_count() <= 1}
+        many |= {(int(i), int(check[i]), int(k)) for i in own} if len(own) > 2 else set()
+    assert sorted((r["u"], r["v"]) for r in got if r["key"] is None) == sorted(pairs)
+    assert sorted((r["u"], r["v"], r["key"]) for r in got if r["key"] is not None) == sorted(many)
