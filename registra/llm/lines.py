@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from registra.llm.common import free_name, small_or_shuffled, written
+from registra.llm.common import free_name, written
 
 #: A line on more than RATIO of its host's pages, and on MIN_PAGES of them at least, is boilerplate.  On a host of less
 #: than 1 / RATIO pages every line would exceed RATIO, so a few pages must have it before a share says anything.
 RATIO, MIN_PAGES = 0.01, 5
-#: Parts of a host's set by the hash of a line, so that a line is compared with few others.
-PARTS = 256
+#: Lines in a part of a host's set, on average; parts are told by the hash of a line, so that a line is compared with few others.
+PART_LINES = 4
+#: Bytes of a table that may be broadcast, and bytes that a row or a line of a set has at most besides the host's name.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 160
+
+
+def _joinable(side: DataFrame, rows: DataFrame) -> DataFrame:
+    """``side`` with a broadcast hint if the (host) ``rows`` that it is made of come to BROADCAST_BYTES at most, else as it is."""
+    size = rows.agg(F.sum(F.octet_length("host") + F.lit(ROW_BYTES))).first()[0] or 0
+    return F.broadcast(side) if size <= BROADCAST_BYTES else side
 
 
 def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -24,7 +32,7 @@ def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RAT
     digests = F.expr("transform(array_distinct(filter(transform(split(text, '\\n'), l -> trim(l)), l -> l <> '')), l -> unhex(md5(l)))")
     counts = rows.select("host", F.explode(digests).alias("line")).groupBy("host", "line").agg(F.count("*").alias("pages"))
     totals = written(rows.groupBy("host").agg(F.count("*").alias("total")), "hosts")
-    often = counts.where(F.col("pages") >= min_pages).join(small_or_shuffled(totals), "host")
+    often = counts.where(F.col("pages") >= min_pages).join(_joinable(totals, totals), "host")
     return often.where(F.col("pages") > F.col("total") * F.lit(ratio))
 
 
@@ -38,22 +46,23 @@ def drop_boilerplate(
     counts as a page; a null host is the host ''.  Repeated rows are pages of their own.  An empty table
     gives an empty one.
 
-    The lines to drop are gathered in one set for each host, of at most (lines per page) / ratio entries, in PARTS by hash,
-    and joined to the pages by host, so texts are not shuffled while the sets are small enough to broadcast.
+    The lines to drop are gathered in one set for each host, of at most (lines per page) / ratio entries, in parts by hash
+    whose number follows the entries, and joined to the pages by host, so texts are not shuffled while all sets together are
+    small enough to broadcast, by their bytes.
     """
     host_name, set_name, kept_name = (free_name(pages.columns, n) for n in ("_host", "_lines", "_kept"))
     found = written(boilerplate(pages, host, F.col(f"`{text_col}`"), ratio, min_pages), "boilerplate")
-    entries = found.count()
-    part = lambda digest: F.pmod(F.xxhash64(digest), F.lit(PARTS)).cast("int")
-    parts = found.groupBy("host", part(F.col("line")).alias("part")).agg(F.collect_set("line").alias("lines"))
-    by_part = parts.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("part", "lines"))).alias("m"))
+    part = lambda digest, n: F.pmod(F.xxhash64(digest), n).cast("int")
+    n_parts = F.ceil(F.count("*").over(Window.partitionBy("host")) / PART_LINES).cast("int")
+    parts = found.withColumn("n", n_parts).groupBy("host", "n", part(F.col("line"), F.col("n")).alias("part")).agg(F.collect_set("line").alias("lines"))
+    by_part = parts.groupBy("host", "n").agg(F.map_from_entries(F.collect_list(F.struct("part", "lines"))).alias("m"))
     none = F.array().cast("array<binary>")
-    sets = by_part.select(F.col("host").alias(host_name), F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.coalesce(F.try_element_at("m", p), none)).alias(set_name))
-    sets = written(sets, "sets")
+    filled = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda p: F.coalesce(F.try_element_at("m", p), none))
+    sets = written(by_part.select(F.col("host").alias(host_name), filled.alias(set_name)), "sets")
     bad, kept_col = F.col(set_name), F.col(kept_name)
-    joined = pages.join(small_or_shuffled(sets, entries), F.coalesce(host.cast("string"), F.lit("")) == F.col(host_name), "left")
+    joined = pages.join(_joinable(sets, found), F.coalesce(host.cast("string"), F.lit("")) == F.col(host_name), "left")
     lines = F.split(F.col(f"`{text_col}`").cast("string"), "\n")
-    is_bad = lambda digest: F.array_contains(F.get(bad, part(digest)), digest)
+    is_bad = lambda digest: F.array_contains(F.get(bad, part(digest, F.size(bad))), digest)
     kept = F.filter(lines, lambda l: ~is_bad(F.unhex(F.md5(F.trim(l)))) | (F.trim(l) == ""))
     kept = F.when(bad.isNull(), lines).otherwise(kept)
     stay = [c for c in pages.columns if not dropped_col or c.lower() != dropped_col.lower()]

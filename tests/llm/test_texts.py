@@ -166,6 +166,20 @@ def test_line_dedup(spark):
     assert clash.columns == ["doc_id", "text", "host", "_lines", "LINE"] and clash.agg(F.sum("LINE")).first()[0] > 5
 
 
+def test_line_dedup_of_many_hosts_with_few_lines(spark, monkeypatch):
+    rows = [(i, "own\nmenu\nnews %d" % i, f"h{i // 2}") for i in range(40_000)] + [(i, "\n".join(f"line {j}" for j in range(300)) + f"\nown {i}", "big") for i in range(50_000, 50_040)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string")
+    want = brute_lines(rows, 0.6, 2)
+    for size in (lines.BROADCAST_BYTES, 0):  # by a broadcast, and by a shuffle of both sides
+        monkeypatch.setattr(lines, "BROADCAST_BYTES", size)
+        got = lines.drop_boilerplate(docs, F.col("host"), ratio=0.6, min_pages=2)
+        assert ("ResolvedHint (strategy=broadcast)" in got._jdf.queryExecution().analyzed().toString()) == (size > 0)
+        assert order(got.select("doc_id", "text").collect()) == want
+    sets = next(spark.read.parquet(f.rsplit("/", 1)[0]) for f in got.inputFiles() if "registra-sets-" in f)
+    by_host = {r._host: (r.n, r.m) for r in sets.select("_host", F.size("_lines").alias("n"), F.aggregate("_lines", F.lit(0), lambda a, x: a + F.size(x)).alias("m")).collect()}
+    assert len(by_host) == 20_001 and by_host["h7"] == (1, 2) and by_host["big"] == (75, 300)  # no empty parts to speak of
+
+
 def test_line_dedup_by_hosts_of_urls(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = lines.drop_boilerplate(pages, F.parse_url("url", F.lit("HOST")), "html", ratio=0.3, min_pages=2)
