@@ -56,6 +56,61 @@ def title_meta(sections: DataFrame, chapters: DataFrame, titles: DataFrame, gran
     return rows.select("title_number", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"), _overview(granularity).alias("readme"))
 
 
+def part_entries(sections: DataFrame, order: str = "ord") -> DataFrame:
+    """(title_number, number, first, identifier, name, directory, sections, section_count, chars) of every part of the regulations.
+
+    ``sections`` has title_number, part_identifier, part_number, part_name, content_length, the SECTION columns but for
+    token_estimate, and their place in the title.  A part's identifier and name are those of its first section; a missing
+    identifier is made of the numbers.  Sections without a part are in one with the number ''.
+    """
+    tokens = F.ceil(F.col("content_length") / 4).alias("token_estimate")
+    entry = F.struct(*[tokens if c == "token_estimate" else F.col(c) for c in SECTION])
+    rows = sections.withColumn("_part", F.coalesce("part_number", F.lit("")))
+    grouped = rows.groupBy("title_number", F.col("_part").alias("number")).agg(
+        F.min(order).alias("first"), F.min_by("part_identifier", order).alias("found"), F.min_by("part_name", order).alias("name"),
+        _in_order(order, entry).alias("sections"), F.count("*").alias("section_count"), F.sum("content_length").alias("chars"),
+    )
+    made = F.concat(F.lit("/us/cfr/t"), F.col("title_number").cast("string"), F.lit("/pt"), "number")
+    identifier = F.coalesce(F.nullif(F.col("found"), F.lit("")), made)
+    return grouped.withColumn("identifier", identifier).withColumn("directory", F.concat(F.lit("part-"), "number")).drop("found")
+
+
+def part_meta(parts: DataFrame) -> DataFrame:
+    """(title_number, directory, json): the metadata file of each part of the regulations."""
+    body = F.struct(
+        F.lit(FORMAT_VERSION).alias("format_version"), "identifier", F.col("number").alias("part_number"), F.col("name").alias("part_name"), "title_number", "section_count", "sections",
+    )
+    return parts.select("title_number", "directory", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def regulation_title_meta(parts: DataFrame, titles: DataFrame, granularity: str = "section") -> DataFrame:
+    """(title_number, json, readme): the metadata file and the overview of each title of the regulations.
+
+    ``titles`` has title_number, title_name, currency, source_xml and generated_at; a title without sections has no parts.
+    """
+    entry = F.struct("identifier", "number", "name", "directory", "sections")
+    sums = parts.groupBy("title_number").agg(
+        F.count("*").alias("part_count"), F.sum("section_count").alias("section_count"), F.ceil(F.sum("chars") / 4).alias("total_tokens_estimate"), _in_order("first", entry).alias("parts"),
+    )
+    rows = titles.join(sums, "title_number", "left").withColumn("parts", F.coalesce("parts", F.array()))
+    for c in ("part_count", "section_count", "total_tokens_estimate"):
+        rows = rows.withColumn(c, F.coalesce(c, F.lit(0).cast("long")))
+    number = F.col("title_number").cast("string")
+    stats = F.struct("part_count", "section_count", F.col("section_count").alias("total_files"), "total_tokens_estimate")
+    body = F.struct(
+        F.lit(FORMAT_VERSION).alias("format_version"), F.lit(GENERATOR).alias("generator"), "generated_at", F.concat(F.lit("/us/cfr/t"), number).alias("identifier"), "title_number", "title_name",
+        F.lit("ecfr").alias("source"), F.lit("authoritative_unofficial").alias("legal_status"), "currency", "source_xml", F.lit(granularity).alias("granularity"), stats.alias("stats"), "parts",
+    )
+    facts = [("Source", F.lit("eCFR (govinfo.gov)")), ("Legal Status", F.lit("Authoritative, unofficial"))]
+    facts += [(n, F.format_number(c, 0)) for n, c in (("Parts", "part_count"), ("Sections", "section_count"), ("Estimated Tokens", "total_tokens_estimate"))]
+    facts.append(("Granularity", F.lit(granularity)))
+    table = [F.concat(F.lit(f"| {name} | "), value, F.lit(" |")) for name, value in facts]
+    part = lambda p: F.concat(F.lit("### Part "), p["number"], F.lit(" — "), F.coalesce(p["name"], F.lit("")), F.lit(" ("), F.size(p["sections"]).cast("string"), F.lit(" sections)\n"))
+    head = F.concat(F.lit("# Title "), number, F.lit(" — "), F.col("title_name"), F.lit("\n"))
+    readme = F.concat_ws("\n", head, F.lit("| Metric | Value |\n|--------|-------|"), *table, F.lit("\n## Parts\n"), F.transform("parts", part), F.lit(f"---\n\nGenerated by {GENERATOR}\n"))
+    return rows.select("title_number", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"), readme.alias("readme"))
+
+
 def _overview(granularity: str) -> Column:
     text = lambda c: F.col(c).cast("string")
     facts = [

@@ -215,6 +215,44 @@ def chapter_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.chapter_texts(_statutes(spark, sf_dir)).select("chapter_identifier", "markdown")
 
 
+def _regulations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_size").cast("long").alias("title_number"), F.expr("if(p_partkey % 7 = 3, '', concat('/us/cfr/t', p_size, '/p', p_partkey % 7))").alias("part_identifier"),
+        F.expr("cast(p_partkey % 7 as string)").alias("part_number"), F.col("p_brand").alias("part_name"), F.length("p_type").cast("long").alias("content_length"), F.col("p_partkey").alias("ord"),
+        F.expr("concat('/us/cfr/t', p_size, '/s', p_partkey)").alias("identifier"), F.col("p_partkey").cast("string").alias("number"), F.col("p_name").alias("name"),
+        F.expr("concat('section-', p_partkey, '.md')").alias("file"), (F.col("p_partkey") % 2 == 0).alias("has_notes"), F.lit("current").alias("status"),
+    )
+
+
+_RULE = """'{"identifier":"/us/cfr/t' || p_size || '/s' || p_partkey || '","number":"' || p_partkey || '","name":"' || p_name || '","file":"section-' || p_partkey || '.md","token_estimate":' || ((length(p_type) + 3) // 4) || ',"has_notes":' || (p_partkey % 2 = 0)::VARCHAR || ',"status":"current"}'"""
+_PARTS = f"""
+WITH p AS (SELECT p_size, p_partkey % 7 AS m, '/us/cfr/t' || p_size || CASE WHEN p_partkey % 7 = 3 THEN '/pt' ELSE '/p' END || p_partkey % 7 AS id, min(p_partkey) AS first, arg_min(p_brand, p_partkey) AS name,
+  string_agg({_RULE}, ',' ORDER BY p_partkey) AS entries, count(*) AS n, sum(length(p_type)) AS chars FROM part GROUP BY 1, 2, 3)"""
+
+
+@CATALOG.add(f"""{_PARTS}
+SELECT p_size::BIGINT AS title_number, 'part-' || m AS directory, '{{"format_version":"1.1.0","identifier":"' || id || '","part_number":"' || m || '","part_name":"' || name || '","title_number":' || p_size || ',"section_count":' || n || ',"sections":[' || entries || ']}}' AS json FROM p""")
+def part_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bundles.part_meta(bundles.part_entries(_regulations(spark, sf_dir)))
+
+
+@CATALOG.add(f"""{_PARTS},
+t AS (SELECT p_size, count(*) AS k, sum(n)::BIGINT AS n, ((sum(chars) + 3) // 4)::BIGINT AS tokens,
+  string_agg('{{"identifier":"' || id || '","number":"' || m || '","name":"' || name || '","directory":"part-' || m || '","sections":[' || entries || ']}}', ',' ORDER BY first) AS listed,
+  string_agg('### Part ' || m || ' — ' || name || ' (' || n || ' sections)' || chr(10) || chr(10), '' ORDER BY first) AS heads FROM p GROUP BY 1)
+SELECT p_size::BIGINT AS title_number,
+  '{{"format_version":"1.1.0","generator":"registra","generated_at":"2026-01-02","identifier":"/us/cfr/t' || p_size || '","title_number":' || p_size || ',"title_name":"Size ' || p_size || '","source":"ecfr","legal_status":"authoritative_unofficial","currency":"2026-01-01","source_xml":"ecfr.xml","granularity":"section","stats":{{"part_count":' || k || ',"section_count":' || n || ',"total_files":' || n || ',"total_tokens_estimate":' || tokens || '}},"parts":[' || listed || ']}}' AS json,
+  '# Title ' || p_size || ' — Size ' || p_size || chr(10) || chr(10) || '| Metric | Value |' || chr(10) || '|--------|-------|' || chr(10) || '| Source | eCFR (govinfo.gov) |' || chr(10) || '| Legal Status | Authoritative, unofficial |' || chr(10)
+  || '| Parts | ' || format('{{:,}}', k) || ' |' || chr(10) || '| Sections | ' || format('{{:,}}', n) || ' |' || chr(10) || '| Estimated Tokens | ' || format('{{:,}}', tokens) || ' |' || chr(10) || '| Granularity | section |' || chr(10) || chr(10)
+  || '## Parts' || chr(10) || chr(10) || heads || '---' || chr(10) || chr(10) || 'Generated by registra' || chr(10) AS readme FROM t""")
+def regulation_title_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = _regulations(spark, sf_dir)
+    titles = rules.select("title_number").distinct().select(
+        "title_number", F.expr("concat('Size ', title_number)").alias("title_name"), F.lit("2026-01-01").alias("currency"), F.lit("ecfr.xml").alias("source_xml"), F.lit("2026-01-02").alias("generated_at"),
+    )
+    return bundles.regulation_title_meta(bundles.part_entries(rules), titles)
+
+
 _FILTERED = _HITS.replace("FROM documents", "FROM (SELECT * FROM documents WHERE lang = 'en' AND doc_id % 31 >= 10 AND doc_id % 31 <= 20)")
 
 
