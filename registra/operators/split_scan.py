@@ -194,8 +194,7 @@ def units(parts: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, path: str, d: Dialect, glob: str = "*.xml", size: int = RANGE) -> DataFrame:
     """The rows of ``sections.scan`` for the files at ``path``, each read by as many tasks as it has ranges; doc is the file's path.
 
-    Files are UTF-8.  Texts of more than a million characters between two tags may be cut into other rows than there.  Where a document is
-    malformed, the range that is so ends, and the others go on.  Dialects in which a mark changes what stands before it
+    Files are UTF-8.  Where a document is malformed, the range that is so ends, and the others go on.  Dialects in which a mark changes what stands before it
     (``sup_mark``) are not read in ranges.  Empty files have no rows.
     """
     if d.sup_mark:
@@ -236,16 +235,14 @@ def _unit_rows(text: str, stack: list[tuple[int, str]], start: int, d: Dialect)
         found.clear()
         reader.block, reader.last = 0, None
         seq = start
-        for at in range(0, len(text), markup.CHARS):
-            parser.Parse(text[at : at + markup.CHARS].encode("utf-8", "surrogatepass"), False)
-            for event in found:
-                yield from reader.rows(seq, *event)
-                seq += 1
-            found.clear()
-    except (markup.expat.ExpatError, ValueError):
-        for event in found:
+        for event in markup.fed(parser, found, text):
             yield from reader.rows(seq, *event)
             seq += 1
+    except (markup.expat.ExpatError, ValueError):
+        pass
+    for event in found:
+        yield from reader.rows(seq, *event)
+        seq += 1
     row: list = [None] * (len(sections.COLUMNS) - 1)
     row[sections.COLUMNS.index("block") - 1], row[sections.COLUMNS.index("last_level") - 1] = reader.block, reader.last
     yield row
