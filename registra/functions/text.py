@@ -147,11 +147,13 @@ def title_case(column: Column) -> Column:
     letters = F.regexp_replace(column, "[^a-zA-Z]", "")
     capitals = F.length(F.regexp_replace(letters, "[^A-Z]", ""))
     words = F.regexp_extract_all(column, F.lit(r"(\S+|\s+)"), 1)
-    own = F.filter(words, lambda w: ~w.rlike(r"^\s"))
+    end = lambda pattern: F.regexp_extract(column, pattern, 1)
+    # One struct, so that a text is cut into words and its ends are looked for once and not again for each word.
+    parts = F.array(F.struct(words.alias("words"), end(r"(\S+)").alias("first"), end(r"(?s).*(?<!\S)(\S+)").alias("last")))
 
-    def shown(word: Column) -> Column:
+    def shown(word: Column, part: Column) -> Column:
         lower = F.lower(word)
-        inner = (word != F.get(own, 0)) & (word != F.get(own, F.size(own) - 1))
+        inner = (word != part["first"]) & (word != part["last"])
         start = F.length(F.regexp_extract(lower, "^([^a-z]*)", 1))
         first = F.substr(lower, start + 1, F.lit(1))
         raised = F.concat(F.substr(lower, F.lit(1), start), F.upper(first), F.substr(lower, start + 2))
@@ -161,5 +163,5 @@ def title_case(column: Column) -> Column:
             .otherwise(raised)
         )
 
-    cased = F.array_join(F.transform(words, shown), "")
+    cased = F.get(F.transform(parts, lambda part: F.array_join(F.transform(part["words"], lambda w: shown(w, part)), "")), 0)
     return F.when((F.length(letters) > 0) & (capitals / F.length(letters) >= 0.5), cased).otherwise(column)

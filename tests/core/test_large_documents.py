@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from registra.functions import text as texts
 from registra.operators import sections, split_scan
 from registra.sources import xml
 
@@ -17,3 +19,11 @@ def test_texts_across_parts_stay_whole(monkeypatch, chars):
     assert list(xml.parse(text)) == whole
     assert list(split_scan._unit_rows(text, [], 0, sections.USLM)) == unit
     assert [e[3] for e in whole if e[0] == "text"] == ["x ", "marked & long", " é", "12", " <y> tail of it"]
+
+
+def test_titles_are_cut_into_words_once(spark, capsys):
+    given = ["", "  ", "THE", " OF THE AIR OF ", "A\nTO  U.S. A", "OF " + "X" * 50_000 + " OF THE", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "id int, t string").select("id", texts.title_case(F.col("t")).alias("t"))
+    assert [r.t for r in df.orderBy("id").collect()] == ["", "  ", "The", " Of the Air Of ", "A\nto  U.S. A", "Of " + "X" + "x" * 49_999 + " Of The", None]
+    df.explain("simple")
+    assert capsys.readouterr().out.count("regexp_extract_all(") <= 1
