@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from registra.functions import metadata, paths
 from registra.operators import sections
+from registra.shared import written
 from registra.sources import files as sink
 from registra.sources import xml as markup
 
@@ -23,11 +24,11 @@ def code_paths(units: DataFrame, root: str, meta: DataFrame | None = None) -> Da
 def code_files(df: DataFrame, doc: str, xml: str, root: str, registry: DataFrame | None = None, links: bool = True, notes: tuple[bool, bool, bool] | None = None, credits: bool = True) -> DataFrame:
     """(path, text) of the file of each section of the statutes in ``df``.
 
-    The documents are scanned once for their texts and once for their metadata.  References lead to files of this run, of
+    The documents are scanned once for their texts and, up to the end of their metadata, once for these.  References lead to files of this run, of
     ``registry`` (identifier, file_path), or to the publisher's pages; without ``links`` they are plain text.
     """
     rows = sections.scan(df, doc, xml, sections.USLM)
-    meta = sections.document_meta(markup.events(df, doc, xml))
+    meta = sections.document_meta(written(markup.events(df, doc, xml, "meta"), "events"))
     files = code_paths(sections.units(rows, sections.USLM), root, meta).select("doc", "ord", "identifier", "file_path")
     if links:
         known = files.select("identifier", "file_path")

@@ -7,8 +7,10 @@ is nested or recursive, no window runs over a document, and a level of any kind
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -131,9 +133,9 @@ _SQL = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.lis
 SCAN_SCHEMA = ", ".join(f"`{n}` {_SQL[t]}" for n, t in _COLUMNS.items())
 
 
-@dataclass(frozen=True)
+@dataclass
 class _Inside:
-    """What an open element lies in; elements that change nothing share their parent's."""
+    """What an open element lies in; elements that change nothing share their parent's, and none is changed."""
 
     gone: bool = False
     quoted: bool = False
@@ -150,6 +152,21 @@ class _Inside:
     flat: bool = False  # in a quote inside a sentence: plain text
     label: bool = False
 
+    def having(self, **new: object) -> _Inside:
+        out = object.__new__(_Inside)
+        out.__dict__.update(self.__dict__, **new)
+        out.__dict__.pop("texts", None)
+        return out
+
+    @cached_property
+    def texts(self) -> list:
+        """A text's row without what differs from text to text; their lists of levels are one."""
+        return [None, "text", None, self.gone, None, self.quoted, None, None, None, None, None, list(self.above), None, *self.note, *self.num, self.head, self.credit, self.table, *self.row, *self.cell, None, None, *self.field, None, None]
+
+
+#: Of an element's name: which parts of ``Dialect`` have it.
+_Parts = namedtuple("_Parts", "skipped quoted note num head credit table row cell mark field label border ref sentence")
+
 
 def _rows_of(text: str, d: Dialect) -> Iterator[tuple]:
     """Rows of one document, without its key; a malformed one ends where its error is."""
@@ -165,10 +182,11 @@ class Reader:
     def __init__(self, d: Dialect):
         self.d = d
         kinds = (("skipped", d.skipped), ("quoted", d.quoted), ("note", d.notes), ("num", d.numbers), ("head", d.headings), ("credit", d.credits), ("table", d.tables), ("row", d.rows), ("cell", d.cells), ("mark", d.marks), ("field", d.fields))
-        self.named = {kind: set(names) for kind, names in kinds}
-        self.borders = set().union(d.numbers, d.headings, d.blocks, d.notes, d.credits, d.quoted, d.labels)
+        self.named = {kind: set(names) for kind, names in kinds} | {"label": set(d.labels), "ref": set(d.refs)}
+        self.named["border"] = set().union(d.numbers, d.headings, d.blocks, d.notes, d.credits, d.quoted, d.labels)
         # A quote inside one of these is part of a sentence.
-        self.sentences = set().union(d.blocks, d.credits, d.marks, d.refs)
+        self.named["sentence"] = set().union(d.blocks, d.credits, d.marks, d.refs)
+        self.parts: dict[str | None, _Parts] = {}
         # What an element lies in, whether it begins a block, its name, and the row that its end makes.
         self.stack: list[tuple[_Inside, bool, str | None, tuple | None]] = [(_Inside(), False, None, None)]
         self.block, self.last = 0, None
@@ -177,7 +195,16 @@ class Reader:
         self.own: list[int] = []
 
     def _text(self, seq: int, now: _Inside, data: str, mark: tuple = (None, None), href: str | None = None, edge: str | None = None) -> list:
-        return [seq, "text", data, now.gone, self.block, now.quoted, None, None, None, None, None, list(now.above), self.last, *now.note, *now.num, now.head, now.credit, now.table, *now.row, *now.cell, *mark, *now.field, href, edge]
+        row = now.texts.copy()
+        row[0], row[2], row[4], row[12] = seq, data, self.block, self.last
+        row[25], row[26] = mark
+        row[29], row[30] = href, edge
+        return row
+
+    def _parts_of(self, name: str | None) -> _Parts:
+        if name not in self.parts:
+            self.parts[name] = _Parts(*[name in self.named[kind] for kind in _Parts._fields])
+        return self.parts[name]
 
     def rest(self) -> list[list]:
         out, self.held, self.own = self.held, [], []
@@ -189,53 +216,52 @@ class Reader:
             row = self.held[i]
             row[-6], row[-5] = NOTE_MARK, None
 
-    def rows(self, seq: int, kind: str, name: str | None, attrs: dict[str, str], data: str | None) -> Iterator[list]:
+    def rows(self, seq: int, kind: str, name: str | None, attrs: dict[str, str], data: str | None) -> Sequence[list]:
         if kind == "text":
             now = self.stack[-1][0]
             if now.gone and now.field[0] is None:
-                return
+                return ()
             row = self._text(seq, now, data, (None, None) if now.flat else now.mark)
             if self.d.sup_mark and now.mark[0] == self.d.sup:
                 self.own.append(len(self.held))
                 self.held.append(row)
-            elif self.held:
+                return ()
+            if self.held:
                 self.held.append(row)
-            else:
-                yield row
-        elif kind == "open":
-            yield from self._opened(seq, name, attrs)
-        elif kind == "close":
-            now, border, _, ending = self.stack.pop()
-            if border:
-                yield from self.rest()
-            self.block += border
-            if ending is not None:
-                row = self._text(seq, self.stack[-1][0], *ending)
-                if self.held:
-                    self.held.append(row)
-                else:
-                    yield row
-
-    def _opened(self, seq: int, name: str, attrs: dict[str, str]) -> Iterator[list]:
-        d, named = self.d, self.named
+                return ()
+            return (row,)
+        if kind == "open":
+            return self._opened(seq, name, attrs)
+        if kind != "close":
+            return ()
+        now, border, _, ending = self.stack.pop()
+        out = self.rest() if border and self.held else []
+        self.block += border
+        if ending is not None:
+            row = self._text(seq, self.stack[-1][0], *ending)
+            (self.held if self.held else out).append(row)
+        return out
+
+    def _opened(self, seq: int, name: str, attrs: dict[str, str]) -> list[list]:
+        d, parts = self.d, self._parts_of(name)
         now, _, parent, _ = self.stack[-1]
-        ending = None
+        ending, out = None, []
         if name == d.sup_mark:
             self._marked()
         if name in (d.sup, d.sup_mark):
-            yield from self.rest()
-        if now.flat or (name in named["quoted"] and parent in self.sentences and not now.gone):
+            out += self.rest()
+        if now.flat or (parts.quoted and self._parts_of(parent).sentence and not now.gone):
             if not now.flat:
-                yield from self.rest()
-                yield self._text(seq, now, '"')
+                out += self.rest()
+                out.append(self._text(seq, now, '"'))
                 ending = ('"',)
-                now = _Inside(**{**now.__dict__, "flat": True})
+                now = now.having(flat=True)
             self.stack.append((now, False, name, ending))
-            return
+            return out
         new: dict = {}
-        if name in named["skipped"]:
+        if parts.skipped:
             new["gone"] = True
-        if name in named["quoted"]:
+        if parts.quoted:
             new["quoted"] = True
         free = not (now.gone or now.quoted or new)
         level = d.levels.get(attrs.get(d.level_attr) if d.level_attr else name) if free else None
@@ -244,52 +270,65 @@ class Reader:
             if level in BIG:
                 i = BIG.index(level)
                 new["above"] = (*now.above[:i], seq, *now.above[i + 1 :])
-        if name in named["note"]:
+        if parts.note:
             new["note"] = (seq, attrs.get("topic"), attrs.get("role"))
-        if name in named["num"]:
+        if parts.num:
             new["num"] = (True, attrs.get("value"))
-        if name in named["head"]:
+        if parts.head:
             new["head"] = seq
-        if name in named["credit"]:
+        if parts.credit:
             new["credit"] = True
-        if name in named["row"]:
+        if parts.row:
             new["row"] = (seq, name)
-        if name in named["cell"]:
+        if parts.cell:
             new["cell"] = (seq, name)
-        if name in named["mark"]:
+        if parts.mark:
             new["mark"] = (NOTE_MARK, None) if name == d.sup and now.note[0] is not None else (name, attrs.get("T"))
-        if name in named["field"] and not now.label:
+        if parts.field and not now.label:
             new["field"] = (name, seq)
-        table = name in named["table"]
+        table = parts.table
         if table:
             new["table"] = seq
-        if name in d.labels:
+        if parts.label:
             new["label"] = True
-        border = table or ((level is not None or name in self.borders) and now.table is None)
+        border = table or ((level is not None or parts.border) and now.table is None)
         border = border and not (now.gone or new.get("gone"))
         if border:
-            yield from self.rest()
+            out += self.rest()
         self.block += border
-        if name in d.refs and not now.gone:
+        if parts.ref and not now.gone:
             if d.note_ref and attrs.get(d.note_ref[0]) == d.note_ref[1]:
                 new["mark"] = (NOTE_MARK, None)
             elif attrs.get(d.refs[name]):
                 href = attrs[d.refs[name]]
-                yield self._text(seq, now, "", href=href, edge="open")
+                out.append(self._text(seq, now, "", href=href, edge="open"))
                 ending = ("", (None, None), href, "close")
-        if name in d.labels and not now.gone:
+        if parts.label and not now.gone:
             title, part = (attrs.get(a, "") for a in d.labels[name])
             if title and part:
-                yield self._text(seq, _Inside(**{**now.__dict__, "head": seq}), f"{title} CFR Part {part}")
+                out.append(self._text(seq, now.having(head=seq), f"{title} CFR Part {part}"))
                 self.block += 1
-        inside = _Inside(**{**now.__dict__, **new}) if new else now
+        inside = now.having(**new) if new else now
         self.stack.append((inside, border, name, ending))
         if level is not None:
             number = attrs.get(d.number_attr) if d.number_attr else None
             if level == "title" and d.title_attr:  # there N is the number of a volume
                 number = attrs.get(d.title_attr, "").partition(":")[0] or number
             identifier = attrs.get(d.identifier_attr) if d.identifier_attr else None
-            yield [seq, "open", None, False, self.block, False, level, name, identifier, number, attrs.get("status"), list(inside.above), self.last, *(None,) * 3, False, None, None, False, *(None,) * 11]
+            out.append([seq, "open", None, False, self.block, False, level, name, identifier, number, attrs.get("status"), list(inside.above), self.last, *(None,) * 3, False, None, None, False, *(None,) * 11])
+        return out
+
+
+def column(values: Sequence, kind: pa.DataType) -> pa.Array:
+    """An Arrow array; rows mostly leave most columns empty, and texts of one place share their list."""
+    if values.count(None) == len(values):
+        return pa.nulls(len(values), kind)
+    if not pa.types.is_list(kind):
+        return pa.array(values, kind)
+    nth: dict[int, int] = {}
+    at = [None if v is None else nth.setdefault(id(v), len(nth)) for v in values]
+    own = {id(v): v for v in values if v is not None}
+    return pa.array([own[i] for i in nth], kind).take(pa.array(at, pa.int32()))
 
 
 def scan(df: DataFrame, doc: str, xml: str, d: Dialect) -> DataFrame:
@@ -302,7 +341,7 @@ def scan(df: DataFrame, doc: str, xml: str, d: Dialect) -> DataFrame:
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array(c, t) for c, t in zip(zip(*held, strict=True), _COLUMNS.values(), strict=True)]
+            columns = [column(c, t) for c, t in zip(zip(*held, strict=True), _COLUMNS.values(), strict=True)]
             held.clear()
             return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
@@ -392,6 +431,12 @@ def documents(rows: DataFrame, d: Dialect, emit: str = "section", notes: tuple[b
     return out.withColumn("token_estimate", F.ceil(F.length("markdown") / 4).cast("long"))
 
 
+def _marked(kind: Column, text: Column) -> Column:
+    """An inline text with its marks; white space at its ends stays outside of them."""
+    at = lambda pattern: F.regexp_extract(text, pattern, 0)
+    return F.concat(at(r"^\s*"), markdown.inline(kind, F.regexp_replace(text, r"^\s+|\s+$", "")), at(r"\s*$"))
+
+
 def _bodies(rows: DataFrame, d: Dialect, emit: str, notes: tuple[bool, bool, bool] | None, credits: bool = True) -> DataFrame:
     """(doc, ord, markdown, source_credit) of every unit."""
     inside = rows.where((F.col("kind") == "text") & ~F.col("gone") & _unit(emit).isNotNull()).withColumn("ord", _unit(emit))
@@ -401,7 +446,7 @@ def _bodies(rows: DataFrame, d: Dialect, emit: str, notes: tuple[bool, bool, boo
     if d.codes:
         kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in d.codes.items() for x in pair]), F.col("code")), kind)
     # White space alone stays as it is: it parts the elements around it.
-    shown = F.when(F.col("mark").isNotNull() & F.col("text").rlike(r"\S"), markdown.inline(kind, F.col("text"))).otherwise(F.col("text"))
+    shown = F.when(F.col("mark").isNotNull() & F.col("text").rlike(r"\S"), _marked(kind, F.col("text"))).otherwise(F.col("text"))
     part = F.when(F.col("credit"), "credit").when(F.col("in_num"), "num").when(F.col("head").isNotNull(), "head").otherwise("text")
     blocks = (
         texts.withColumn("shown", shown)

@@ -253,7 +253,7 @@ def _batches(doc: str, unit: int, rows: Iterator[list]) -> Iterator[pa.RecordBat
     schema = sections._ARROW.append(pa.field("unit", pa.int32())).append(pa.field("end", pa.bool_()))
 
     def flush() -> pa.RecordBatch:
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)]
+        columns = [sections.column(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)]
         held.clear()
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 

@@ -27,3 +27,10 @@ def test_titles_are_cut_into_words_once(spark, capsys):
     assert [r.t for r in df.orderBy("id").collect()] == ["", "  ", "The", " Of the Air Of ", "A\nto  U.S. A", "Of " + "X" + "x" * 49_999 + " Of The", None]
     df.explain("simple")
     assert capsys.readouterr().out.count("regexp_extract_all(") <= 1
+
+
+def test_metadata_is_read_to_its_end(spark):
+    docs = [(f"d{i}", f"<u><meta><m>{i}</m></meta><main>{'<p>x</p>' * 50}</main></u>" if i % 2 else "<u><main><p>x</p></main></u>") for i in range(20)]
+    df = spark.createDataFrame(docs, "doc string, xml string")
+    rows = xml.events(df, "doc", "xml", "meta").collect()
+    assert {r.doc for r in rows} == {f"d{i}" for i in range(1, 20, 2)} and len(rows) == 10 * 6
