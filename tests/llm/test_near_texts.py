@@ -77,3 +77,58 @@ def test_stars_in_any_batches(size):
         many |= {(int(i), int(check[i]), int(k)) for i in own} if len(own) > 2 else set()
     assert sorted((r["u"], r["v"]) for r in got if r["key"] is None) == sorted(pairs)
     assert sorted((r["u"], r["v"], r["key"]) for r in got if r["key"] is not None) == sorted(many)
+
+
+def test_crowd_below_the_bar_gives_no_row_for_each_pair(spark, monkeypatch):
+    """Texts of which nearly all pairs are near but not similar: rows follow their number, and the few links are all found."""
+    rng, counts = random.Random(9), {}
+    base = [f"c{k}" for k in range(300)]
+    texts = [" ".join(changed(rng, base, 5)) for _ in range(600)]
+    texts += [" ".join(changed(rng, t.split(), 1)) for t in texts[:20]]
+    kept = neartexts.written
+
+    def counted(df, name):
+        out = kept(df, name)
+        counts[name] = max(counts.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neartexts, "written", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neartexts.near_duplicates(df).collect()}
+    sets = [neartexts.shingles(t) for t in texts]
+    both = neartexts.common_counts(sets, sets)
+    size = np.array([len(s) for s in sets])
+    links = both / (size[:, None] + size - both) >= 0.8
+    assert got == odd.components(range(len(texts)), lambda a, b: links[a, b])
+    assert len(set(got.values())) > 500
+    # A text is at 192 anchors or fewer, each with a row of its own and one with the anchor's first text.
+    assert counts.pop("met") < 384 * len(texts) and counts.pop("pairs") < 192 * len(texts) and counts.pop("near") < 192 * len(texts)
+    assert max(counts.values()) < 2 * len(texts), counts
+
+
+@pytest.mark.parametrize("columns", [3, 2048])
+def test_common_counts(monkeypatch, columns):
+    monkeypatch.setattr(neartexts, "COLUMNS", columns)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n, np.uint64)) for n in (0, 1, 30, 40, 50, 0, 25)]
+    got = neartexts.common_counts(sets[:3], sets[3:])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[3:]] for a in sets[:3]]
+    assert neartexts.common_counts([sets[0]], [sets[5]]).tolist() == [[0]]
+
+
+@pytest.mark.parametrize("size", [1, 4, 1_000])
+def test_similar_rows_of_groups_in_any_batches(size):
+    rng = np.random.default_rng(6)
+    rows = []
+    for group in [(1, 0, 0), (1, 0, 1), (2, 0, 0), (5, 2, 3)]:
+        for n in range(9):
+            of = np.unique(rng.integers(0, 8, rng.integers(0, 15), np.uint64))
+            rows.append((*group, int(n % 2 and group[1] != group[2]), len(rows), len(rows) // 2, of))
+    names = ["cluster", "i", "j", "side", "node", "root"]
+    table = pa.table({c: [r[k] for r in rows] for k, c in enumerate(names)} | {"set": pa.array([r[6].tobytes() for r in rows], pa.binary())})
+    got = pa.Table.from_batches(list(neartexts._alike(iter(table.to_batches(max_chunksize=size)), 0.5))).to_pylist()
+    meet = lambda a, b: a[:3] == b[:3] and a[5] != b[5] and (a[1] == a[2] or a[3] != b[3]) and neartexts.jaccard(a[6], b[6]) >= 0.5
+    edges = {(r["u"], r["v"]) for r in got}
+    nodes = range(len(rows))
+    exact = odd.components(nodes, lambda a, b: meet(rows[a], rows[b]))
+    assert len(edges) == len(got) > 3 and odd.components(nodes, lambda a, b: (a, b) in edges or (b, a) in edges) == exact
