@@ -17,7 +17,6 @@ import os
 import unicodedata
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -35,10 +34,11 @@ from registra.llm.common import drop_written, fresh_path, text_parts, written
 MAGIC = b"TOKIDS01"
 #: Least and most tokens of a shard, and bytes of data at which a file is closed and the next begun.
 LEAST_TOKENS, MOST_TOKENS, FILE_BYTES = 6_000_000, 64_000_000, 64 << 20
-#: Bytes of text whose distinct words are encoded together, and words (the most frequent of the last such part) whose ids a worker remembers.
-TEXT_BYTES, WORDS_HELD = 4 << 20, 150_000
+#: Bytes of text whose distinct words are encoded together, pieces of words (of the last such part) whose ids a worker remembers, and words that
+#: the library gets in one call.
+TEXT_BYTES, WORDS_HELD, WORDS_AT_ONCE = 4 << 20, 150_000, 16_384
 #: Ids between the steps; in the files they are coded by rank.
-PACKED, CODE = "<u2", "H"
+PACKED = "<u2"
 #: The steps of a tokenizer file that allow its words to be encoded apart, as they stand in the file.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 PRE_TOKENIZERS = [
@@ -47,6 +47,11 @@ PRE_TOKENIZERS = [
 ]
 #: Marks that end a run of letters and begin no contraction.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Runs of lower-case Latin letters, none of which normalization changes.
+ONE_PRE_TOKEN = rf"\A[{''.join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower() and unicodedata.is_normalized('NFC', c))}]+\z"
+#: The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
+PRINTABLE = np.isin(np.arange(256), [*range(33, 127), *range(161, 173), *range(174, 256)])
+ALPHABET = np.where(PRINTABLE, np.arange(256), 255 + np.cumsum(~PRINTABLE)).astype("<u4")
 #: Lengths of the four codes of each control byte.
 LENGTHS = np.stack([(np.arange(256) >> 2 * j & 3) + 1 for j in range(4)], axis=1).astype(np.int64)
 
@@ -112,87 +117,99 @@ def _ordinary(path: str) -> bool:
         and parts("pre_tokenizer") == PRE_TOKENIZERS
         and model.get("type") == "BPE"
         and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+        and all(chr(c) + end in model["vocab"] for c in ALPHABET for end in ("", model.get("end_of_word_suffix") or ""))
         and all("<|" in t["content"] for t in spec.get("added_tokens") or ())
         and not any(spec.get(k) for k in ("truncation", "padding"))
     )
 
 
 class Words:
-    """Ids of many texts at once; the library encodes each distinct word of them, and numpy puts the ids in their places.
+    """Ids of many texts at once; the library encodes their distinct words in bulk, and numpy puts the ids in their places.
 
     That needs a tokenizer whose steps are NORMALIZERS and PRE_TOKENIZERS; with another file the library gets
     whole texts, as it does a text that may hold a special token's string.  Lower-casing A-Z first leaves the ids
-    as they are.  Words are cut at ASCII white space; other white space stays inside a word.
+    as they are.  Words are cut at ASCII white space; other white space stays inside a word.  A run of plain letters, with
+    marks on its sides or not, is a pre-token, so only the merges are to be done; all other words take all steps.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
+        self.merges = Tokenizer(self.library.model)  # for pre-tokens in byte-level letters
         self.ordinary = _ordinary(path)
-        self.known: dict[str, bytes] = {}
-        # The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in plain]
-        self.letters = {b: 256 + i for i, b in enumerate(others)}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        suffix = getattr(self.library.model, "end_of_word_suffix", None) or ""
+        self.letters = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.letters[i] = len(token.removesuffix(suffix))
+        self.known: tuple[pa.Array, np.ndarray, np.ndarray] = (pa.array([], pa.string()), np.zeros(0, PACKED), np.zeros(0, np.int32))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many belong to each text."""
         whole = pc.match_substring(texts, "<|") if self.ordinary else pa.array(np.ones(len(texts), bool))
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(whole, "", texts)))
         coded = lists.flatten().dictionary_encode()
-        at, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        each = self.encoded(words)
-        sizes = np.fromiter(map(len, each), np.int32, len(each)) // np.dtype(PACKED).itemsize  # a text has 2 GB at most
-        ids = _gather(np.frombuffer(b"".join(each), PACKED), np.cumsum(sizes, dtype=np.int32) - sizes, sizes, at)
+        at = coded.indices.to_numpy()
+        values, sizes = self.encoded(coded.dictionary)
+        ids = _gather(values, _starts(sizes), sizes, at)
         upto = np.concatenate([[0], np.cumsum(sizes[at], dtype=np.int64)])
         counts = np.diff(upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
-        often = np.bincount(at, minlength=len(words))
-        keep = np.argsort(-often, kind="stable")[:WORDS_HELD].tolist()
-        self.known = {words[i]: each[i] for i in keep}
         for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
             own = np.array(self.library.encode(texts[i].as_py(), add_special_tokens=False).ids, PACKED)
             ids, counts[i] = np.insert(ids, int(counts[:i].sum()), own), len(own)
         return ids, counts
 
-    def encoded(self, words: list[str]) -> list[bytes]:
-        """Packed ids of each of some distinct words."""
-        found = list(map(self.known.get, words))
-        cores: dict[str, bytes | None] = {"": None}
-        rest = []
-        for i, word in enumerate(words):
-            if found[i] is not None:
-                continue
-            core = word if word.isalpha() else word.strip(MARKS)
-            if core not in cores:
-                cores[core] = self.one_pre_token(core)
-            own = cores[core]
-            if own is None:
-                rest.append(i)
-            elif core is word:
-                found[i] = own
-            else:  # the runs of marks on both sides are pre-tokens of their own
-                begin = word.index(core)
-                found[i] = self.marks(word[:begin]) + own + self.marks(word[begin + len(core) :])
-        if rest:
-            for i, e in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
-                found[i] = array(CODE, e.ids).tobytes()
-        return found
-
-    def one_pre_token(self, word: str) -> bytes | None:
-        """Packed ids of a word of lower-case Latin letters; None for all others."""
-        if word.isascii():
-            if not (word.isalpha() and word.islower()):
-                return None
-        elif word.isalpha() and max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word):
-            word = word.encode().decode("latin-1").translate(self.letters)
-        else:
-            return None
-        return array(CODE, [t.id for t in self.model.tokenize(word)]).tobytes()
-
-    @lru_cache(maxsize=10_000)  # noqa: B019  one object for each worker
-    def marks(self, run: str) -> bytes:
-        return array(CODE, self.library.encode(run, add_special_tokens=False).ids).tobytes() if run else b""
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All packed ids of some distinct words in a row, and how many belong to each."""
+        core = pc.utf8_trim(words, MARKS)
+        # The runs of marks on both sides of such a core are pre-tokens of their own; other words stay whole.
+        core = pc.if_else(pc.match_substring_regex(core, ONE_PRE_TOKEN), core, words)
+        raw, size = _in_a_row(words, np.uint8), pc.binary_length(words).to_numpy()
+        left = np.where(pc.binary_length(core).to_numpy() < size, size - pc.binary_length(pc.utf8_ltrim(words, MARKS)).to_numpy(), 0)
+        right = size - left - pc.binary_length(core).to_numpy()
+        every, end = np.arange(len(words)), np.cumsum(size)
+        sides = [_pieces(_gather(raw, at, n, every), n).cast(pa.string()) for at, n in ((end - size, left), (end - right, right))]
+        coded = pa.concat_arrays([sides[0], core, sides[1]]).dictionary_encode()
+        at = coded.indices.to_numpy().reshape(3, -1).T.ravel()
+        values, sizes = self.pieces(coded.dictionary)
+        return _gather(values, _starts(sizes), sizes, at), sizes[at].reshape(-1, 3).sum(axis=1, dtype=np.int32)
+
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encoded``, of the distinct pieces of words; those of the last call are remembered."""
+        held, values, sizes = self.known
+        at = pc.index_in(pieces, value_set=held)
+        new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        at = at.fill_null(0).to_numpy().copy()
+        unknown = pieces.take(pa.array(new))
+        plain = pc.match_substring_regex(unknown, ONE_PRE_TOKEN)
+        mask = plain.to_numpy(zero_copy_only=False)
+        at[new[mask]] = len(held) + np.arange(mask.sum())
+        at[new[~mask]] = len(held) + mask.sum() + np.arange((~mask).sum())
+        others = self.library.encode_batch_fast(unknown.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
+        others = [np.array(e.ids, PACKED) for e in others]
+        ids, n = self.merged(unknown.filter(plain))
+        values = np.concatenate([values, ids, *others])
+        sizes = np.concatenate([sizes, n, np.fromiter(map(len, others), np.int32, len(others))])
+        values, sizes = _gather(values, _starts(sizes), sizes, at), sizes[at]
+        kept = min(len(pieces), WORDS_HELD)
+        self.known = (pieces.take(pa.array(np.arange(kept))), values[: sizes[:kept].sum()].copy(), sizes[:kept].copy())
+        return values, sizes
+
+    def merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encoded``, of words that are one pre-token each and that the steps before the merges leave as they are."""
+        ids = [np.zeros(0, PACKED)]
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            text = "\n".join(words.slice(i, WORDS_AT_ONCE).to_numpy(zero_copy_only=False))
+            letters = ALPHABET[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le").split(chr(ALPHABET[ord("\n")]))
+            ids.append(np.array(self.merges.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids, PACKED))
+        row = np.concatenate(ids)
+        # A token has a letter for each byte of its part of a word, so a word's last token ends where the word does.
+        last = np.searchsorted(np.cumsum(self.letters[row]), np.cumsum(pc.binary_length(words).to_numpy(), dtype=np.int64))
+        return row, np.diff(last, prepend=-1).astype(np.int32)
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes, dtype=np.int32) - sizes
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:

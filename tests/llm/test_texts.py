@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+import sys
 import zlib
 from collections import Counter, defaultdict
 from functools import reduce
@@ -392,6 +393,38 @@ def test_words_apart_and_in_whole():
     assert tokenids._ordinary(path) and not tokenids._ordinary(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@pytest.mark.parametrize("at_once,held", [(7, 20), (tokenids.WORDS_AT_ONCE, tokenids.WORDS_HELD)])
+def test_words_are_pieced_together(monkeypatch, at_once, held):
+    """Every letter that is taken as plain, marks on both sides and remembered words give the library's ids, in calls of any size."""
+    monkeypatch.setattr(tokenids, "WORDS_AT_ONCE", at_once)
+    monkeypatch.setattr(tokenids, "WORDS_HELD", held)
+    words = tokenids.Words(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [f"{c} a{c} {c}b {c}{c}, ({c}e) {c}." for c in map(chr, range(33, 0x260)) if not c.isspace()]
+    texts += ["", " ", "...", "!! ,,", "ab\x00c " + "é" * 700, "'s (don't) --it's-- l'été x'", "($%a%$) a%$a $$a a$$"]
+    for part in (texts, texts[::-1], texts[60:70], [], ["", ""], ["the a"]):
+        want = [e.ids for e in words.library.encode_batch(part, add_special_tokens=False)]
+        ids, sizes = words(pa.array(part, pa.string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes))[:-1]] == want
+
+
+def test_words_take_no_call_each():
+    words = tokenids.Words(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(5)
+    distinct = {rng.choice(["", "("]) + "".join(rng.choices("abcdefghiéü", k=8)) + rng.choice(["", ",", "!!"]) for _ in range(10_000)}
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        words(pa.array([" ".join(distinct)]))
+    finally:
+        sys.setprofile(None)
+    assert calls < len(distinct) / 10
+
+
 def test_pseudo_likelihood(spark):
     rng = random.Random(2)
     phrases = ["the cat sat on the mat", "a dog ran in the park", "we like green tea"]
