@@ -17,7 +17,7 @@ known to every task, by their hashes; those of all other words are joined, never
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import groupby
 from typing import NamedTuple
 
@@ -39,9 +39,11 @@ WINDOW, EMBED, HIDDEN = 2, 16, 32
 PLACES = [o for o in range(-WINDOW, WINDOW + 1) if o]
 RATES, BATCH, SEED = (6e-3, 2e-3), 8_192, 3
 #: Tokens scored at once, and words whose parts of their entries every task knows (18 bytes each).
-BLOCK, TABLE_WORDS = 32_768, 1_000_000
-#: Tokens of a training shard, and bytes of text whose distinct words are looked up together.
-SHARD_TOKENS, TEXT_BYTES = 4_000_000, 8 << 20
+BLOCK, TABLE_WORDS = 16_384, 1_000_000
+#: Bytes of 16-bit ids laid out at once, and rows of a word that are summed before its runs are.
+ID_BYTES, RUN = 1 << 20, 8
+#: Tokens of a training shard, and bytes of text whose distinct words are counted and looked up together.
+SHARD_TOKENS, TEXT_BYTES, LOOKUP_BYTES = 4_000_000, 8 << 20, 2 << 20
 #: Fixed-point units of shares and of summed weights.
 SHARE_UNITS, WEIGHT_UNITS = 1 << 32, 1 << 28
 SHAPES = {
@@ -71,49 +73,67 @@ def shaped(v: np.ndarray) -> Weights:
 
 
 def _softmax_parts(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(z - max) of each row, made in place, and max + log(sum), the log of the sum of exp(z)."""
-    most = z.max(1, keepdims=True)
+    """Of each column: the sum of exp(z - max), which is made in place, and max + log(sum), the log of the sum of exp(z)."""
+    most = z.max(0)
     z -= most
     np.exp(z, out=z)
-    total = z.sum(1, keepdims=True)
-    return z / total, (most + np.log(total))[:, 0]
+    total = z.sum(0)
+    return total, most + np.log(total)
 
 
-def _hidden(w: Weights, folded: np.ndarray, context: np.ndarray) -> np.ndarray:
-    hidden = folded[0][context[:, 0]]
+def _hidden(w: Weights, folded: np.ndarray, context: np.ndarray, order: np.ndarray) -> np.ndarray:
+    hidden = folded[0].take(context[:, 0].take(order), 0)
     for j in range(1, len(PLACES)):
-        hidden += folded[j][context[:, j]]
+        hidden += folded[j].take(context[:, j].take(order), 0)
     hidden += w["bias"]
     return np.maximum(hidden, 0, out=hidden)
 
 
+def _logits(to: np.ndarray, bias: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """(choices, places): choices along the first axis, so that sums over them go along rows of places."""
+    z = to.T @ hidden.T
+    z += bias[:, None]
+    return z
+
+
 def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """An order of the targets by class, and where the classes end in it."""
     group = (target // CLASS_WORDS).astype(np.int16)
     order = np.argsort(group, kind="stable")
-    return order, np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
+    return order, np.concatenate([[0], np.cumsum(np.bincount(group, minlength=CLASSES))]).tolist()
+
+
+def laid(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (``ends``: where each ends in ``ids``) with WINDOW pads around each, and where each id stands in that."""
+    at = np.arange(len(ids)) + np.repeat(WINDOW * np.arange(1, len(ends) + 1), np.diff(ends, prepend=0))
+    padded = np.full(len(ids) + WINDOW * (len(ends) + 1), PAD, np.int32)
+    padded[at] = ids
+    return padded, at
+
+
+def around(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Neighbours (places, PLACES) of places of ``laid`` documents, each column in one piece."""
+    return np.stack([padded.take(at + o) for o in PLACES]).T
 
 
 def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Neighbours (places, PLACES) of the places ``at`` of one document."""
-    padded = np.concatenate([np.full(WINDOW, PAD), ids, np.full(WINDOW, PAD)]).astype(np.int32)
-    return np.stack([padded[at + WINDOW + o] for o in PLACES], axis=1)
+    padded, places = laid(ids, np.array([len(ids)]))
+    return around(padded, places[at])
 
 
 def log_probabilities(w: Weights, folded: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log p(target | both sides); ``folded`` is ``fold(w)``.  Rows are brought in the order of their classes once."""
     order, ends = _by_class(target)
-    hidden = _hidden(w, folded, context[order])
-    group, word = target[order] // CLASS_WORDS, target[order] % CLASS_WORDS
-    n = np.arange(len(target))
-    logits = hidden @ w["to_class"] + w["class_bias"]
-    score = logits[n, group]
+    hidden, word = _hidden(w, folded, context, order), (target % CLASS_WORDS).take(order)
+    logits, n = _logits(w["to_class"], w["class_bias"], hidden), np.arange(len(target))
+    score = np.concatenate([logits[c, ends[c] : ends[c + 1]] for c in range(CLASSES)])
     score -= _softmax_parts(logits)[1]
     for c in range(CLASSES):
         rows = slice(ends[c], ends[c + 1])
         if ends[c] < ends[c + 1]:
-            logits = hidden[rows] @ w["to_word"][c] + w["word_bias"][c]
-            score[rows] += logits[n[: len(logits)], word[rows]]
+            logits = _logits(w["to_word"][c], w["word_bias"][c], hidden[rows])
+            score[rows] += logits[word[rows], n[: logits.shape[1]]]
             score[rows] -= _softmax_parts(logits)[1]
     out = np.empty_like(score)
     out[order] = score
@@ -125,44 +145,110 @@ def fold(w: Weights) -> np.ndarray:
     return np.stack([w["embed"] @ m for m in w["mix"]])
 
 
+def _summed(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words, ascending, and the sum of each one's rows; the last row, zero, is none's.
+
+    Up to RUN rows of a word are summed by whole columns of row numbers, then what is left of each word.
+    """
+    order = np.argsort(words.astype(np.int16), kind="stable")
+    counts = np.bincount(words, minlength=VOCABULARY + 1)
+    found = np.flatnonzero(counts)
+    counts = counts[found]
+    runs = -(-counts // RUN)
+    first = np.cumsum(runs) - runs
+    which = np.full(int(runs.sum()) * RUN, len(rows) - 1)
+    which[np.arange(len(words)) + np.repeat(first * RUN - (np.cumsum(counts) - counts), counts)] = order
+    columns = np.ascontiguousarray(which.reshape(-1, RUN).T)
+    out = rows.take(columns[0], 0)
+    for column in columns[1:]:
+        out += rows.take(column, 0)
+    return found, np.add.reduceat(out, first)
+
+
 def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
     """Of the mean negative log-probability."""
     n = len(target)
     order, ends = _by_class(target)
-    context = context[order]
-    group, word = target[order] // CLASS_WORDS, target[order] % CLASS_WORDS
-    hidden, at = _hidden(w, fold(w), context), np.arange(n)
-    d_class = _softmax_parts(hidden @ w["to_class"] + w["class_bias"])[0]
-    d_class[at, group] -= 1
-    g = {"to_class": hidden.T @ d_class / n, "class_bias": d_class.sum(0) / n, "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
-    d_hidden = d_class @ w["to_class"].T
+    word = (target % CLASS_WORDS).take(order)
+    hidden, at = _hidden(w, fold(w), context, order), np.arange(n)
+    d = _logits(w["to_class"], w["class_bias"], hidden)
+    d /= _softmax_parts(d)[0]
+    for c in range(CLASSES):
+        d[c, ends[c] : ends[c + 1]] -= 1
+    g = {"to_class": hidden.T @ d.T / n, "class_bias": d.sum(1) / n, "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
+    d_hidden = np.zeros((n + 1, HIDDEN), hidden.dtype)  # the last row stays zero
+    np.matmul(d.T, w["to_class"].T, out=d_hidden[:n])
     for c in range(CLASSES):
         rows = slice(ends[c], ends[c + 1])
         if ends[c] < ends[c + 1]:
             h = hidden[rows]
-            d = _softmax_parts(h @ w["to_word"][c] + w["word_bias"][c])[0]
-            d[at[: len(d)], word[rows]] -= 1
-            g["to_word"][c], g["word_bias"][c] = h.T @ d / n, d.sum(0) / n
-            d_hidden[rows] += d @ w["to_word"][c].T
-    d_hidden *= hidden > 0
-    d_hidden /= n
-    g["bias"] = d_hidden.sum(0)
+            d = _logits(w["to_word"][c], w["word_bias"][c], h)
+            d /= _softmax_parts(d)[0]
+            d[word[rows], at[: len(h)]] -= 1
+            g["to_word"][c], g["word_bias"][c] = h.T @ d.T / n, d.sum(1) / n
+            d_hidden[rows] += d.T @ w["to_word"][c].T
+    d_hidden[:n] *= hidden > 0
+    g["bias"] = d_hidden.sum(0) / n
     g["mix"], g["embed"] = np.zeros_like(w["mix"]), np.zeros_like(w["embed"])
     for p in range(len(PLACES)):  # what repeated words add is summed before it is multiplied
-        order = np.argsort(context[:, p].astype(np.int16), kind="stable")
-        words = context[order, p]
-        first = np.flatnonzero(np.diff(words, prepend=-1))
-        d_word = np.add.reduceat(d_hidden[order], first)
-        g["mix"][p] = w["embed"][words[first]].T @ d_word
-        g["embed"][words[first]] += d_word @ w["mix"][p].T
+        words, d_word = _summed(context[:, p].take(order), d_hidden)
+        d_word /= n
+        g["mix"][p] = w["embed"][words].T @ d_word
+        g["embed"][words] += d_word @ w["mix"][p].T
     return g
 
 
+def targets_of(ids: np.ndarray, ends: np.ndarray, n_pass: int, passes: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """The places of documents that a pass takes as targets, and how many of each; the passes share out all places."""
+    sizes = np.diff(ends, prepend=0)
+    begins = ends - sizes
+    starts = np.fromiter((zlib.crc32(ids[a : min(a + 64, b)].data, seed) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)), np.int64, len(ends))
+    mixed = ((np.arange(len(ids)) + np.repeat(starts - begins, sizes)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    at = np.flatnonzero(mixed.astype(np.uint32) % np.uint32(passes) == n_pass)
+    return at, np.diff(np.searchsorted(at, ends), prepend=0)
+
+
 def targets(doc: np.ndarray, n_pass: int, passes: int, seed: int = SEED) -> np.ndarray:
-    """The places of a document that a pass takes as targets; the passes share out all places."""
-    start = zlib.crc32(doc[:64].tobytes(), seed)
-    mixed = (np.arange(start, start + len(doc), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    return np.flatnonzero(mixed % np.uint64(passes) == n_pass)
+    """The places of a document that a pass takes as targets."""
+    return targets_of(np.ascontiguousarray(doc, np.int64), np.array([len(doc)]), n_pass, passes, seed)[0]
+
+
+def learning_batches(blocks: Iterable[tuple[np.ndarray, np.ndarray]], n_pass: int, passes: int, batch: int, seed: int = SEED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(context, target) of the targets in documents (ids, ends) that a pass takes, in their order.
+
+    A document's targets come in pieces of ``batch`` at most, and a batch ends with the piece that fills it.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for ids, ends in blocks:
+        padded, place = laid(ids, ends)
+        at, counts = targets_of(ids, ends, n_pass, passes, seed)
+        at, begin, upto = place[at], 0, 0
+        for count in counts.tolist():
+            while count:
+                piece = min(batch, count)
+                count, upto, size = count - piece, upto + piece, size + piece
+                if size >= batch:
+                    held.append((around(padded, at[begin:upto]), padded[at[begin:upto]]))
+                    yield _joined(held)
+                    held, begin, size = [], upto, 0
+        if begin < upto:
+            held.append((around(padded, at[begin:]), padded[at[begin:]]))
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(held) == 1:
+        return held[0]
+    return np.concatenate([c.T for c, _ in held], axis=1).T, np.concatenate([t for _, t in held])
+
+
+def id_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of little-endian 16-bit entries, and where each document ends in them."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)) // 2
+    raw = b"".join(x.as_buffer() for x in column)
+    return np.frombuffer(raw, "<u2").astype(np.int64), ends
 
 
 class Adam:
@@ -228,8 +314,23 @@ def digest(word: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def hashed_entry(word: str) -> int:
-    return VOCABULARY - HASHED + zlib.crc32(word.encode()) % HASHED
+def hashed_entry(word: str | bytes) -> int:
+    return VOCABULARY - HASHED + zlib.crc32(word.encode() if isinstance(word, str) else word) % HASHED
+
+
+def _parts(batches: Iterable[pa.RecordBatch], col: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``text_parts`` of all batches; what Arrow holds unused goes back to the system after each batch, as workers live on."""
+    for b in batches:
+        yield from text_parts(b, col, size)
+        pa.default_memory_pool().release_unused()
+
+
+def counted_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of the words of parts of the texts, each word once a part."""
+    for b in _parts(batches, 0, TEXT_BYTES):
+        found = pc.value_counts(pc.ascii_split_whitespace(b.column(0)).flatten())
+        counts = pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
+        yield counts.filter(pc.not_equal(pc.binary_length(counts.column(0)), 0))
 
 
 def entries(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -240,23 +341,22 @@ def entries(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     """
     text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
-    words = rows.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
-    table, shares = table_of(written(words.groupBy("word").agg(F.count("*").alias("n")), "words"))
+    words = rows.select("text").mapInArrow(counted_words, "word string, n long")
+    table, shares = table_of(written(words.groupBy("word").agg(F.sum("n").alias("n")), "words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for whole in batches for part in text_parts(whole, 2, TEXT_BYTES)):
+        for b in _parts(batches, 2, LOOKUP_BYTES):
             lists = pc.ascii_split_whitespace(b.column(2))
             coded = lists.flatten().dictionary_encode()
-            found = coded.dictionary.to_pylist()
+            found = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in found), np.uint64, len(found)).view(np.int64)
             place, known = table.find(hashes)
             entry = np.zeros(len(found), "<u2")
             entry[known] = table.entries[place[known]]
             share = np.where(known, table.shares[place], 0) if len(table.shares) else np.zeros(len(found), np.int64)
-            for i in np.flatnonzero(~known).tolist():
-                entry[i] = hashed_entry(found[i])
+            entry[~known] = [hashed_entry(w) for w in found[~known]]
             at = coded.indices.to_numpy()
-            real = np.array([w != "" for w in found], bool)[at]  # white space at the ends gives empty words
+            real = pc.not_equal(pc.binary_length(coded.dictionary), 0).to_numpy(zero_copy_only=False)[at]  # white space at the ends gives empty words
             upto = np.concatenate([[0], np.cumsum(real)])
             ends = upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
             at = at[real]
@@ -279,6 +379,15 @@ def deal(ids: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     return ids.select(shard.alias("shard"), "doc_id", "ids").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids").select("shard", "ids")
 
 
+def shard_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, ids, ends) of some documents of a shard, in the order of rows (shard, ids)."""
+    for b in _parts(batches, 1, ID_BYTES):
+        shard = b.column(0).to_numpy()
+        cuts = np.flatnonzero(np.diff(shard)) + 1
+        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shard)], strict=True):
+            yield int(shard[s]), *id_arrays(b.column(1).slice(s, e - s))
+
+
 def train(dealt: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED, batch: int = BATCH) -> Weights:
     """Weights fitted to rows (shard, ids) as ``deal`` returns them, one pass for each rate; each place is a target in one of them.
 
@@ -290,23 +399,11 @@ def train(dealt: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED,
         given = flat(w)
 
         def one_pass(batches: Iterator[pa.RecordBatch], given=given, rate=rate, n_pass=n_pass) -> Iterator[pa.RecordBatch]:
-            rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1), strict=True))
-            for _, of_shard in groupby(rows, lambda r: r[0]):
-                learn = Adam(shaped(given), rate)
-                held: list[tuple[np.ndarray, np.ndarray]] = []
-                size = seen = 0
-                for _, raw in of_shard:
-                    doc = np.frombuffer(raw.as_buffer(), "<u2").astype(np.int64)
-                    at = targets(doc, n_pass, len(rates), seed)
-                    for s in range(0, len(at), batch):
-                        held.append((contexts(doc, at[s : s + batch]), doc[at[s : s + batch]]))
-                        size += len(held[-1][1])
-                        if size >= batch:
-                            learn(*(np.concatenate(z) for z in zip(*held, strict=True)))
-                            held, seen, size = [], seen + size, 0
-                if size:
-                    learn(*(np.concatenate(z) for z in zip(*held, strict=True)))
-                    seen += size
+            for _, of_shard in groupby(shard_blocks(batches), lambda r: r[0]):
+                learn, seen = Adam(shaped(given), rate), 0
+                for context, target in learning_batches(((i, e) for _, i, e in of_shard), n_pass, len(rates), batch, seed):
+                    learn(context, target)
+                    seen += len(target)
                 if seen:
                     sums = np.append(np.rint(flat(learn.w).astype(np.float64) * (seen * WEIGHT_UNITS)), float(seen)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], names=["i", "x"])
@@ -321,27 +418,22 @@ def train(dealt: DataFrame, rates: tuple[float, ...] = RATES, seed: int = SEED,
     return w
 
 
+def score_laid(w: Weights, folded: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Summed conditional log-probabilities of each document (``ends``: where each ends in ``ids``)."""
+    sums = np.zeros(len(ends))
+    padded, places = laid(ids, ends)
+    where = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    for s in range(0, len(ids), BLOCK):
+        at, of = places[s : s + BLOCK], where[s : s + BLOCK]
+        scores = log_probabilities(w, folded, around(padded, at), padded[at]).astype(np.float64)
+        sums[of[0] : of[-1] + 1] += np.bincount(of - of[0], scores)
+    return sums
+
+
 def score_ids(w: Weights, docs: list[np.ndarray]) -> list[float]:
     """Summed conditional log-probabilities of each document."""
-    folded, sums = fold(w), np.zeros(len(docs))
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    size = 0
-
-    def flush() -> None:
-        where, context, target = (np.concatenate(z) for z in zip(*held, strict=True))
-        sums[:] += np.bincount(where, log_probabilities(w, folded, context, target).astype(np.float64), len(docs))
-
-    for i, doc in enumerate(docs):
-        for s in range(0, len(doc), BLOCK):
-            at = np.arange(s, min(len(doc), s + BLOCK))
-            held.append((np.full(len(at), i), contexts(doc, at), doc[at]))
-            size += len(at)
-            if size >= BLOCK:
-                flush()
-                held, size = [], 0
-    if held:
-        flush()
-    return sums.tolist()
+    ids = np.concatenate([np.zeros(0, np.int64), *docs])
+    return score_laid(w, fold(w), ids, np.cumsum([len(d) for d in docs])).tolist()
 
 
 def pseudo_likelihood(
@@ -358,10 +450,11 @@ def pseudo_likelihood(
     w = train(deal(ids, shard_tokens), rates, batch=batch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in b.column(2)]
-            sizes = np.array([len(x) for x in found], np.int64)
-            scores = np.array(score_ids(w, found), np.float64)
+        folded = fold(w)
+        for b in _parts(batches, 2, ID_BYTES):
+            found, ends = id_arrays(b.column(2))
+            sizes = np.diff(ends, prepend=0)
+            scores = score_laid(w, folded, found, ends)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), b.column(3), pa.array(scores)], names=["doc_id", "row", "n_tokens", "known", "network"])
 
     schema = ids.select("doc_id", "row").schema.add("n_tokens", "long").add("known", "long").add("network", "double")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +90,81 @@ def test_scores_equal_a_plain_loop_in_any_layout(spark):
         assert any(abs(r.pll - brute(t)) < 1e-3 * max(1, abs(r.pll)) and r.n_tokens == len((t or "").split()) for t in texts_of)
 
 
+def _calls(f):
+    """What f returns, and the calls made in it, of Python and of C."""
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        return f(), calls
+    finally:
+        sys.setprofile(None)
+
+
+def test_documents_are_learnt_and_scored_many_at_once():
+    rng = np.random.default_rng(11)
+    docs = [rng.integers(0, lm.VOCABULARY, n) for n in rng.integers(0, 8, 3_000)]
+    w = lm.start_weights()
+    got, calls = _calls(lambda: lm.score_ids(w, docs))
+    assert calls < 3 * len(docs)
+    folded = lm.fold(w)
+    for i in range(0, len(docs), 100):
+        want = lm.log_probabilities(w, folded, lm.contexts(docs[i], np.arange(len(docs[i]))), docs[i]).sum()
+        assert abs(got[i] - want) < 1e-3
+    blocks = [(np.concatenate(docs[a : a + 500]), np.cumsum([len(d) for d in docs[a : a + 500]])) for a in range(0, len(docs), 500)]
+    _, calls = _calls(lambda: list(lm.learning_batches(blocks, 0, 2, 8_192)))
+    assert calls < 5 * len(docs)
+
+
+@pytest.mark.parametrize("in_block", [1, 4, 100])
+def test_batches_do_not_depend_on_blocks(in_block):
+    rng = np.random.default_rng(12)
+    docs = [rng.integers(0, lm.VOCABULARY, n) for n in [0, 1, 300, *rng.integers(0, 40, 30), 0, 65, 0]]
+    want, held, size = [], [], 0
+    for doc in docs:
+        at = lm.targets(doc, 1, 3)
+        for s in range(0, len(at), 32):
+            held.append((lm.contexts(doc, at[s : s + 32]), doc[at[s : s + 32]]))
+            size += len(held[-1][1])
+            if size >= 32:
+                want.append(held)
+                held, size = [], 0
+    want += [held] if held else []
+    blocks = [(np.concatenate(docs[a : a + in_block]), np.cumsum([len(d) for d in docs[a : a + in_block]])) for a in range(0, len(docs), in_block)]
+    got = list(lm.learning_batches(blocks, 1, 3, 32))
+    assert len(got) == len(want)
+    for (context, target), of in zip(got, want, strict=True):
+        assert (context == np.concatenate([c for c, _ in of])).all() and (target == np.concatenate([t for _, t in of])).all()
+
+
+def test_rows_of_repeated_words_are_summed():
+    rng = np.random.default_rng(13)
+    words = np.concatenate([np.full(100, lm.PAD), np.full(lm.RUN, 7), np.full(lm.RUN + 1, 8), [0], rng.integers(0, 50, 300)]).astype(np.int32)
+    rows = np.vstack([rng.integers(-9, 9, (len(words), lm.HIDDEN)), np.zeros((1, lm.HIDDEN))])
+    found, sums = lm._summed(words, rows)
+    want = np.zeros((lm.VOCABULARY + 1, lm.HIDDEN))
+    np.add.at(want, words, rows[:-1])
+    assert found.tolist() == sorted(set(words.tolist())) and (sums == want[found]).all()
+
+
+@pytest.mark.parametrize("size", [1, 40, 8 << 20])
+def test_words_are_counted_as_spark_splits_them(spark, monkeypatch, size):
+    monkeypatch.setattr(lm, "TEXT_BYTES", size)
+    texts = ["a b\tb\x0bé  É", "", " \n", "x\x1cy z\u2003z a\x85", "\r\na\f", "b" * 50 + " b"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    got = Counter()
+    for b in lm.counted_words([batch.slice(0, 4), batch.slice(4)]):
+        for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            got[word] += n
+    words = docs.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
+    assert got == {r.word: r["count"] for r in words.groupBy("word").count().collect()}
+
+
 def test_forest_keeps_recall_on_uneven_lengths(spark):
     rng = np.random.default_rng(6)
     x = rng.standard_normal((8_000, 32))
